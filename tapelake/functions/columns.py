@@ -32,7 +32,7 @@ def utc_date(ts: Column) -> Column:
 
 def trimmed_list(text: Column) -> Column:
     """Parts of a comma-separated list without surrounding blanks."""
-    return F.transform(F.split(text, ","), F.trim)
+    return F.transform(F.split(text, ","), lambda part: F.trim(part))
 
 
 def readable_size(size: Column) -> Column:
