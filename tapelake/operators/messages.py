@@ -3,7 +3,8 @@
 Each exchange has one decoder. It parses the frame once and adds
 
 * ``msg``      fields of the message that every row of it shares,
-* ``records``  the data rows, an array of maps or structs of texts, NULL unless data,
+* ``records``  the data rows, an array of structs of texts with the table's column
+  names, NULL unless data,
 * ``kind``     data, control or reject,
 * ``reason``   why a message is rejected, NULL otherwise.
 """
@@ -34,10 +35,15 @@ KRAKEN_TICKER = {
     "o": ["open_price_today", "open_price_24hrs"],
 }
 
-_RECORD = "map<string,string>"
 _CORRUPT = {"columnNameOfCorruptRecord": "_corrupt"}
 
 
+def _record(spec: TableSpec, name: str, *more: str) -> str:
+    """Struct type of a row's texts, fields named by raw ``key`` or by ``column``."""
+    names = [getattr(f, name) for f in spec.fields if not f.from_message]
+    return "struct<" + ",".join(f"`{n}`:string" for n in [*names, *more]) + ">"
+
+
 def _decoded(
     frames: DataFrame,
     parsed: Column,
@@ -68,35 +74,36 @@ def _decoded(
 
 
 def _binance(frames: DataFrame, spec: TableSpec) -> DataFrame:
-    """A frame is one object or an array of objects.
+    """A frame is one object or an array of objects; parsed as an array it is both.
 
-    Keys differ only by case, hence maps and not structs. A map also tells a
-    JSON null from a missing key, which the acknowledgement test needs.
+    Raw keys differ only by case, so the fields are renamed by position before
+    any of them is looked up.
     """
-    value, p = F.col("value"), F.col("_p")
-    is_array = F.ltrim(value).startswith("[")
-    parsed = F.when(is_array, F.from_json(value, f"array<{_RECORD}>")).otherwise(
-        F.array(F.from_json(value, _RECORD))
-    )
+    p = F.col("_p")
+    keys = _record(spec, "key", "result", "id")
+    columns = _record(spec, "column", "result", "id")
+    parsed = F.from_json("value", f"array<{keys}>").cast(f"array<{columns}>")
     first = F.get(p, F.lit(0))
+    # A struct cannot tell a JSON null from a missing key, the key list can.
     ack = (
-        ~is_array
-        & F.map_contains_key(first, "result")
+        (first["id"] == "1")
         & first["result"].isNull()
-        & (first["id"] == "1")
+        & F.array_contains(F.json_object_keys("value"), "result")
     )
     kind = (
-        F.when(is_array & (F.size(p) == 0), CONTROL)
+        F.when(F.size(p) == 0, CONTROL)
         .when(first.isNull(), REJECT)
         .when(ack, CONTROL)
-        .when(F.map_contains_key(first, "s"), DATA)
+        .when(first["symbol"].isNotNull(), DATA)
         .otherwise(REJECT)
     )
     reason = F.when(first.isNull(), "malformed").otherwise("unknown message")
     return _decoded(frames, parsed, kind, reason, F.struct(F.lit(None).alias("none")), p)
 
 
-def _coinbase(frames: DataFrame, channel: str, rows: str, record: str, head: str) -> DataFrame:
+def _coinbase(
+    frames: DataFrame, channel: str, rows: str, record: str, renamed: str
+) -> DataFrame:
     """Rows come from the first event only; other channels are control."""
     p = F.col("_p")
     parsed = F.from_json(
@@ -124,52 +131,48 @@ def _coinbase(frames: DataFrame, channel: str, rows: str, record: str, head: str
         p["sequence_num"].alias("sequence_num"),
         event["product_id"].alias("product_id"),
     )
-    return _decoded(frames, parsed, kind, reason, msg, records)
+    return _decoded(frames, parsed, kind, reason, msg, records.cast(f"array<{renamed}>"))
 
 
 def _coinbase_trades(frames: DataFrame, spec: TableSpec) -> DataFrame:
-    return _coinbase(frames, "market_trades", "trades", _RECORD, "trade")
+    return _coinbase(
+        frames, "market_trades", "trades", _record(spec, "key"), _record(spec, "column")
+    )
 
 
 def coinbase_level2(frames: DataFrame, spec: TableSpec | None = None) -> DataFrame:
     update = "struct<side:string,event_time:string,price_level:string,new_quantity:string>"
-    return _coinbase(frames, "l2_data", "updates", update, "update")
+    return _coinbase(frames, "l2_data", "updates", update, update)
 
 
 def _cryptocom(frames: DataFrame, spec: TableSpec) -> DataFrame:
     p = F.col("_p")
-    parsed = F.from_json(
-        "value",
-        f"method string, _corrupt string, result struct<channel:string,data:array<{_RECORD}>>",
-        _CORRUPT,
-    )
+    result = f"struct<channel:string,data:array<{_record(spec, 'key')}>>"
+    parsed = F.from_json("value", f"method string, _corrupt string, result {result}", _CORRUPT)
     kind = (
         F.when(p["_corrupt"].isNotNull() | p.isNull(), REJECT)
         .when(p["result"]["channel"] == "trade", DATA)
         .otherwise(CONTROL)
     )
-    return _decoded(
-        frames, parsed, kind, F.lit("malformed"), F.struct(p["method"]), p["result"]["data"]
-    )
+    records = p["result"]["data"].cast(f"array<{_record(spec, 'column')}>")
+    return _decoded(frames, parsed, kind, F.lit("malformed"), F.struct(p["method"]), records)
 
 
 def _gemini(frames: DataFrame, spec: TableSpec) -> DataFrame:
     """All events of a message are rows if the first one is a trade."""
     p = F.col("_p")
-    shared = ["eventId", "socket_sequence", "timestamp", "timestampms"]
-    parsed = F.from_json(
-        "value",
-        ", ".join(f"{name} string" for name in shared)
-        + f", _corrupt string, events array<{_RECORD}>",
-        _CORRUPT,
-    )
+    shared = [f.key for f in spec.fields if f.from_message]
+    fields = [f"{name} string" for name in shared]
+    events = f"events array<{_record(spec, 'key')}>"
+    parsed = F.from_json("value", ", ".join([*fields, "_corrupt string", events]), _CORRUPT)
     kind = (
         F.when(p["_corrupt"].isNotNull() | p.isNull(), REJECT)
         .when(F.get(p["events"], F.lit(0))["type"] == "trade", DATA)
         .otherwise(CONTROL)
     )
     msg = F.struct(*[p[name].alias(name) for name in shared])
-    return _decoded(frames, parsed, kind, F.lit("malformed"), msg, p["events"])
+    records = p["events"].cast(f"array<{_record(spec, 'column')}>")
+    return _decoded(frames, parsed, kind, F.lit("malformed"), msg, records)
 
 
 def _kraken(frames: DataFrame, channel: str, payload: Column, records: Column) -> DataFrame:
@@ -181,7 +184,7 @@ def _kraken(frames: DataFrame, channel: str, payload: Column, records: Column) -
     parsed = F.from_json(value, "array<string>")
     name, pair = F.get(p, F.lit(2)), F.get(p, F.lit(3))
     kind = (
-        F.when(p.isNull() & F.from_json(value, _RECORD).isNotNull(), CONTROL)
+        F.when(p.isNull() & F.json_object_keys(value).isNotNull(), CONTROL)
         .when(p.isNull(), REJECT)
         .when(F.substring_index(name, "-", 1) != channel, REJECT)
         .when(pair.isNull() | F.col("_payload").isNull(), REJECT)

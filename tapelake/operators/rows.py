@@ -70,7 +70,7 @@ def quarantined(decoded: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _text(field: Field) -> Column:
-    return F.col("msg" if field.from_message else "row")[field.key]
+    return F.col("msg")[field.key] if field.from_message else F.col("row")[field.column]
 
 
 def _misfit(spec: TableSpec) -> Column:

@@ -65,10 +65,19 @@ class Lake:
         return table_sizes(self.spark, {table: self.path(table) for table in tables})
 
     def sql(self, query: str, tables: Iterable[str]) -> DataFrame:
-        """Result of a query over the named tables. Errors are raised, not printed."""
+        """Result of a query over the named tables. Errors are raised, not printed.
+
+        The names stand for this folder's tables while the query is analysed and
+        are free again afterwards.
+        """
+        tables = list(tables)
         for table in tables:
             self.read(table).createOrReplaceTempView(table)
-        return self.spark.sql(query)
+        try:
+            return self.spark.sql(query)
+        finally:
+            for table in tables:
+                self.spark.catalog.dropTempView(table)
 
 def create_statement(spec: TableSpec, path: str) -> str:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
