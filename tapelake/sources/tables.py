@@ -45,6 +45,16 @@ class Lake:
             .parquet(self.path(table))
         )
 
+    def truncate(self, table: str) -> None:
+        """Remove all rows of a table and keep the table."""
+        empty = self.spark.createDataFrame([], TABLES[table].schema)
+        (
+            empty.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("date")
+            .parquet(self.path(table))
+        )
+
     def create(self, table: str) -> str:
         """``CREATE TABLE`` statement of a table of this folder, run in the catalog."""
         statement = create_statement(TABLES[table], self.path(table))

@@ -75,6 +75,14 @@ def test_append_keeps_schema_and_order(spark, lake, trades):
     assert size.total_bytes > 0 and size.size_readable.endswith("KiB")
 
 
+def test_truncate(lake, trades):
+    lake.append(trades, TRADES)
+    lake.truncate(TRADES)
+    assert lake.read(TRADES).count() == 0
+    lake.append(trades, TRADES)
+    assert lake.read(TRADES).count() == 20
+
+
 def test_hot_date_is_spread_and_sorted(spark, lake):
     schema = TABLES["gemini_multimarketdata_trades"].schema
     rows = spark.range(200_000).select(
@@ -142,8 +150,6 @@ def test_catalog_sweep(spark, lake, trades):
         dropped = maintenance.sweep(spark, "sweep_test", "2024-01-04", days=2)
         assert dropped == {TRADES: ["2024-01-01"]}
         assert spark.table(TRADES).count() == 60
-        spark.sql(f"TRUNCATE TABLE {TRADES}")
-        assert spark.table(TRADES).count() == 0
     finally:
         spark.sql("USE default")
         spark.sql("DROP DATABASE sweep_test CASCADE")
