@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import oracles
@@ -149,9 +149,16 @@ def relay_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def master_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = secmaster.document_schema(
+        ["filterType", "minPrice", "minQty"], ["symbol", "status"], ["orderTypes"]
+    )
+    documents = samples.exchange_info(spark, sf_dir)
+    return secmaster.security_master(secmaster.parse_documents(documents, schema))
+
+
 def security_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = secmaster.security_master(samples.exchange_info(spark, sf_dir))
-    return _numbers(rows)
+    return _numbers(master_rows(spark, sf_dir))
 
 
 def _numbers(rows: DataFrame) -> DataFrame:
@@ -177,27 +184,23 @@ def sink_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per date of the written table: rows, and whether files keep apart by sort key."""
+    """Rows per date of a written table, and rows that break the sort order of a file."""
     lake = new_lake(spark)
     lake.append(feed_rows(spark, sf_dir, GEMINI), GEMINI)
-    files = (
-        lake.read(GEMINI)
-        .groupBy("date", F.col("_metadata.file_path").alias("file"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("timestamp").alias("low"),
-            F.max("timestamp").alias("high"),
-        )
+    placed = lake.read(GEMINI).select(
+        "date", "timestamp", "symbol", "_metadata.file_path", "_metadata.row_index"
     )
-    return files.groupBy("date").agg(
-        F.sum("n").alias("table_rows"),
-        F.min("low").alias("first_timestamp"),
-        F.max("high").alias("last_timestamp"),
+    in_file = Window.partitionBy("file_path").orderBy("row_index")
+    key = F.struct("timestamp", "symbol")
+    checked = placed.withColumn("breaks", F.lag(key).over(in_file) > key)
+    return checked.groupBy("date").agg(
+        F.count(F.lit(1)).alias("table_rows"),
+        F.count(F.when(F.col("breaks"), 1)).alias("out_of_order"),
     )
 
 
 def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = secmaster.security_master(samples.exchange_info(spark, sf_dir))
+    rows = master_rows(spark, sf_dir)
     path = tables.write_snapshot(
         rows, new_folder(spark, "snapshots"), "binance_secmaster", SNAPSHOT_DAY
     )

@@ -472,8 +472,7 @@ def sql() -> dict[str, str]:
         "csv_snapshot_roundtrip": SECMASTER,
         "sink_append_roundtrip": _ev(TRADES),
         "sorted_layout": _ev(f"""
-            SELECT date, count(*) AS table_rows, min(timestamp) AS first_timestamp,
-                   max(timestamp) AS last_timestamp
+            SELECT date, count(*) AS table_rows, 0 AS out_of_order
             FROM ({GEMINI_TRADE}) GROUP BY date"""),
         "capture_first_n": f"""
             WITH ev AS (

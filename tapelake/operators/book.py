@@ -17,7 +17,7 @@ however many messages the chunk has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tapelake.functions.columns import iso_nanos
@@ -83,13 +83,26 @@ def in_chunks(updates: DataFrame) -> DataFrame:
     return updates.withColumn("chunk", chunk).repartition("product_id", "chunk")
 
 
+def _in_message(*side: str) -> WindowSpec:
+    """Updates of a message, or of one side of it, by side and price.
+
+    All windows inside messages keep this order and so share one sort.
+    """
+    order = [name for name in ("side", "price_level") if name not in side]
+    return Window.partitionBy(*MESSAGE, *side).orderBy(*order)
+
+
+def _whole(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def price_band(updates: DataFrame, band: float = BAND) -> DataFrame:
     """Keep the updates between the best bid less and the best offer plus ``band``.
 
     Bounds are those of the update's message. A message without one of the sides
     has no bound there and loses all its updates.
     """
-    message = Window.partitionBy(*MESSAGE)
+    message = _whole(_in_message())
 
     def prices(side: str) -> Column:
         return F.when(F.col("side") == side, F.col("price_level"))
@@ -132,34 +145,26 @@ def dense_levels(banded: DataFrame, width: int = 1) -> DataFrame:
     The filled range reaches one bin beyond the message's own extremes: bids from
     floor(min)-1 to ceil(max), offers from floor(min) to ceil(max)+1. One update
     of each side brings the empty bins along, so the fill needs no join. ``head``
-    marks the lowest bin of each message and side.
+    marks one bin of each message.
     """
-    side = Window.partitionBy(*MESSAGE, "side")
+    side = _whole(_in_message("side"))
     scaled = F.col("price_level") / F.lit(float(width))
     is_bid = F.col("side") == "bid"
     low = F.floor(F.min(scaled).over(side)) - F.when(is_bid, 1).otherwise(0)
     high = F.ceil(F.max(scaled).over(side)) + F.when(is_bid, 0).otherwise(1)
-    first = F.row_number().over(side.orderBy("price_level")) == 1
+    shared = [*MESSAGE, "side", "new_quantity", "event_time", "timestamp", "recv_us"]
     spread = banded.select(
-        *MESSAGE,
-        "side",
-        "new_quantity",
-        "event_time",
-        "timestamp",
-        "recv_us",
+        *shared,
         _bin(width).alias("own"),
         low.alias("low"),
         high.alias("high"),
-        first.alias("first"),
+        (F.row_number().over(_in_message("side")) == 1).alias("first"),
+        (F.row_number().over(_in_message()) == 1).alias("first_of_message"),
     )
     empty = F.when(F.col("first"), F.sequence("low", "high")).otherwise(F.array())
     filled = spread.select(
-        *MESSAGE,
-        "side",
-        "new_quantity",
-        "event_time",
-        "timestamp",
-        "recv_us",
+        *shared,
+        "first_of_message",
         F.posexplode(F.concat(F.array("own"), empty)).alias("i", "lvl"),
     )
     is_own = F.col("i") == 0
@@ -168,7 +173,7 @@ def dense_levels(banded: DataFrame, width: int = 1) -> DataFrame:
         F.max(F.when(is_own, F.col("event_time"))).alias("event_time"),
         F.max("timestamp").alias("timestamp"),
         F.max("recv_us").alias("recv_us"),
-        F.max(F.col("i") == 1).alias("head"),
+        F.max(F.col("first_of_message") & is_own).alias("head"),
     )
 
 
@@ -193,11 +198,7 @@ def written_levels(updates: DataFrame, width: int = 1) -> DataFrame:
 
 def book_points(written: DataFrame) -> DataFrame:
     """The messages that write to the book."""
-    return (
-        written.where("head")
-        .groupBy("product_id", "chunk", "pos")
-        .agg(F.max("seq").alias("seq"), F.max("recv_us").alias("recv_us"))
-    )
+    return written.where("head").select("product_id", "chunk", "pos", "seq", "recv_us")
 
 
 def carried_levels(written: DataFrame) -> DataFrame:
@@ -213,13 +214,13 @@ def carried_levels(written: DataFrame) -> DataFrame:
         last.select("product_id", "chunk").distinct(), ["product_id"], "chunk", "ord"
     )
     last_ord = chunks.groupBy("product_id").agg(F.max("ord").alias("last_ord"))
+    chunks = chunks.join(last_ord, "product_id")
     placed = last.join(chunks, ["product_id", "chunk"]).drop("chunk")
     spans = following(
         placed, ["product_id", "side", "lvl"], "ord", F.struct("ord", "first_pos"), "next"
     )
-    alive = spans.where(F.col("qty") != 0).join(last_ord, "product_id")
     carried = explode_range(
-        alive,
+        spans.where(F.col("qty") != 0),
         F.col("ord") + 1,
         F.coalesce(F.col("next.ord"), F.col("last_ord")),
         "into",
@@ -232,7 +233,7 @@ def carried_levels(written: DataFrame) -> DataFrame:
         F.when(F.col("into") == F.col("next.ord"), F.col("next.first_pos"))
         .otherwise(POSITIONS)
         .alias("until"),
-    ).join(chunks, ["product_id", "ord"]).drop("ord")
+    ).join(chunks.drop("last_ord"), ["product_id", "ord"]).drop("ord")
 
 
 def level_spans(written: DataFrame) -> DataFrame:
@@ -248,7 +249,7 @@ def level_spans(written: DataFrame) -> DataFrame:
     return own.unionByName(carried_levels(written).withColumn("pos", F.lit(0)))
 
 
-def _tree_nodes(first: Column, until: Column) -> Column:
+def _tree_nodes(first: str, until: str) -> Column:
     """Nodes that together cover positions ``first`` to ``until`` - 1.
 
     Node 1 is the whole chunk, nodes 2n and 2n+1 are the halves of node n, and
@@ -256,59 +257,57 @@ def _tree_nodes(first: Column, until: Column) -> Column:
     """
     nodes = []
     for height in range(TREE_DEPTH + 1):
-        low = F.shiftright(first + (POSITIONS + (1 << height) - 1), height)
-        high = F.shiftright(until + POSITIONS, height)
-        nodes.append(F.when((low < high) & (low % 2 == 1), low))
-        nodes.append(F.when((low < high) & (high % 2 == 1), high - 1))
-    return F.array_compact(F.array(*nodes))
+        low = f"shiftright({first} + {POSITIONS + (1 << height) - 1}, {height})"
+        high = f"shiftright({until} + {POSITIONS}, {height})"
+        nodes.append(f"CASE WHEN {low} < {high} AND {low} % 2 = 1 THEN {low} END")
+        nodes.append(f"CASE WHEN {low} < {high} AND {high} % 2 = 1 THEN {high} - 1 END")
+    return F.expr(f"array_compact(array({', '.join(nodes)}))")
 
 
-def _nodes_above(pos: Column) -> Column:
-    return F.array(*[F.shiftright(pos + POSITIONS, h) for h in range(TREE_DEPTH + 1)])
-
-
-def _best(side: str) -> Column:
-    level = F.when(F.col("side") == side, F.struct(*LEVEL))
-    return (F.max(level) if side == "bid" else F.min(level)).alias(side)
+def _nodes_above(pos: str) -> Column:
+    heights = range(TREE_DEPTH + 1)
+    return F.expr(f"array({', '.join(f'shiftright({pos} + {POSITIONS}, {h})' for h in heights)})")
 
 
 def best_levels(written: DataFrame) -> DataFrame:
     """Best bid and offer after each message, and those before it.
 
     One row per (product, message): ``bid``, ``offer``, ``old_bid``,
-    ``old_offer``, each a level or NULL. Reads ``written`` several times.
+    ``old_offer``, each a level or NULL. A chunk's first message finds those
+    before it at the chunk's start. Reads ``written`` several times.
+
+    Spans and messages are shuffled once, by (product, chunk). Both are unfolded
+    to tree nodes there; a window hands each node's best level to the messages
+    that look at it.
     """
-    nodes = (
-        level_spans(written)
-        .withColumn("node", F.explode(_tree_nodes(F.col("pos"), F.col("until"))))
-        .groupBy("product_id", "chunk", "node")
-        .agg(_best("bid"), _best("offer"))
-    )
+    in_chunk = ["product_id", "chunk"]
+    spans = level_spans(written).withColumnRenamed("seq", "level_seq")
     points = book_points(written)
-    starts = points.select("product_id", "chunk").distinct().select(
-        "*",
-        F.lit(0).alias("pos"),
-        F.lit(None).cast("bigint").alias("seq"),
-        F.lit(None).cast("bigint").alias("recv_us"),
-    )
-    best = (
-        points.unionByName(starts)
-        .withColumn("node", F.explode(_nodes_above(F.col("pos"))))
-        .join(nodes, ["product_id", "chunk", "node"], "left")
-        .groupBy("product_id", "chunk", "pos")
-        .agg(
-            F.max("seq").alias("seq"),
-            F.max("recv_us").alias("recv_us"),
-            F.max("bid").alias("bid"),
-            F.min("offer").alias("offer"),
+    starts = points.select(*in_chunk).distinct().withColumn("pos", F.lit(0))
+    points = points.unionByName(starts, allowMissingColumns=True)
+    placed = spans.unionByName(points, allowMissingColumns=True).repartition(*in_chunk)
+
+    is_span = F.col("side").isNotNull()
+    nodes = F.when(is_span, _tree_nodes("pos", "until")).otherwise(_nodes_above("pos"))
+    by_node = Window.partitionBy(*in_chunk, "node")
+    level = F.struct("lvl", "qty", "event_time", "timestamp", F.col("level_seq").alias("seq"))
+    looked_up = (
+        placed.withColumn("node", F.explode(nodes))
+        .withColumns(
+            {
+                "bid": F.max(F.when(F.col("side") == "bid", level)).over(by_node),
+                "offer": F.min(F.when(F.col("side") == "offer", level)).over(by_node),
+            }
         )
+        .where(~is_span)
     )
-    return with_previous(best)
-
-
-def with_previous(best: DataFrame) -> DataFrame:
-    """Best levels of the message before; a chunk's first message looks at its start."""
-    in_order = Window.partitionBy("product_id", "chunk").orderBy("pos")
+    best = looked_up.groupBy(*in_chunk, "pos").agg(
+        F.max("seq").alias("seq"),
+        F.max("recv_us").alias("recv_us"),
+        F.max("bid").alias("bid"),
+        F.min("offer").alias("offer"),
+    )
+    in_order = Window.partitionBy(*in_chunk).orderBy("pos")
     return best.withColumns(
         {"old_bid": F.lag("bid").over(in_order), "old_offer": F.lag("offer").over(in_order)}
     ).where(F.col("pos") > 0)

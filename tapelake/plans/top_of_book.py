@@ -103,6 +103,12 @@ def quotes_with_resets(
     return known.groupBy("product_id", "chunk").applyInArrow(emit, QUOTES)
 
 
+def reset_counts(quotes: DataFrame) -> DataFrame:
+    """Number of messages that reset the book of each product."""
+    resets = quotes.where(F.col("reset") & (F.col("k") == 1))
+    return resets.groupBy("product_id").agg(F.count(F.lit(1)).alias("resets"))
+
+
 def _chunk_levels(written: DataFrame) -> DataFrame:
     """Live levels of each chunk with their spans, and a row without level per message."""
     points = book_points(written)

@@ -201,7 +201,7 @@ def folded(messages: list[str]) -> tuple[list[tuple], int]:
             if levels:
                 parsed.append(Message(seq, 0, levels))
         emitted_rows, _ = replay(Book(), parsed)
-        resets += sum(row[2] for row in emitted_rows)
+        resets += sum(row[2] and row[3] == 1 for row in emitted_rows)
         rows += [(product, row[0], row[3], *row[4:10]) for row in emitted_rows]
     return rows, resets
 
@@ -220,7 +220,9 @@ def test_both_forms_agree_with_the_plain_fold(frames, seed, drift):
             for r in df.collect()
         )
 
-    assert read(top_of_book.quotes_with_resets(written)) == sorted(expected)
+    quotes_ = top_of_book.quotes_with_resets(written)
+    assert read(quotes_) == sorted(expected)
+    assert sum(r.resets for r in top_of_book.reset_counts(quotes_).collect()) == resets
     if not resets:
         view = book.quote_view(book.best_levels(written)).where("changed")
         assert read(view) == sorted(expected)

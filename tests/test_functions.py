@@ -11,6 +11,8 @@ from tapelake.functions.columns import iso_nanos, readable_size, trimmed_list, u
 from tapelake.operators import ordered
 from tapelake.operators.frames import frame_difference, outer_upsert
 from tapelake.operators.reports import active_runs, run_status
+from tapelake.sources.external import read_runs
+from tapelake.workspace import new_folder
 
 
 def one(spark, expression):
@@ -109,3 +111,10 @@ def test_run_status(spark):
         "dags_finished": 1, "dags_running": 1, "dags_failed": 2,
     }
     assert [r.dag_id for r in active_runs(runs, day).collect()] == ["a"]
+    path = new_folder(spark, "test-runs")
+    runs.write.parquet(path)
+    stored = active_runs(read_runs(spark, path), day)
+    assert [r.dag_id for r in stored.collect()] == ["a"]
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(last_scheduling_decision" in plan

@@ -9,9 +9,11 @@ import pytest
 
 from tapelake.operators.messages import decode, route
 from tapelake.operators.relay import relay_latency, stream_messages
-from tapelake.operators.secmaster import security_master
+from tapelake.operators.secmaster import document_schema, parse_documents, security_master
 from tapelake.plans.feeds import ingest_counters, quarantine_rows, table_rows
+from tapelake.sources.external import read_exchange_info
 from tapelake.specs import TABLES
+from tapelake.workspace import new_folder
 
 TRADE = {"e": "trade", "E": 1704067207179, "s": "BTCUSDT", "t": 1, "p": "6.55", "q": "3", "b": 8,
          "a": 9, "T": 1704067207178, "m": True, "M": False}
@@ -234,16 +236,27 @@ def test_relay(frames):
     assert got["!ticker@arr"] == pytest.approx(500)
 
 
-def test_security_master(frames):
+def test_security_master(spark, frames):
     doc = {"symbols": [
         {"symbol": "A", "status": "TRADING", "orderTypes": ["LIMIT", "MARKET"],
          "filters": [{"filterType": "PRICE_FILTER", "minPrice": "0.01"},
                      {"filterType": "LOT_SIZE", "minQty": "0.1"}]},
         {"symbol": "B", "status": "BREAK", "orderTypes": [], "filters": []},
     ]}
-    got = security_master(frames("binance", "info", json.dumps(doc)))
-    assert got.columns == ["filterType", "minPrice", "minQty", "symbol", "status", "orderTypes"]
-    assert [tuple(r) for r in got.collect()] == [
+    expected = [
         ("PRICE_FILTER", "0.01", None, "A", "TRADING", "LIMIT, MARKET"),
         ("LOT_SIZE", None, "0.1", "A", "TRADING", "LIMIT, MARKET"),
     ]
+    schema = document_schema(
+        ["filterType", "minPrice", "minQty"], ["symbol", "status"], ["orderTypes"]
+    )
+    texts = frames("binance", "info", json.dumps(doc))
+    got = security_master(parse_documents(texts, schema))
+    assert got.columns == ["filterType", "minPrice", "minQty", "symbol", "status", "orderTypes"]
+    assert [tuple(r) for r in got.collect()] == expected
+
+    path = new_folder(spark, "test-info")
+    lines = spark.createDataFrame([(json.dumps(doc, indent=2),)], "value string")
+    lines.coalesce(1).write.text(path)
+    found = security_master(read_exchange_info(spark, path))
+    assert sorted(tuple(r) for r in found.select(got.columns).collect()) == sorted(expected)

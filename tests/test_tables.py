@@ -6,6 +6,7 @@ import datetime
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tapelake.operators.book import book_updates
@@ -92,17 +93,20 @@ def test_hot_date_is_spread_and_sorted(spark, lake):
             for f in schema
         ]
     )
-    with_aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "256k")
     try:
         lake.append(rows, "gemini_multimarketdata_trades")
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_aqe)
-    files = lake.read("gemini_multimarketdata_trades").groupBy("_metadata.file_path").agg(
-        F.min("timestamp").alias("low"), F.max("timestamp").alias("high")
-    ).orderBy("low").collect()
-    assert len(files) > 1
-    assert all(a.high < b.low for a, b in zip(files, files[1:]))
+        spark.conf.set(advisory, before)
+    read = spark.read.parquet(lake.path("gemini_multimarketdata_trades"))
+    placed = read.select("timestamp", "_metadata.file_path", "_metadata.row_index")
+    in_file = Window.partitionBy("file_path").orderBy("row_index")
+    steps = placed.withColumn("before", F.lag("timestamp").over(in_file))
+    assert placed.count() == 200_000
+    assert placed.select("file_path").distinct().count() > 1
+    assert steps.where("before > timestamp").count() == 0
 
 
 def test_sql_raises(lake, trades):
