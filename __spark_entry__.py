@@ -106,14 +106,14 @@ def binance_control_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def numeric_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode(samples.binance_trades_with_rejects(spark, sf_dir), BINANCE_TRADES)
     return typed_rows(decoded, TABLES[BINANCE_TRADES]).select(
-        "trade_id", "symbol", "price", "quantity", "market_maker", "reason"
+        "trade_id", "symbol", "price", "quantity", "market_maker", F.col("misfit").alias("reason")
     )
 
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.binance_book_ticker(spark, sf_dir).select(
         F.get_json_object("value", "$.u").cast("bigint").alias("order_book_updateid"),
-        *audit_columns(F.col("recv_ts")),
+        *audit_columns("recv_ts"),
     )
 
 

@@ -1,4 +1,8 @@
-"""Scalar expressions. All are built-in functions, none is a Python UDF."""
+"""Scalar expressions. All are built-in functions, none is a Python UDF.
+
+Expressions that are generated for every field of a table are SQL texts: a table
+then costs a few calls into the JVM instead of some for each operator.
+"""
 
 from __future__ import annotations
 
@@ -11,23 +15,23 @@ MICROS_PER_DAY = 86_400_000_000
 SIZE_UNITS = ["B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB"]
 
 
-def iso_nanos(text: Column) -> Column:
+def iso_nanos(text: str) -> str:
     """Nanoseconds since the epoch of an ISO-8601 text, NULL if it is none.
 
     Timestamps hold microseconds; the seventh to ninth digit of a fraction is
     read from the text, and only where the text is long enough to have one.
     """
-    below_micros = F.rpad(F.regexp_extract(text, r"\.\d{6}(\d{1,3})", 1), 3, "0")
-    extra = F.when(
-        F.length(text) > len("2024-01-01T00:00:00.000000Z"), below_micros.try_cast("bigint")
+    longest = len("2024-01-01T00:00:00.000000Z")
+    below_micros = f"rpad(regexp_extract({text}, '\\\\.\\\\d{{6}}(\\\\d{{1,3}})', 1), 3, '0')"
+    return (
+        f"unix_micros(try_to_timestamp({text})) * 1000 + coalesce("
+        f"CASE WHEN length({text}) > {longest} THEN try_cast({below_micros} AS BIGINT) END, 0)"
     )
-    return F.unix_micros(F.try_to_timestamp(text)) * 1000 + F.coalesce(extra, F.lit(0))
 
 
-def utc_date(ts: Column) -> Column:
+def utc_date(ts: str) -> str:
     """UTC calendar date of a timestamp, whatever the session time zone."""
-    days = F.floor(F.unix_micros(ts) / F.lit(MICROS_PER_DAY))
-    return F.date_from_unix_date(days.cast("int"))
+    return f"date_from_unix_date(CAST(floor(unix_micros({ts}) / {MICROS_PER_DAY}) AS INT))"
 
 
 def trimmed_list(text: Column) -> Column:

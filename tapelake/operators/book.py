@@ -44,11 +44,11 @@ def _typed_updates(landing: DataFrame) -> DataFrame:
     )
     typed = rows.select(
         F.col("row.side").alias("side"),
-        iso_nanos(F.col("row.event_time")).alias("event_time"),
+        F.expr(iso_nanos("row.event_time")).alias("event_time"),
         F.col("row.price_level").try_cast("double").alias("price_level"),
         F.col("row.new_quantity").try_cast("double").alias("new_quantity"),
         F.col("msg.channel").alias("channel"),
-        iso_nanos(F.col("msg.timestamp")).alias("timestamp"),
+        F.expr(iso_nanos("msg.timestamp")).alias("timestamp"),
         F.col("msg.sequence_num").try_cast("bigint").alias("sequence_num"),
         F.col("msg.product_id").alias("product_id"),
         "recv_ts",
@@ -71,7 +71,7 @@ def book_updates(landing: DataFrame) -> DataFrame:
 
 def book_rejects(landing: DataFrame) -> DataFrame:
     """Raw text and reason of rejected level-2 messages and of bad updates."""
-    rejected = ["value", "reason", *audit_columns(F.col("recv_ts"))]
+    rejected = ["value", "reason", *audit_columns("recv_ts")]
     bad = F.col("reason").isNotNull()
     messages = coinbase_level2(frames_of(landing, TOP_OF_BOOK)).where(bad).select(rejected)
     return messages.unionByName(_typed_updates(landing).where(bad).select(rejected))

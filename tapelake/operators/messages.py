@@ -197,32 +197,33 @@ def _kraken(frames: DataFrame, channel: str, payload: Column, records: Column) -
 
 def _kraken_trades(frames: DataFrame, spec: TableSpec) -> DataFrame:
     payload = F.from_json(_second(), "array<array<string>>")
-    records = F.transform("_payload", lambda row: _named(row, KRAKEN_TRADE))
+    records = F.expr(f"transform(_payload, row -> {_named('row', KRAKEN_TRADE)})")
     return _kraken(frames, "trade", payload, records)
 
 
 def _kraken_ohlc(frames: DataFrame, spec: TableSpec) -> DataFrame:
     payload = F.from_json(_second(), "array<string>")
-    return _kraken(frames, "ohlc", payload, F.array(_named(F.col("_payload"), KRAKEN_OHLC)))
+    return _kraken(frames, "ohlc", payload, F.expr(f"array({_named('_payload', KRAKEN_OHLC)})"))
 
 
 def _kraken_ticker(frames: DataFrame, spec: TableSpec) -> DataFrame:
     """Object of ragged arrays; a position past the end of its array is NULL."""
     payload = F.from_json(_second(), "map<string,array<string>>")
     names = [
-        F.get(F.col("_payload")[key], F.lit(i)).alias(column)
+        f"get(_payload['{key}'], {i}) AS {column}"
         for key, columns in KRAKEN_TICKER.items()
         for i, column in enumerate(columns)
     ]
-    return _kraken(frames, "ticker", payload, F.array(F.struct(*names)))
+    return _kraken(frames, "ticker", payload, F.expr(f"array(struct({', '.join(names)}))"))
 
 
 def _second() -> Column:
     return F.get(F.col("_p"), F.lit(1))
 
 
-def _named(row: Column, names: list[str]) -> Column:
-    return F.struct(*[F.get(row, F.lit(i)).alias(name) for i, name in enumerate(names)])
+def _named(row: str, names: list[str]) -> str:
+    fields = [f"get({row}, {i}) AS `{name}`" for i, name in enumerate(names)]
+    return f"struct({', '.join(fields)})"
 
 
 DECODERS: dict[str, Callable[[DataFrame, TableSpec], DataFrame]] = {

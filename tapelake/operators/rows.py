@@ -9,76 +9,81 @@ from tapelake.functions.columns import iso_nanos, utc_date
 from tapelake.specs import Field, TableSpec
 
 
-def coerce(text: Column, type_: str) -> Column:
+def coerce(text: str, type_: str) -> str:
     """Text as the declared type, NULL where it does not fit. Strings stay texts."""
     if type_ == "string":
         return text
     if type_ == "nanos":
         return iso_nanos(text)
-    return text.try_cast(type_)
+    return f"try_cast({text} AS {type_})"
 
 
-def audit_columns(recv_ts: Column) -> list[Column]:
+def audit_columns(recv_ts: str) -> list[Column]:
     """Ingest date (UTC) and ingest time in microseconds."""
-    return [utc_date(recv_ts).alias("date"), F.unix_micros(recv_ts).alias("insert_time")]
+    return [
+        F.expr(f"{utc_date(recv_ts)} AS date"),
+        F.expr(f"unix_micros({recv_ts}) AS insert_time"),
+    ]
 
 
-def typed_rows(decoded: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row per record: the table's columns, audit columns, ``reason``, ``value``.
+def message_rows(decoded: DataFrame, spec: TableSpec) -> DataFrame:
+    """One line per record, and one without a record for a message that has none.
 
-    Columns follow the key map in order, other keys are dropped. ``reason`` names
-    the first column whose text does not fit its type and is NULL for good rows.
+    Holds the table's columns and audit columns, ``kind`` and ``value`` of the
+    message, the record's place ``at`` in it (NULL without a record), ``rejected``:
+    why the message is rejected, and ``misfit``: the first column whose text does
+    not fit its type; both NULL if all is well. Columns follow the key map in
+    order, other keys are dropped. Good rows, bad rows and counts all come from
+    this one pass.
     """
-    # An expression, not the bare column: Spark would otherwise test the array
-    # in a filter of its own and parse every frame a second time for it.
-    record = F.explode(F.coalesce(F.col("records"), F.array()))
-    rows = decoded.select("recv_ts", "value", "msg", record.alias("row"))
-    values = [coerce(_text(f), f.type).alias(f.column) for f in spec.fields]
-    return rows.select(
-        *values, *audit_columns(F.col("recv_ts")), _misfit(spec).alias("reason"), "value"
+    records = decoded.select(
+        "recv_ts",
+        "value",
+        "kind",
+        "msg",
+        F.col("reason").alias("rejected"),
+        F.posexplode_outer("records").alias("at", "row"),
     )
-
-
-def counted_rows(decoded: DataFrame, spec: TableSpec) -> DataFrame:
-    """All messages and their rows in one pass, for counting.
-
-    A message without rows yields one line with ``is_row`` false; the first line
-    of each message is marked.
-    """
-    rows = decoded.select("kind", "msg", F.posexplode_outer("records").alias("pos", "row"))
-    return rows.select(
+    values = [F.expr(f"{coerce(_text(f), f.type)} AS `{f.column}`") for f in spec.fields]
+    return records.select(
+        *values,
+        *audit_columns("recv_ts"),
         "kind",
-        (F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("first_of_message"),
-        F.col("pos").isNotNull().alias("is_row"),
-        _misfit(spec).alias("reason"),
+        "value",
+        "at",
+        "rejected",
+        _misfit(spec).alias("misfit"),
     )
 
 
+def typed_rows(decoded: DataFrame, spec: TableSpec) -> DataFrame:
+    """The records only, good and bad."""
+    return message_rows(decoded, spec).where(F.col("at").isNotNull())
+
+
 def accepted(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    return rows.where(F.col("reason").isNull()).select(spec.schema.names)
+    """Good rows, in the columns of the table."""
+    good = F.col("at").isNotNull() & F.col("misfit").isNull()
+    return rows.where(good).select(spec.schema.names)
 
 
-def quarantined(decoded: DataFrame, rows: DataFrame) -> DataFrame:
+def quarantined(rows: DataFrame) -> DataFrame:
     """Raw text and reason of every rejected message and every rejected row."""
-    messages = decoded.where(F.col("reason").isNotNull()).select(
-        F.col("value"), F.col("reason"), *audit_columns(F.col("recv_ts"))
-    )
-    bad_rows = rows.where(F.col("reason").isNotNull()).select(
-        "value", "reason", "date", "insert_time"
+    reason = F.coalesce("rejected", "misfit")
+    return rows.where(reason.isNotNull()).select(
+        "value", reason.alias("reason"), "date", "insert_time"
     )
-    return messages.unionByName(bad_rows)
 
 
-def _text(field: Field) -> Column:
-    return F.col("msg")[field.key] if field.from_message else F.col("row")[field.column]
+def _text(field: Field) -> str:
+    return f"msg.`{field.key}`" if field.from_message else f"row.`{field.column}`"
 
 
 def _misfit(spec: TableSpec) -> Column:
     tests = [
-        F.when(
-            _text(f).isNotNull() & coerce(_text(f), f.type).isNull(), F.lit(f"bad {f.column}")
-        )
+        f"CASE WHEN {_text(f)} IS NOT NULL AND {coerce(_text(f), f.type)} IS NULL "
+        f"THEN 'bad {f.column}' END"
         for f in spec.fields
         if f.type != "string"
     ]
-    return F.coalesce(*tests)
+    return F.expr(f"coalesce({', '.join(tests)})")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.operators.messages import CONTROL, DATA, REJECT, decode
-from tapelake.operators.rows import accepted, counted_rows, quarantined, typed_rows
+from tapelake.operators.rows import accepted, message_rows, quarantined
 from tapelake.specs import TABLES, TOP_OF_BOOK
 
 # The tables whose rows come straight from single messages.
@@ -18,13 +18,11 @@ STATELESS = [name for name in TABLES if name != TOP_OF_BOOK]
 def table_rows(landing: DataFrame, table: str) -> DataFrame:
     """Good rows of one stateless feed, typed and with audit columns."""
     spec = TABLES[table]
-    return accepted(typed_rows(decode(landing, table), spec), spec)
+    return accepted(message_rows(decode(landing, table), spec), spec)
 
 
 def quarantine_rows(landing: DataFrame, table: str) -> DataFrame:
-    spec = TABLES[table]
-    decoded = decode(landing, table)
-    return quarantined(decoded, typed_rows(decoded, spec))
+    return quarantined(message_rows(decode(landing, table), TABLES[table]))
 
 
 def message_kinds(landing: DataFrame, tables: list[str] | None = None) -> DataFrame:
@@ -43,20 +41,23 @@ def ingest_counters(landing: DataFrame, tables: list[str] | None = None) -> Data
     One pass over the frames of each table serves all its counters.
     """
     lines = [
-        counted_rows(decode(landing, name), TABLES[name]).withColumn("table", F.lit(name))
+        message_rows(decode(landing, name), TABLES[name]).select(
+            F.lit(name).alias("table"), "kind", "at", "misfit"
+        )
         for name in tables or STATELESS
     ]
+    is_row, good = F.col("at").isNotNull(), F.col("misfit").isNull()
+    first_line = F.coalesce(F.col("at"), F.lit(0)) == 0
 
     def count_where(condition: Column, name: str) -> Column:
         return F.count(F.when(condition, 1)).alias(name)
 
-    is_row, good = F.col("is_row"), F.col("reason").isNull()
     return (
         reduce(DataFrame.unionByName, lines)
         .groupBy("table")
         .agg(
             *[
-                count_where(F.col("first_of_message") & (F.col("kind") == k), f"{k}_messages")
+                count_where(first_line & (F.col("kind") == k), f"{k}_messages")
                 for k in (DATA, CONTROL, REJECT)
             ],
             count_where(is_row & good, "rows_processed"),

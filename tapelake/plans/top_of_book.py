@@ -80,7 +80,7 @@ def as_table(quotes: DataFrame) -> DataFrame:
         "sequence_num",
         F.lit("l2_data").alias("channel"),
         "timestamp",
-        *audit_columns(F.timestamp_micros("recv_us")),
+        *audit_columns("timestamp_micros(recv_us)"),
     ).select(TABLES[TOP_OF_BOOK].schema.names)
 
 

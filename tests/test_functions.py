@@ -39,15 +39,15 @@ def test_iso_nanos(spark):
         "no time": None,
     }
     for text, nanos in cases.items():
-        assert one(spark, iso_nanos(F.lit(text))) == nanos
+        assert one(spark, F.expr(iso_nanos(f"'{text}'"))) == nanos
 
 
 def test_utc_date_ignores_the_session_zone(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-        late = F.timestamp_seconds(F.lit(1704067200 + 23 * 3600))
-        assert one(spark, utc_date(late).cast("string")) == "2024-01-01"
+        late = f"timestamp_seconds({1704067200 + 23 * 3600})"
+        assert one(spark, F.expr(utc_date(late)).cast("string")) == "2024-01-01"
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
@@ -115,6 +115,5 @@ def test_run_status(spark):
     runs.write.parquet(path)
     stored = active_runs(read_runs(spark, path), day)
     assert [r.dag_id for r in stored.collect()] == ["a"]
-    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
     plan = stored._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(last_scheduling_decision" in plan
+    assert "GreaterThanOrEqual(last_scheduling" in plan
