@@ -211,10 +211,8 @@ def carried_levels(written: DataFrame) -> DataFrame:
         "product_id", "chunk", "side", *LEVEL, "first_pos"
     )
     chunks = running_count(
-        last.select("product_id", "chunk").distinct(), ["product_id"], "chunk", "ord"
+        last.select("product_id", "chunk").distinct(), ["product_id"], "chunk", "ord", "n_chunks"
     )
-    last_ord = chunks.groupBy("product_id").agg(F.max("ord").alias("last_ord"))
-    chunks = chunks.join(last_ord, "product_id")
     placed = last.join(chunks, ["product_id", "chunk"]).drop("chunk")
     spans = following(
         placed, ["product_id", "side", "lvl"], "ord", F.struct("ord", "first_pos"), "next"
@@ -222,7 +220,7 @@ def carried_levels(written: DataFrame) -> DataFrame:
     carried = explode_range(
         spans.where(F.col("qty") != 0),
         F.col("ord") + 1,
-        F.coalesce(F.col("next.ord"), F.col("last_ord")),
+        F.coalesce(F.col("next.ord"), F.col("n_chunks") - 1),
         "into",
     )
     return carried.select(
@@ -233,7 +231,7 @@ def carried_levels(written: DataFrame) -> DataFrame:
         F.when(F.col("into") == F.col("next.ord"), F.col("next.first_pos"))
         .otherwise(POSITIONS)
         .alias("until"),
-    ).join(chunks.drop("last_ord"), ["product_id", "ord"]).drop("ord")
+    ).join(chunks.drop("n_chunks"), ["product_id", "ord"]).drop("ord")
 
 
 def level_spans(written: DataFrame) -> DataFrame:
@@ -324,59 +322,51 @@ def quote_view(best: DataFrame, symmetric: bool = False, width: int = 1) -> Data
     differ from those before, ``crossed`` whether the message's first row has a
     bid at or above its offer.
     """
-    sides = best.withColumns(
-        {
-            "nb": F.coalesce("bid", "old_bid"),
-            "na": F.coalesce("offer", "old_offer"),
-            "changed": ~(
-                F.col("bid").eqNullSafe(F.col("old_bid"))
-                & F.col("offer").eqNullSafe(F.col("old_offer"))
-            ),
-            "had_book": F.col("old_bid").isNotNull() & F.col("old_offer").isNotNull(),
-        }
-    ).where(F.col("nb").isNotNull() & F.col("na").isNotNull())
-
-    def quote(k: int, time: str, bid: str, offer: str, seq: str) -> Column:
-        return F.struct(
-            F.lit(k).alias("k"),
-            F.col(f"{time}.event_time").alias("event_time"),
-            (F.col(f"{bid}.lvl") * F.lit(float(width))).alias("bid_px"),
-            F.col(f"{bid}.qty").alias("bid_sz"),
-            (F.col(f"{offer}.lvl") * F.lit(float(width))).alias("offer_px"),
-            F.col(f"{offer}.qty").alias("offer_sz"),
-            F.col(f"{seq}.seq").alias("sequence_num"),
-            F.col("nb.timestamp").alias("timestamp"),
+    sides = best.selectExpr(
+        "product_id",
+        "seq AS message",
+        "recv_us",
+        "coalesce(bid, old_bid) AS nb",
+        "coalesce(offer, old_offer) AS na",
+        "old_bid AS ob",
+        "old_offer AS oa",
+        "old_bid IS NOT NULL AND old_offer IS NOT NULL AS had_book",
+        "NOT (bid <=> old_bid AND offer <=> old_offer) AS changed",
+    ).where("nb IS NOT NULL AND na IS NOT NULL")
+
+    def quote(k: int, time: str, bid: str, offer: str, seq: str) -> str:
+        return (
+            f"named_struct('k', {k}, 'event_time', {time}.event_time, "
+            f"'bid_px', {bid}.lvl * {float(width)}D, 'bid_sz', {bid}.qty, "
+            f"'offer_px', {offer}.lvl * {float(width)}D, 'offer_sz', {offer}.qty, "
+            f"'sequence_num', {seq}.seq, 'timestamp', nb.timestamp)"
         )
 
-    bid_first = F.col("had_book") & (F.col("nb.event_time") < F.col("na.event_time"))
-    later_bid = F.col("had_book") & ~bid_first
+    def moved(new: str, old: str) -> str:
+        return f"{new}.event_time <> {old}.event_time AND {new}.lvl <> {old}.lvl"
+
+    bid_first = "had_book AND nb.event_time < na.event_time"
+    offer_first = "had_book AND nb.event_time >= na.event_time"
     rows = [
-        F.when(bid_first & _moved("nb", "old_bid"), quote(0, "nb", "nb", "old_offer", "nb"))
+        f"CASE WHEN {bid_first} AND {moved('nb', 'ob')} "
+        f"THEN {quote(0, 'nb', 'nb', 'oa', 'nb')} END"
     ]
     if symmetric:
         rows.append(
-            F.when(later_bid & _moved("na", "old_offer"), quote(0, "na", "old_bid", "na", "na"))
+            f"CASE WHEN {offer_first} AND {moved('na', 'oa')} "
+            f"THEN {quote(0, 'na', 'ob', 'na', 'na')} END"
         )
     rows.append(
-        F.when(bid_first, quote(1, "na", "nb", "na", "na"))
-        .when(later_bid, quote(1, "nb", "nb", "na", "nb"))
-        .otherwise(quote(1, "na", "nb", "na", "nb"))
+        f"CASE WHEN {bid_first} THEN {quote(1, 'na', 'nb', 'na', 'na')} "
+        f"WHEN {offer_first} THEN {quote(1, 'nb', 'nb', 'na', 'nb')} "
+        f"ELSE {quote(1, 'na', 'nb', 'na', 'nb')} END"
     )
-    viewed = sides.withColumn("rows", F.array_compact(F.array(*rows)))
-    first = F.get("rows", F.lit(0))
-    viewed = viewed.withColumn("crossed", first["bid_px"] >= first["offer_px"])
-    return viewed.select(
+    viewed = sides.withColumn("rows", F.expr(f"array_compact(array({', '.join(rows)}))"))
+    return viewed.selectExpr(
         "product_id",
-        F.col("seq").alias("message"),
+        "message",
         "recv_us",
         "changed",
-        "crossed",
-        F.inline("rows"),
+        "rows[0].bid_px >= rows[0].offer_px AS crossed",
+        "inline(rows)",
     )
-
-
-def _moved(new: str, old: str) -> Column:
-    return (F.col(f"{new}.event_time") != F.col(f"{old}.event_time")) & (
-        F.col(f"{new}.lvl") != F.col(f"{old}.lvl")
-    )
-

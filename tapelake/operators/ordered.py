@@ -17,18 +17,21 @@ def _bucket(order: str) -> Column:
     return F.floor(F.col(order) / F.lit(BUCKET))
 
 
-def running_count(df: DataFrame, keys: list[str], order: str, out: str) -> DataFrame:
-    """Number of earlier rows of the same key, by ``order`` (unique in the key)."""
+def running_count(df: DataFrame, keys: list[str], order: str, out: str, total: str) -> DataFrame:
+    """Number of earlier rows of the same key by ``order`` (unique there), and of all."""
     inside = Window.partitionBy(*keys, "_bucket").orderBy(order)
     numbered = df.withColumn("_bucket", _bucket(order)).withColumn(
         "_at", F.row_number().over(inside) - 1
     )
     sizes = numbered.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    across = Window.partitionBy(*keys).orderBy("_bucket")
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     starts = sizes.select(
-        *keys, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
+        *keys,
+        "_bucket",
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
+        F.sum("_size").over(whole).alias(total),
     )
     return (
         numbered.join(starts, [*keys, "_bucket"])

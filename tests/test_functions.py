@@ -65,8 +65,9 @@ def test_ordered_lookups(spark, small_buckets):
     rng = random.Random(7)
     rows = [(key, at) for key in "ab" for at in sorted(rng.sample(range(100), 30))]
     df = spark.createDataFrame(rows, "key string, at bigint")
-    counted = ordered.running_count(df, ["key"], "at", "n").collect()
+    counted = ordered.running_count(df, ["key"], "at", "n", "total").collect()
     followed = ordered.following(df, ["key"], "at", F.col("at"), "next").collect()
+    assert {r.total for r in counted} == {30}
     for key in "ab":
         places = [at for k, at in rows if k == key]
         assert sorted((r.n, r.at) for r in counted if r.key == key) == list(enumerate(places))
