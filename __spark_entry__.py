@@ -302,8 +302,7 @@ def retention_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outer_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest level of the days before and after a day, the later one preferred."""
-    banded = book.price_band(book.in_chunks(_updates(spark, sf_dir)))
-    bins = book.level_bins(banded).withColumnRenamed("sequence_num", "seq")
+    latest_bins = bins(spark, sf_dir).withColumnRenamed("sequence_num", "seq")
     keys = ["product_id", "side", "lvl"]
     cut = F.unix_micros(F.lit(UPSERT_FROM).cast("timestamp"))
 
@@ -311,8 +310,9 @@ def outer_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         level = F.max_by(F.struct("qty", "event_time", "timestamp", "seq"), "seq")
         return rows.groupBy(*keys).agg(level.alias("level")).select(*keys, "level.*")
 
+    late = F.col("recv_us") >= cut
     return frames.outer_upsert(
-        latest(bins.where(F.col("recv_us") < cut)), latest(bins.where(F.col("recv_us") >= cut)), keys
+        latest(latest_bins.where(~late)), latest(latest_bins.where(late)), keys
     )
 
 
@@ -365,14 +365,16 @@ def price_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return book.level_bins(book.price_band(book.in_chunks(_updates(spark, sf_dir))))
+
+
 def level_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    banded = book.price_band(book.in_chunks(_updates(spark, sf_dir)))
-    return book.level_bins(banded).drop("chunk", "recv_us")
+    return bins(spark, sf_dir).drop("chunk", "recv_us", "low_px", "high_px")
 
 
 def dense_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    banded = book.price_band(book.in_chunks(_updates(spark, sf_dir)))
-    return book.dense_levels(banded).drop("chunk", "recv_us", "head")
+    return book.dense_levels(bins(spark, sf_dir)).drop("chunk", "recv_us", "head")
 
 
 def best_levels(spark: SparkSession, sf_dir: str) -> DataFrame:

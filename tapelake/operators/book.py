@@ -17,7 +17,7 @@ however many messages the chunk has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapelake.functions.columns import iso_nanos
@@ -34,23 +34,34 @@ POSITIONS = 1 << TREE_DEPTH
 CHUNK = POSITIONS - 1
 
 LEVEL = ["lvl", "qty", "event_time", "timestamp", "seq"]
-MESSAGE = ["product_id", "chunk", "sequence_num"]
+
+# Keys of windows and groups, the most selective one first: sorts compare that
+# one by its prefix and rarely reach the texts.
+MESSAGE = ["sequence_num", "chunk", "product_id"]
+IN_CHUNK = ["chunk", "product_id"]
 
 
 def _typed_updates(landing: DataFrame) -> DataFrame:
     decoded = coinbase_level2(frames_of(landing, TOP_OF_BOOK))
-    rows = decoded.select(
-        "value", "recv_ts", "msg", F.explode(F.coalesce(F.col("records"), F.array())).alias("row")
+    messages = decoded.select(
+        "value",
+        "recv_ts",
+        "records",
+        F.col("msg.product_id").alias("product_id"),
+        F.col("msg.channel").alias("channel"),
+        F.col("msg.sequence_num").try_cast("bigint").alias("sequence_num"),
+        F.expr(iso_nanos("msg.timestamp")).alias("timestamp"),
     )
+    rows = messages.withColumn("row", F.explode(F.coalesce("records", F.array())))
     typed = rows.select(
         F.col("row.side").alias("side"),
         F.expr(iso_nanos("row.event_time")).alias("event_time"),
         F.col("row.price_level").try_cast("double").alias("price_level"),
         F.col("row.new_quantity").try_cast("double").alias("new_quantity"),
-        F.col("msg.channel").alias("channel"),
-        F.expr(iso_nanos("msg.timestamp")).alias("timestamp"),
-        F.col("msg.sequence_num").try_cast("bigint").alias("sequence_num"),
-        F.col("msg.product_id").alias("product_id"),
+        "channel",
+        "timestamp",
+        "sequence_num",
+        "product_id",
         "recv_ts",
         "value",
     )
@@ -80,20 +91,7 @@ def book_rejects(landing: DataFrame) -> DataFrame:
 def in_chunks(updates: DataFrame) -> DataFrame:
     """Shuffle the updates by (product, chunk) of their sequence number."""
     chunk = F.floor(F.col("sequence_num") / F.lit(CHUNK))
-    return updates.withColumn("chunk", chunk).repartition("product_id", "chunk")
-
-
-def _in_message(*side: str) -> WindowSpec:
-    """Updates of a message, or of one side of it, by side and price.
-
-    All windows inside messages keep this order and so share one sort.
-    """
-    order = [name for name in ("side", "price_level") if name not in side]
-    return Window.partitionBy(*MESSAGE, *side).orderBy(*order)
-
-
-def _whole(window: WindowSpec) -> WindowSpec:
-    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return updates.withColumn("chunk", chunk).repartition(*IN_CHUNK)
 
 
 def price_band(updates: DataFrame, band: float = BAND) -> DataFrame:
@@ -102,7 +100,7 @@ def price_band(updates: DataFrame, band: float = BAND) -> DataFrame:
     Bounds are those of the update's message. A message without one of the sides
     has no bound there and loses all its updates.
     """
-    message = _whole(_in_message())
+    message = Window.partitionBy(*MESSAGE)
 
     def prices(side: str) -> Column:
         return F.when(F.col("side") == side, F.col("price_level"))
@@ -125,7 +123,8 @@ def _bin(width: int) -> Column:
 def level_bins(banded: DataFrame, width: int = 1) -> DataFrame:
     """Quantity and latest times of each bin a message touches.
 
-    ``lvl`` counts bins of ``width``.
+    ``lvl`` counts bins of ``width``; ``low_px`` and ``high_px`` are the bin's
+    extreme prices.
     """
     return (
         banded.withColumn("lvl", _bin(width))
@@ -135,46 +134,56 @@ def level_bins(banded: DataFrame, width: int = 1) -> DataFrame:
             F.max("event_time").alias("event_time"),
             F.max("timestamp").alias("timestamp"),
             F.max("recv_us").alias("recv_us"),
+            F.min("price_level").alias("low_px"),
+            F.max("price_level").alias("high_px"),
         )
     )
 
 
-def dense_levels(banded: DataFrame, width: int = 1) -> DataFrame:
+def dense_levels(bins: DataFrame, width: int = 1) -> DataFrame:
     """``level_bins`` plus the empty bins around them, with quantity 0 and no time.
 
     The filled range reaches one bin beyond the message's own extremes: bids from
-    floor(min)-1 to ceil(max), offers from floor(min) to ceil(max)+1. One update
-    of each side brings the empty bins along, so the fill needs no join. ``head``
-    marks one bin of each message.
+    floor(min)-1 to ceil(max), offers from floor(min) to ceil(max)+1. The lowest
+    bin of each side brings the empty ones along, so the fill needs no join.
+    ``head`` marks one bin of each message.
     """
-    side = _whole(_in_message("side"))
-    scaled = F.col("price_level") / F.lit(float(width))
+    in_side = Window.partitionBy(*MESSAGE, "side").orderBy("lvl")
+    side = in_side.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    in_message = Window.partitionBy(*MESSAGE).orderBy("side", "lvl")
     is_bid = F.col("side") == "bid"
-    low = F.floor(F.min(scaled).over(side)) - F.when(is_bid, 1).otherwise(0)
-    high = F.ceil(F.max(scaled).over(side)) + F.when(is_bid, 0).otherwise(1)
-    shared = [*MESSAGE, "side", "new_quantity", "event_time", "timestamp", "recv_us"]
-    spread = banded.select(
-        *shared,
-        _bin(width).alias("own"),
-        low.alias("low"),
-        high.alias("high"),
-        (F.row_number().over(_in_message("side")) == 1).alias("first"),
-        (F.row_number().over(_in_message()) == 1).alias("first_of_message"),
+    low = F.floor(F.min("low_px").over(side) / float(width)) - F.when(is_bid, 1).otherwise(0)
+    high = F.ceil(F.max("high_px").over(side) / float(width)) + F.when(is_bid, 0).otherwise(1)
+    spread = bins.withColumns(
+        {
+            "low": low,
+            "high": high,
+            "own": F.collect_list("lvl").over(side),
+            "first": F.row_number().over(in_side) == 1,
+            "head": F.row_number().over(in_message) == 1,
+        }
     )
-    empty = F.when(F.col("first"), F.sequence("low", "high")).otherwise(F.array())
+    empty = F.when(
+        F.col("first"), F.array_except(F.sequence("low", "high"), F.col("own"))
+    ).otherwise(F.array())
     filled = spread.select(
-        *shared,
-        "first_of_message",
-        F.posexplode(F.concat(F.array("own"), empty)).alias("i", "lvl"),
+        *MESSAGE,
+        "side",
+        "qty",
+        "event_time",
+        "timestamp",
+        "recv_us",
+        "head",
+        F.posexplode(F.concat(F.array("lvl"), empty)).alias("i", "lvl"),
     )
     is_own = F.col("i") == 0
-    return filled.groupBy(*MESSAGE, "side", "lvl").agg(
-        F.sum(F.when(is_own, F.col("new_quantity")).otherwise(0.0)).alias("qty"),
-        F.max(F.when(is_own, F.col("event_time"))).alias("event_time"),
-        F.max("timestamp").alias("timestamp"),
-        F.max("recv_us").alias("recv_us"),
-        F.max(F.col("first_of_message") & is_own).alias("head"),
-    )
+    return filled.withColumns(
+        {
+            "qty": F.when(is_own, F.col("qty")).otherwise(0.0),
+            "event_time": F.when(is_own, F.col("event_time")),
+            "head": F.col("head") & is_own,
+        }
+    ).drop("i")
 
 
 def written_levels(updates: DataFrame, width: int = 1) -> DataFrame:
@@ -185,8 +194,9 @@ def written_levels(updates: DataFrame, width: int = 1) -> DataFrame:
     ends the life of the write before it; it is kept if it is the chunk's last
     word on the level, or the head of its message.
     """
-    dense = dense_levels(price_band(in_chunks(updates)), width)
-    by_level = Window.partitionBy("product_id", "chunk", "side", "lvl").orderBy("pos")
+    bins = level_bins(price_band(in_chunks(updates)), width)
+    dense = dense_levels(bins, width)
+    by_level = Window.partitionBy("lvl", *IN_CHUNK, "side").orderBy("pos")
     pos = (F.col("sequence_num") - F.col("chunk") * CHUNK + 1).cast("int")
     lived = (
         dense.withColumn("pos", pos)
@@ -278,16 +288,15 @@ def best_levels(written: DataFrame) -> DataFrame:
     to tree nodes there; a window hands each node's best level to the messages
     that look at it.
     """
-    in_chunk = ["product_id", "chunk"]
     spans = level_spans(written).withColumnRenamed("seq", "level_seq")
     points = book_points(written)
-    starts = points.select(*in_chunk).distinct().withColumn("pos", F.lit(0))
+    starts = points.select(*IN_CHUNK).distinct().withColumn("pos", F.lit(0))
     points = points.unionByName(starts, allowMissingColumns=True)
-    placed = spans.unionByName(points, allowMissingColumns=True).repartition(*in_chunk)
+    placed = spans.unionByName(points, allowMissingColumns=True).repartition(*IN_CHUNK)
 
     is_span = F.col("side").isNotNull()
     nodes = F.when(is_span, _tree_nodes("pos", "until")).otherwise(_nodes_above("pos"))
-    by_node = Window.partitionBy(*in_chunk, "node")
+    by_node = Window.partitionBy("node", *IN_CHUNK)
     level = F.struct("lvl", "qty", "event_time", "timestamp", F.col("level_seq").alias("seq"))
     looked_up = (
         placed.withColumn("node", F.explode(nodes))
@@ -299,13 +308,13 @@ def best_levels(written: DataFrame) -> DataFrame:
         )
         .where(~is_span)
     )
-    best = looked_up.groupBy(*in_chunk, "pos").agg(
+    best = looked_up.groupBy("pos", *IN_CHUNK).agg(
         F.max("seq").alias("seq"),
         F.max("recv_us").alias("recv_us"),
         F.max("bid").alias("bid"),
         F.min("offer").alias("offer"),
     )
-    in_order = Window.partitionBy(*in_chunk).orderBy("pos")
+    in_order = Window.partitionBy(*IN_CHUNK).orderBy("pos")
     return best.withColumns(
         {"old_bid": F.lag("bid").over(in_order), "old_offer": F.lag("offer").over(in_order)}
     ).where(F.col("pos") > 0)
