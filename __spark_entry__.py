@@ -47,6 +47,18 @@ REGISTRY = [
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The training-data operators are an optional part: the library works without them.
+try:
+    import corpus_pipeline
+    from tapelake.llm import queries as llm
+
+    LLM_QUERIES = llm.queries() | {"pipeline": corpus_pipeline.run}
+    LLM_SQL = llm.oracle_sql()
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tapelake.llm"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Top of book of the level-2 feed at the smallest scale."""
@@ -468,8 +480,8 @@ def queries() -> dict[str, Query]:
         stream_trades, stream_top_of_book, stream_fanout,
     ):
         named[query.__name__] = query
-    return named
+    return named | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.sql()
+    return oracles.sql() | LLM_SQL

@@ -1,29 +1,26 @@
-"""Shared scratch space for intermediate tables.
+"""Shared folder for intermediate tables.
 
 A cluster names a folder that all its executors can reach in
-``spark.checkpoint.dir``. Only a local session without that setting may fall
-back to a temporary folder of its own.
+``spark.checkpoint.dir``. Where it is unset, tables go below the session's
+warehouse, which Spark itself expects to be shared. The user's settings are
+never changed.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tapelake-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    return f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/tapelake-work"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -31,6 +28,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tapelake/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the session's own Hadoop file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
