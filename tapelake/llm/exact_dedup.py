@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapelake.llm.columns import inputs, spare_name, utf8
 from tapelake.workspace import materialize
@@ -34,7 +35,7 @@ GROUP = "digest binary, doc_id long, tag long, copies long"
 INDEX = "bucket long, displacements binary, slots binary, doc_id binary, tag binary, copies binary"
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def text_digest(texts: pa.Array) -> pa.Array:
     """SHA-256 of the text with A-Z in lower case; null counts as empty."""
     return pa.array([hashlib.sha256(t.lower()).digest() for t in utf8(texts)], pa.binary())
@@ -45,10 +46,16 @@ def words_of(digests: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(digests).view("<u8")
 
 
+def shifted(words: np.ndarray, displacement: np.ndarray, slots: int) -> np.ndarray:
+    """Slot of each key under a displacement: a hash of both."""
+    mixed = words[:, 1] ^ (displacement.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * (words[:, 2] | np.uint64(1))
+    return ((mixed ^ (mixed >> np.uint64(31))) % np.uint64(slots)).astype(np.int64)
+
+
 def place(words: np.ndarray, displacement: np.ndarray, slots: int) -> np.ndarray:
-    """Slot of each key: its own one if the displacement is negative, else a shifted hash."""
-    shifted = (words[:, 1] + displacement.astype(np.uint64) * (words[:, 2] | np.uint64(1))) % np.uint64(slots)
-    return np.where(displacement < 0, -displacement - 1, shifted.astype(np.int64))
+    """Slot of each key: the displacement names it if negative, and else shifts the key's hash."""
+    return np.where(displacement < 0, -displacement - 1, shifted(words, displacement, slots))
 
 
 def build_displacements(words: np.ndarray) -> np.ndarray:
@@ -69,10 +76,9 @@ def build_displacements(words: np.ndarray) -> np.ndarray:
         keys = words[members[g]]
         if len(keys) < 2:
             break
-        base, step = keys[:, 1], keys[:, 2] | np.uint64(1)
         for first in range(0, MAX_DISPLACEMENT, TRIED_TOGETHER):
-            d = np.arange(first, first + TRIED_TOGETHER, dtype=np.uint64)[:, None]
-            slot = np.sort(((base + d * step) % np.uint64(n)).astype(np.int64), axis=1)
+            tried = np.arange(first, first + TRIED_TOGETHER)[:, None]
+            slot = np.sort(shifted(keys, tried, n), axis=1)
             fits = ~taken[slot].any(axis=1) & (np.diff(slot, axis=1) > 0).all(axis=1)
             if fits.any():
                 best = int(fits.argmax())

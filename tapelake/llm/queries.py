@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelake.llm import exact_dedup, packing, quality, simhash, toxicity
+from tapelake.llm import (
+    exact_dedup,
+    language_model,
+    licenses,
+    packing,
+    pieces,
+    quality,
+    simhash,
+    spotsigs,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,16 +43,50 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_summary(licenses.license_places(table(spark, sf_dir, "documents")))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best and n-th best segmentation of every text, decoded again."""
+    docs = table(spark, sf_dir, "documents")
+    found = pieces.encode(docs)
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2(pieces.decode_udf()("ids"), 256).alias("decoded_sha256"),
+        F.col("score").alias("best_score"),
+        (F.size("alternatives") + 1).cast("long").alias("n_best"),
+        F.coalesce(F.array_min("alternatives.score"), "score").alias("last_score"),
+    )
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.grades(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_likeness(table(spark, sf_dir, "documents")).drop("signatures")
+
+
 def queries() -> dict[str, Query]:
     return {
         q.__name__: q
@@ -49,8 +94,13 @@ def queries() -> dict[str, Query]:
             op1_exact_dedup,
             op2_best_fit_packing,
             op3_simhash_near_dedup,
+            op4_license_scan,
             op5_toxicity,
+            op6_sentencepiece,
+            op7_warc,
             op8_quality_classifier,
+            op9_language_model,
+            op10_spotsigs,
         )
     }
 
