@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+ROWS_AT_ONCE = 256
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -29,9 +31,24 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
-def utf8(texts: pa.Array) -> list[bytes]:
+def slices(table: pa.Array | pa.RecordBatch) -> Iterator[pa.Array | pa.RecordBatch]:
+    """An Arrow batch in parts of a few rows, so that few texts are Python objects at a time."""
+    for start in range(0, len(table), ROWS_AT_ONCE):
+        yield table.slice(start, ROWS_AT_ONCE)
+
+
+def utf8(texts: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
-    return [value or b"" for value in texts.cast(pa.binary()).to_pylist()]
+    for part in slices(texts):
+        for value in part.cast(pa.binary()).to_pylist():
+            yield value or b""
+
+
+def strings(texts: pa.Array) -> Iterator[str]:
+    """Each text; null counts as empty."""
+    for part in slices(texts):
+        for value in part.to_pylist():
+            yield value or ""
 
 
 def crc_remainder(key: Column, divisor: int) -> Column:

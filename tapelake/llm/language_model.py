@@ -37,7 +37,7 @@ from tapelake.workspace import materialize
 FOLDS = 10
 ADDED = 0.1
 PRIOR_WEIGHT = 16.0
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 RANGE_TOKENS = 1_500_000
 END, START = b" end", b" start"  # no word holds a space
 WORDS, PAIRS = 1, 2
@@ -121,8 +121,8 @@ def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        columns = batch.to_pydict() | {"text": utf8(batch.column("text"))}
-        for doc_id, out, text in zip(columns["doc_id"], columns["held_out"], columns["text"], strict=True):
+        known = [batch.column(name).to_pylist() for name in ("doc_id", "held_out")]
+        for doc_id, out, text in zip(*known, utf8(batch.column("text")), strict=True):
             words = text.lower().split()
             words.append(END)
             parts.append(np.fromiter(map(vocabulary.__getitem__, words), np.uint32, len(words)))

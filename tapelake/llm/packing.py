@@ -12,6 +12,7 @@ Pieces are numbered within their length side by side and look their run up.
 from __future__ import annotations
 
 import base64
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
@@ -20,22 +21,24 @@ from itertools import pairwise
 import numpy as np
 import pandas as pd
 import public_tokenizers
-import re
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapelake.llm.columns import inputs
+from tapelake.llm.columns import inputs, slices, strings
 from tapelake.workspace import materialize
 
 CAPACITY = 1024
 END_ID = 2
 ID_BYTES = 4
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 ROWS_PER_SALT = 200_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
 SPECIAL_TOKENS = {"<|endoftext|>": 50256}
 
+PIECE_COLUMNS = ["doc_id", "piece", "start", "length", "ids"]
+PIECE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -91,20 +94,21 @@ def pieces(
     """
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
-    def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(path)
         end = END_ID.to_bytes(ID_BYTES, "little")
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encoder.ids(text or "") + end
-                for piece, (a, b) in enumerate(pairwise(cut(len(ids) // ID_BYTES, capacity))):
-                    rows.append((doc_id, piece, a, b - a, ids[a * ID_BYTES : b * ID_BYTES]))
-            frame = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
-            yield frame.astype({"doc_id": "Int64"})
+            for part in slices(batch):
+                rows = []
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), strings(part.column("text")), strict=True):
+                    ids = encoder.ids(text) + end
+                    for piece, (a, b) in enumerate(pairwise(cut(len(ids) // ID_BYTES, capacity))):
+                        rows.append((doc_id, piece, a, b - a, ids[a * ID_BYTES : b * ID_BYTES]))
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), PIECE_TYPES, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=PIECE_COLUMNS)
 
     rows = inputs(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInPandas(tokenise, PIECES)
+    return rows.mapInArrow(tokenise, PIECES)
 
 
 class Plan:

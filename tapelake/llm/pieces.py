@@ -26,14 +26,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.columns import inputs
+from tapelake.llm.columns import ROWS_AT_ONCE, inputs, utf8
 
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
 SPACE = "▁"
 WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 250_000
+CACHED_WORDS = 200_000
 CACHED_LENGTH = 48
 NEVER = -1e8  # pieces of spaces score far below this; they cost as much as an unknown character
 
@@ -213,7 +213,7 @@ def encode(
 
     def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = lattice(path)
-        for batch in batches:
+        for batch in (b.iloc[a : a + ROWS_AT_ONCE] for b in batches for a in range(0, len(b), ROWS_AT_ONCE)):
             rows = [model.encode(text or "", n) for text in batch["text"]]
             yield pd.DataFrame(
                 {
@@ -246,6 +246,6 @@ def decode_udf(model: str | None = None):
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
         known = lattice(path)
-        return pa.array([known.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in ids.to_pylist()], pa.string())
+        return pa.array([known.decode(np.frombuffer(x, "<u4").tolist()) for x in utf8(ids)], pa.string())
 
     return decode

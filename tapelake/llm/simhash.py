@@ -38,6 +38,7 @@ HALF = 32
 HALF_BITS = 2  # of MAX_BITS, what at least one half keeps to
 COMPARED_AT_ONCE = 1 << 22
 SHINGLES_AT_ONCE = 1 << 16
+REPLICATED_AT_ONCE = 2048
 TILE_HOMES = 4096
 BROADCAST_ANCHORS = 10_000
 
@@ -162,9 +163,11 @@ def anchors(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def replicate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        values = batch["fp"].to_numpy(np.int64)
-        row, anchor, home = anchors(values)
-        yield pd.DataFrame({"anchor": anchor, "fp": values[row], "home": home})
+        whole = batch["fp"].to_numpy(np.int64)
+        for at in range(0, len(whole), REPLICATED_AT_ONCE):
+            values = whole[at : at + REPLICATED_AT_ONCE]
+            row, anchor, home = anchors(values)
+            yield pd.DataFrame({"anchor": anchor, "fp": values[row], "home": home})
 
 
 def replicate_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

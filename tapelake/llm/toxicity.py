@@ -25,7 +25,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.columns import crc_remainder, spare_name
+from tapelake.llm.columns import crc_remainder, spare_name, strings
 from tapelake.llm.training import labelled_sample
 from tapelake.workspace import materialize
 
@@ -162,7 +162,7 @@ def features_udf(lexicon: dict[str, float]):
 
     @F.arrow_udf("array<double>")
     def dense(texts: pa.Array) -> pa.Array:
-        return pa.array([features.of(t or "") for t in texts.to_pylist()], pa.list_(pa.float64()))
+        return pa.array([features.of(t) for t in strings(texts)], pa.list_(pa.float64()))
 
     return dense
 
