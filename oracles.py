@@ -412,6 +412,25 @@ fed AS (
 SELECT "table", date, count(*) AS table_rows FROM fed GROUP BY ALL"""
 
 
+TRADE_REJECTS = f"""
+    SELECT CASE WHEN event_id % 89 = 0 THEN 'malformed' ELSE 'bad price' END AS reason, {_audit("ts")}
+    FROM ev WHERE event_type <> 'error' AND (event_id % 97 = 0 OR event_id % 89 = 0)"""
+
+TRADES_TABLE = "binance_trade_data_stream"
+
+BOOK_REJECTS = """
+    SELECT reason, CAST(to_timestamp(1704067200 + user_id % 3 * 86400) AT TIME ZONE 'UTC' AS DATE) AS date,
+           (1704067200 + user_id % 3 * 86400) * 1000000 AS insert_time
+    FROM (SELECT DISTINCT user_id FROM events),
+         (SELECT unnest(['malformed', 'no channel', 'bad price_level']) AS reason)"""
+
+# Every table has bytes, and its readable size and GB fit them, however it is encoded.
+TABLE_SIZES = """
+    SELECT unnest(string_split('region nation customer supplier part orders lineitem events documents
+        embeddings pages benchmark labels conversations', ' ')) AS "table",
+        true AS has_bytes, true AS readable_fits, true AS gb_fits""".replace("\n        ", " ")
+
+
 def sql() -> dict[str, str]:
     return {
         "binance_ticker": _ev(BINANCE_TICKER),
@@ -446,10 +465,7 @@ def sql() -> dict[str, str]:
                    CASE WHEN event_id % 97 = 0 THEN 'bad price' END AS reason
             FROM ev WHERE event_type <> 'error' AND event_id % 89 <> 0"""),
         "audit_columns": _ev(f"SELECT event_id AS order_book_updateid, {_audit('ts')} FROM ev"),
-        "quarantine": _ev(f"""
-            SELECT CASE WHEN event_id % 89 = 0 THEN 'malformed' ELSE 'bad price' END AS reason,
-                   {_audit("ts")}
-            FROM ev WHERE event_type <> 'error' AND (event_id % 97 = 0 OR event_id % 89 = 0)"""),
+        "quarantine": _ev(TRADE_REJECTS),
         "message_kinds": _ev(KINDS),
         "route_counts": f"""
             WITH {EVENTS}, {FEED_TABLES}, kinds AS ({KINDS})
@@ -526,4 +542,25 @@ def sql() -> dict[str, str]:
         "stream_trades": _ev(TRADES),
         "stream_top_of_book": f"WITH {VIEW} {TOP_OF_BOOK}",
         "stream_fanout": STREAM_FANOUT,
+        "stream_counters": _ingest_counters(),
+        "mixed_writers": _ev(f"""
+            SELECT '{TRADES_TABLE}' AS "table", date, 5 * count(*) AS table_rows
+            FROM ({TRADES}) GROUP BY date"""),
+        "retention_delete": _ev(f"""
+            SELECT "table", date, 2 * count(*) AS table_rows
+            FROM (SELECT '{TRADES_TABLE}' AS "table", date FROM ({TRADES})
+                  UNION ALL SELECT 'gemini_multimarketdata_trades', date FROM ({GEMINI_TRADE}))
+            WHERE date >= DATE '2024-01-15' GROUP BY ALL"""),
+        "book_rejects": BOOK_REJECTS,
+        "stream_quarantine": f"""
+            WITH {VIEW}, good AS ({_ev(GOOD_TRADES)}), bad AS ({_ev(TRADE_REJECTS)}),
+            book_bad AS ({BOOK_REJECTS})
+            SELECT "table", date, count(*) AS table_rows FROM (
+                SELECT '{TRADES_TABLE}' AS "table", date FROM good
+                UNION ALL SELECT 'coinbase_top_of_book_stream', date FROM ({TOP_OF_BOOK})
+                UNION ALL SELECT '{TRADES_TABLE} ' || reason, date FROM bad
+                UNION ALL SELECT 'coinbase_top_of_book_stream ' || reason, date FROM book_bad
+            ) GROUP BY ALL""",
+        "table_sizes": TABLE_SIZES,
+        "coverage_with_sizes": f"SELECT *, true AS has_bytes, true AS gb_fits FROM ({_coverage_all()})",
     }

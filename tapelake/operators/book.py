@@ -42,18 +42,22 @@ IN_CHUNK = ["chunk", "product_id"]
 
 
 def _typed_updates(landing: DataFrame) -> DataFrame:
+    """One line per update, and one for a message without any; ``reason``: what is wrong with it."""
     decoded = coinbase_level2(frames_of(landing, TOP_OF_BOOK))
     messages = decoded.select(
         "value",
         "recv_ts",
         "records",
+        F.col("reason").alias("rejected"),
         F.col("msg.product_id").alias("product_id"),
         F.col("msg.channel").alias("channel"),
         F.col("msg.sequence_num").try_cast("bigint").alias("sequence_num"),
         F.expr(iso_nanos("msg.timestamp")).alias("timestamp"),
     )
-    rows = messages.withColumn("row", F.explode(F.coalesce("records", F.array())))
+    rows = messages.withColumn("row", F.explode_outer("records"))
     typed = rows.select(
+        F.col("row").isNotNull().alias("is_update"),
+        "rejected",
         F.col("row.side").alias("side"),
         F.expr(iso_nanos("row.event_time")).alias("event_time"),
         F.col("row.price_level").try_cast("double").alias("price_level"),
@@ -67,25 +71,24 @@ def _typed_updates(landing: DataFrame) -> DataFrame:
     )
     numeric = ["event_time", "price_level", "new_quantity", "timestamp", "sequence_num"]
     bad = [F.when(F.col(name).isNull(), F.lit(f"bad {name}")) for name in numeric]
-    return typed.withColumn("reason", F.coalesce(*bad))
+    reason = F.when(F.col("is_update"), F.coalesce(*bad)).otherwise(F.col("rejected"))
+    return typed.withColumn("reason", reason)
 
 
 def book_updates(landing: DataFrame) -> DataFrame:
     """One row per good level-2 update, with the shared fields of its message."""
     return (
         _typed_updates(landing)
-        .where(F.col("reason").isNull())
+        .where(F.col("is_update") & F.col("reason").isNull())
         .withColumn("recv_us", F.unix_micros("recv_ts"))
-        .drop("recv_ts", "value", "reason")
+        .drop("recv_ts", "value", "reason", "rejected", "is_update")
     )
 
 
 def book_rejects(landing: DataFrame) -> DataFrame:
-    """Raw text and reason of rejected level-2 messages and of bad updates."""
-    rejected = ["value", "reason", *audit_columns("recv_ts")]
+    """Raw text and reason of rejected level-2 messages and of bad updates, from one decoding."""
     bad = F.col("reason").isNotNull()
-    messages = coinbase_level2(frames_of(landing, TOP_OF_BOOK)).where(bad).select(rejected)
-    return messages.unionByName(_typed_updates(landing).where(bad).select(rejected))
+    return _typed_updates(landing).where(bad).select("value", "reason", *audit_columns("recv_ts"))
 
 
 def in_chunks(updates: DataFrame) -> DataFrame:

@@ -77,7 +77,8 @@ def _binance(frames: DataFrame, spec: TableSpec) -> DataFrame:
     """A frame is one object or an array of objects; parsed as an array it is both.
 
     Raw keys differ only by case, so the fields are renamed by position before
-    any of them is looked up.
+    any of them is looked up. One record with a symbol makes the frame data;
+    records without one are set aside row by row.
     """
     p = F.col("_p")
     keys = _record(spec, "key", "result", "id")
@@ -92,9 +93,8 @@ def _binance(frames: DataFrame, spec: TableSpec) -> DataFrame:
     )
     kind = (
         F.when(F.size(p) == 0, CONTROL)
-        .when(first.isNull(), REJECT)
         .when(ack, CONTROL)
-        .when(first["symbol"].isNotNull(), DATA)
+        .when(F.exists(p, lambda record: record["symbol"].isNotNull()), DATA)
         .otherwise(REJECT)
     )
     reason = F.when(first.isNull(), "malformed").otherwise("unknown message")
@@ -208,9 +208,10 @@ def _kraken_ohlc(frames: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _kraken_ticker(frames: DataFrame, spec: TableSpec) -> DataFrame:
     """Object of ragged arrays; a position past the end of its array is NULL."""
-    payload = F.from_json(_second(), "map<string,array<string>>")
+    fields = ",".join(f"{key}:array<string>" for key in KRAKEN_TICKER)
+    payload = F.from_json(_second(), f"struct<{fields}>")
     names = [
-        f"get(_payload['{key}'], {i}) AS {column}"
+        f"get(_payload.{key}, {i}) AS {column}"
         for key, columns in KRAKEN_TICKER.items()
         for i, column in enumerate(columns)
     ]

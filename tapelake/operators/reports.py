@@ -16,19 +16,26 @@ def symbol_coverage(rows: DataFrame, symbol: str = "symbol") -> DataFrame:
     Grouping by (symbol, date) first leaves one row per pair on the map side, so
     a symbol with most rows sends no more than its dates to one task.
     """
-    dates = rows.select(F.col(symbol).alias("symbol"), "date").distinct()
-    return dates.groupBy("symbol").agg(
-        F.count("date").alias("date_count"), F.max("date").alias("last_date")
+    return _covered(rows.select(F.col(symbol).alias("symbol"), "date"), ["symbol"])
+
+
+def _covered(dates: DataFrame, keys: list[str]) -> DataFrame:
+    return (
+        dates.distinct()
+        .groupBy(*keys)
+        .agg(F.count("date").alias("date_count"), F.max("date").alias("last_date"))
     )
 
 
 def coverage(tables: dict[str, DataFrame]) -> DataFrame:
-    """``symbol_coverage`` of several tables, with a ``table`` column."""
+    """``symbol_coverage`` of several tables, with a ``table`` column, in two shuffles for all."""
     parts = [
-        symbol_coverage(rows, TABLES[name].symbol).withColumn("table", F.lit(name))
+        rows.select(
+            F.col(TABLES[name].symbol).alias("symbol"), "date", F.lit(name).alias("table")
+        )
         for name, rows in tables.items()
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return _covered(reduce(DataFrame.unionByName, parts), ["table", "symbol"])
 
 
 def coverage_with_sizes(covered: DataFrame, sizes: DataFrame) -> DataFrame:

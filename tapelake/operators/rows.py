@@ -80,7 +80,11 @@ def _text(field: Field) -> str:
 
 
 def _misfit(spec: TableSpec) -> Column:
-    tests = [
+    symbol = next(f for f in spec.fields if f.column == spec.symbol)
+    tests = [] if symbol.from_message else [
+        f"CASE WHEN at IS NOT NULL AND {_text(symbol)} IS NULL THEN 'no {symbol.column}' END"
+    ]
+    tests += [
         f"CASE WHEN {_text(f)} IS NOT NULL AND {coerce(_text(f), f.type)} IS NULL "
         f"THEN 'bad {f.column}' END"
         for f in spec.fields

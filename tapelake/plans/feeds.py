@@ -46,21 +46,26 @@ def ingest_counters(landing: DataFrame, tables: list[str] | None = None) -> Data
         )
         for name in tables or STATELESS
     ]
+    return reduce(DataFrame.unionByName, lines).groupBy("table").agg(*_counts())
+
+
+def row_counters(rows: DataFrame, table: str) -> DataFrame:
+    """``ingest_counters`` of one table from its ``message_rows``."""
+    return rows.agg(*_counts()).withColumn("table", F.lit(table))
+
+
+def _counts() -> list[Column]:
     is_row, good = F.col("at").isNotNull(), F.col("misfit").isNull()
     first_line = F.coalesce(F.col("at"), F.lit(0)) == 0
 
     def count_where(condition: Column, name: str) -> Column:
         return F.count(F.when(condition, 1)).alias(name)
 
-    return (
-        reduce(DataFrame.unionByName, lines)
-        .groupBy("table")
-        .agg(
-            *[
-                count_where(first_line & (F.col("kind") == k), f"{k}_messages")
-                for k in (DATA, CONTROL, REJECT)
-            ],
-            count_where(is_row & good, "rows_processed"),
-            count_where(is_row & ~good, "rows_rejected"),
-        )
-    )
+    return [
+        *(
+            count_where(first_line & (F.col("kind") == k), f"{k}_messages")
+            for k in (DATA, CONTROL, REJECT)
+        ),
+        count_where(is_row & good, "rows_processed"),
+        count_where(is_row & ~good, "rows_rejected"),
+    ]

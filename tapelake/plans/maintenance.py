@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapelake.sources.tables import Lake, is_day
+from tapelake.workspace import materialize, remove_folder
+
 DEFAULT_DAYS = 5
 
 
@@ -45,35 +48,67 @@ def retention_report(
     )
 
 
+def sweep_lake(
+    lake: Lake, as_of: date, days: int = DEFAULT_DAYS, tables: list[str] | None = None
+) -> dict[str, list[str]]:
+    """Delete the old days of a lake's tables, in every load; the days that went, by table.
+
+    Whole folders go, no row is rewritten.
+    """
+    limit = as_of - timedelta(days=days)
+    return {table: lake.drop_days(table, limit) for table in tables or lake.tables()}
+
+
 def sweep(
     spark: SparkSession, database: str, as_of: str, days: int = DEFAULT_DAYS
 ) -> dict[str, list[str]]:
-    """Drop old date partitions of every catalog table that is partitioned by date.
+    """Delete old days from every catalog table that has a date column; the days that went, by table.
 
-    Returns the dropped partitions by table. Whole folders go, no row is rewritten.
+    A table that is partitioned by date loses its folders, whatever partition
+    columns stand around the date, and its catalog entries. Any other table with a
+    date column is rewritten without the old rows.
     """
     dropped = {}
-    limit = (date.fromisoformat(as_of) - timedelta(days=days)).isoformat()
+    limit = date.fromisoformat(as_of) - timedelta(days=days)
     for table in spark.catalog.listTables(database):
         if table.isTemporary:
             continue
         name = f"`{database}`.`{table.name}`"
-        partition = next(
-            (
-                column.name
-                for column in spark.catalog.listColumns(f"{database}.{table.name}")
-                if column.name.lower() == "date" and column.isPartition
-            ),
-            None,
-        )
-        if partition is None:
+        columns = spark.catalog.listColumns(f"{database}.{table.name}")
+        column = next((c for c in columns if c.name.lower() == "date"), None)
+        if column is None:
             continue
-        # The partition list holds one entry per day.
-        days_found = [
-            row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()
-        ]
-        old = sorted(day for day in days_found if day < limit)
-        for day in old:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition}=DATE'{day}')")
-        dropped[table.name] = old
+        clear = _drop_partitions if column.isPartition else _rewrite
+        dropped[table.name] = clear(spark, name, column.name, limit)
     return dropped
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return details.first()["data_type"]
+
+
+def _drop_partitions(spark: SparkSession, name: str, column: str, limit: date) -> list[str]:
+    # The partition list holds one entry per load and day.
+    location = _location(spark, name)
+    gone = set()
+    for (partition,) in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        values = dict(part.split("=", 1) for part in partition.split("/"))
+        day = values[column]
+        if is_day(day) and date.fromisoformat(day) < limit:
+            spec = ", ".join(f"`{key}`='{value}'" for key, value in values.items())
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+            remove_folder(spark, f"{location}/{partition}")
+            gone.add(day)
+    return sorted(gone)
+
+
+def _rewrite(spark: SparkSession, name: str, column: str, limit: date) -> list[str]:
+    """Replace a table by its kept rows. They are complete in a folder of their own before the old ones go."""
+    rows = spark.table(name)
+    old = F.col(column) < F.lit(limit)
+    gone = [row[0].isoformat() for row in rows.where(old).select(column).distinct().collect()]
+    if gone:
+        left = materialize(rows.where(~old | old.isNull()), "kept-rows")
+        left.write.mode("overwrite").insertInto(name)
+    return sorted(gone)

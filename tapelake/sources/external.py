@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_exchange_info(spark: SparkSession, path: str) -> DataFrame:
-    """Exchange-info documents, one per file, with whatever fields they have."""
-    return spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
+def read_exchange_info(
+    spark: SparkSession, path: str, schema: str | None = None, one_per_line: bool = False
+) -> DataFrame:
+    """Exchange-info documents with the fields of a schema, or whatever they have.
+
+    A file is one document, or holds one on each line.
+    """
+    reader = spark.read.option("multiLine", not one_per_line).option("primitivesAsString", True)
+    return (reader.schema(schema) if schema else reader).json(path)
 
 
 def read_runs(

@@ -1,8 +1,16 @@
-"""Typed parquet tables in one folder, partitioned by ingest date."""
+"""Typed parquet tables in one folder, partitioned by load and ingest date.
+
+All writers share one layout, ``<table>/load=<id>/date=<day>/*.parquet``: a batch
+append takes a new load, a stream writes each micro-batch to a load named after
+query and batch, so that a batch that is run again replaces its own rows and
+nobody else's.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +18,11 @@ from pyspark.sql import types as T
 
 from tapelake.functions.columns import readable_size, size_gb
 from tapelake.specs import TABLES, TableSpec
+from tapelake.workspace import remove_folder
 
 
 class Lake:
-    """Tables under ``root``, each a folder ``root/<table>/date=.../*.parquet``."""
+    """Tables under ``root``, each a folder ``root/<table>/load=.../date=.../*.parquet``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -27,45 +36,75 @@ class Lake:
         if table in TABLES:
             schema = TABLES[table].schema
             return self.spark.read.schema(schema).parquet(self.path(table)).select(schema.names)
-        return self.spark.read.parquet(self.path(table))
+        return self.spark.read.parquet(self.path(table)).drop("load")
 
-    def append(self, rows: DataFrame, table: str, mode: str = "append") -> None:
-        """Add rows, sorted by the table's sort key inside each file.
+    def append(self, rows: DataFrame, table: str, load: str | None = None) -> str:
+        """Add rows as one load, sorted by the table's sort key inside each file.
 
         Rows are rebalanced by date: small dates share a task, and a date that
         holds most rows is split over many. Sorted files let readers skip row
-        groups by the sort key. One pass, nothing is sampled first.
+        groups by the sort key. One pass, nothing is sampled first. A load that is
+        written again under the same name is replaced; without a name it is new.
         """
+        load = load or uuid.uuid4().hex
+        if table in TABLES:
+            rows = rows.select(TABLES[table].schema.names)
+        sort_key = TABLES[table].sort_key if table in TABLES else ()
         (
-            rows.select(TABLES[table].schema.names)
-            .hint("rebalance", F.col("date"))
-            .sortWithinPartitions("date", *TABLES[table].sort_key)
-            .write.mode(mode)
+            rows.hint("rebalance", F.col("date"))
+            .sortWithinPartitions("date", *sort_key)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
             .partitionBy("date")
-            .parquet(self.path(table))
+            .parquet(f"{self.path(table)}/load={load}")
         )
+        return load
+
+    def loads(self, table: str) -> list[str]:
+        """Names of a table's loads, from its folders alone."""
+        return [name.split("=", 1)[1] for name in child_folders(self.spark, self.path(table), "load=*")]
+
+    def compact(self, table: str) -> str:
+        """Rewrite all present loads of a table as one. Readers must not run meanwhile.
+
+        Loads that arrive while it runs are left as they are.
+        """
+        old = self.loads(table)
+        paths = [f"{self.path(table)}/load={load}" for load in old]
+        rows = self.spark.read.option("basePath", self.path(table)).parquet(*paths).drop("load")
+        load = self.append(rows, table)
+        for path in paths:
+            remove_folder(self.spark, path)
+        return load
 
     def truncate(self, table: str) -> None:
         """Remove all rows of a table and keep the table."""
-        empty = self.spark.createDataFrame([], TABLES[table].schema)
-        (
-            empty.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("date")
-            .parquet(self.path(table))
-        )
+        old = self.loads(table)
+        schema = self.read(table).schema
+        self.append(self.spark.createDataFrame([], schema), table)
+        for load in old:
+            remove_folder(self.spark, f"{self.path(table)}/load={load}")
+
+    def drop_days(self, table: str, before: date) -> list[str]:
+        """Delete the folders of all days before a day, in every load; the days that went."""
+        dropped = set()
+        for folder in child_folders(self.spark, self.path(table), "load=*/date=*"):
+            day = folder.rsplit("date=", 1)[1]
+            if is_day(day) and date.fromisoformat(day) < before:
+                remove_folder(self.spark, f"{self.path(table)}/{folder}")
+                dropped.add(day)
+        return sorted(dropped)
 
     def create(self, table: str) -> str:
-        """``CREATE TABLE`` statement of a table of this folder, run in the catalog."""
+        """Put a table of this folder into the catalog, with the loads it has; the statement."""
         statement = create_statement(TABLES[table], self.path(table))
         self.spark.sql(statement)
+        self.spark.sql(f"MSCK REPAIR TABLE {table}")
         return statement
 
     def tables(self) -> list[str]:
         """Names of the tables found in the folder."""
-        below = F.substring_index("path", f"{self.root}/", -1)
-        names = listed_files(self.spark, self.root).select(F.substring_index(below, "/", 1))
-        return sorted(row[0] for row in names.distinct().collect())
+        return child_folders(self.spark, self.root, "*")
 
     def sizes(self, tables: Iterable[str]) -> DataFrame:
         """Bytes on disk of each table: ``table``, ``size_readable``, ``total_gb``.
@@ -75,28 +114,42 @@ class Lake:
         return table_sizes(self.spark, {table: self.path(table) for table in tables})
 
     def sql(self, query: str, tables: Iterable[str]) -> DataFrame:
-        """Result of a query over the named tables. Errors are raised, not printed.
+        """Result of a query that names tables of this folder as ``{table}``.
 
-        The names stand for this folder's tables while the query is analysed and
-        are free again afterwards.
+        Errors are raised, not printed. The session's own views are not touched.
         """
-        tables = list(tables)
-        for table in tables:
-            self.read(table).createOrReplaceTempView(table)
-        try:
-            return self.spark.sql(query)
-        finally:
-            for table in tables:
-                self.spark.catalog.dropTempView(table)
+        return self.spark.sql(query, **{table: self.read(table) for table in tables})
+
 
 def create_statement(spec: TableSpec, path: str) -> str:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
     return (
-        f"CREATE TABLE IF NOT EXISTS {spec.name} ({columns}) "
-        f"USING parquet PARTITIONED BY (date) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {spec.name} ({columns}, `load` string) "
+        f"USING parquet PARTITIONED BY (load, date) LOCATION '{path}'"
+    )
+
+
+def child_folders(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Folders below ``root`` that fit a pattern, relative to it; files are not listed."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(top, pattern)) or []
+    depth = pattern.count("/") + 1
+    return sorted(
+        "/".join(status.getPath().toString().split("/")[-depth:])
+        for status in found
+        if status.isDirectory()
     )
 
 
+def is_day(text: str) -> bool:
+    try:
+        date.fromisoformat(text)
+    except ValueError:
+        return False
+    return True
+
+
 def listed_files(spark: SparkSession, path: str) -> DataFrame:
     """``path`` and ``length`` of the parquet files below a folder, contents unread."""
     return (
@@ -131,9 +184,9 @@ def dry_run(rows: DataFrame) -> int:
     return counter.get["rows"]
 
 
-def write_snapshot(rows: DataFrame, folder: str, name: str, day: str) -> str:
+def write_snapshot(rows: DataFrame, folder: str, name: str, day: date) -> str:
     """CSV snapshot ``<name>_<yyyymmdd>`` with a header line in every file."""
-    path = f"{folder}/{name}_{day}"
+    path = f"{folder}/{name}_{day:%Y%m%d}"
     rows.write.option("header", True).csv(path)
     return path
 

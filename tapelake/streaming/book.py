@@ -14,14 +14,17 @@ from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.storagelevel import StorageLevel
 
-from tapelake.operators.book import BAND, book_updates
+from tapelake.operators.book import BAND, book_rejects, book_updates
 from tapelake.operators.fold import Book, Level, Message, message_levels, replay
 from tapelake.plans.top_of_book import QUOTES, as_table
 from tapelake.sources.tables import Lake
 from tapelake.specs import TOP_OF_BOOK
+from tapelake.streaming.ingest import start, write_counts, write_rejects
 
 STATE = (
     "side array<int>, lvl array<bigint>, qty array<double>, event_time array<bigint>, "
@@ -54,16 +57,27 @@ def stream_quotes(frames: DataFrame, symmetric: bool = False, width: int = 1) ->
 def start_top_of_book(
     frames: DataFrame, lake: Lake, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    writer = (
-        as_table(stream_quotes(frames))
-        .writeStream.format("parquet")
-        .option("path", lake.path(TOP_OF_BOOK))
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("date")
-        .outputMode("append")
-        .queryName(TOP_OF_BOOK)
+    """Quote rows to their table, rejected messages and updates to the quarantine, and counts of both."""
+    quotes, rejects = as_table(stream_quotes(frames)), book_rejects(frames)
+    both = quotes.withColumn("value", F.lit(None).cast("string")).unionByName(
+        rejects, allowMissingColumns=True
     )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    rejected = F.col("reason").isNotNull()
+
+    def write(batch: DataFrame, load: str) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            lake.append(batch.where(~rejected), TOP_OF_BOOK, load)
+            write_rejects(batch.where(rejected).select(rejects.columns), TOP_OF_BOOK, lake, load)
+            counts = batch.agg(
+                F.count(F.when(~rejected, 1)).alias("rows_processed"),
+                F.count(F.when(rejected, 1)).alias("rows_rejected"),
+            )
+            write_counts([counts.withColumn("table", F.lit(TOP_OF_BOOK)).first()], lake, load)
+        finally:
+            batch.unpersist()
+
+    return start(both, write, checkpoint, available_now, TOP_OF_BOOK)
 
 
 def _messages(updates: pd.DataFrame, width: int) -> Iterator[Message]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tapelake.operators.book import book_updates
 from tapelake.plans import maintenance, top_of_book
 from tapelake.plans.coverage import market_data_report
-from tapelake.plans.feeds import table_rows
+from tapelake.plans.feeds import quarantine_rows, table_rows
 from tapelake.sources import landing, tables
 from tapelake.specs import TABLES, TOP_OF_BOOK
 from tapelake.streaming import ingest
@@ -111,10 +111,13 @@ def test_hot_date_is_spread_and_sorted(spark, lake):
 
 def test_sql_raises(lake, trades):
     lake.append(trades, TRADES)
-    (row,) = lake.sql(f"SELECT count(*) AS n FROM {TRADES}", [TRADES]).collect()
+    trades.limit(1).createOrReplaceTempView(TRADES)
+    (row,) = lake.sql(f"SELECT count(*) AS n FROM {{{TRADES}}}", [TRADES]).collect()
     assert row.n == 20
+    assert trades.sparkSession.table(TRADES).count() == 1
+    trades.sparkSession.catalog.dropTempView(TRADES)
     with pytest.raises(Exception, match="no_such_column"):
-        lake.sql(f"SELECT no_such_column FROM {TRADES}", [TRADES])
+        lake.sql(f"SELECT no_such_column FROM {{{TRADES}}}", [TRADES])
 
 
 def test_dry_run_counts(trades):
@@ -122,7 +125,7 @@ def test_dry_run_counts(trades):
 
 
 def test_snapshot_has_one_header_per_file(spark, trades):
-    path = tables.write_snapshot(trades, new_folder(spark, "test-csv"), "trades", "20240101")
+    path = tables.write_snapshot(trades, new_folder(spark, "test-csv"), "trades", datetime.date(2024, 1, 1))
     assert path.endswith("trades_20240101")
     back = tables.read_snapshot(spark, path, trades.schema)
     assert sorted(back.collect()) == sorted(trades.collect())
@@ -147,13 +150,18 @@ def test_catalog_sweep(spark, lake, trades):
     spark.sql("CREATE DATABASE IF NOT EXISTS sweep_test")
     spark.sql("USE sweep_test")
     try:
+        lake.append(days, TRADES)
         lake.append(days, TRADES)
         lake.create(TRADES)
-        spark.sql(f"MSCK REPAIR TABLE {TRADES}")
         spark.sql("CREATE TABLE no_date (a int) USING parquet")
+        spark.sql("CREATE TABLE flat (a int, DATE date) USING parquet")
+        flat = days.select(F.lit(1).alias("a"), F.col("date").alias("DATE"))
+        flat.union(spark.sql("SELECT 2, CAST(NULL AS DATE)")).write.insertInto("flat")
         dropped = maintenance.sweep(spark, "sweep_test", "2024-01-04", days=2)
-        assert dropped == {TRADES: ["2024-01-01"]}
-        assert spark.table(TRADES).count() == 60
+        assert dropped == {TRADES: ["2024-01-01"], "flat": ["2024-01-01"]}
+        assert spark.table(TRADES).count() == lake.read(TRADES).count() == 120
+        assert not tables.child_folders(spark, lake.path(TRADES), "load=*/date=2024-01-01")
+        assert spark.table("flat").count() == 61
     finally:
         spark.sql("USE default")
         spark.sql("DROP DATABASE sweep_test CASCADE")
@@ -175,10 +183,13 @@ def test_stream_resumes_without_duplicates(spark, lake, frames):
         landing.write_landing(frames("binance", "trade", *messages), path)
         query = ingest.start_table(landing.stream_landing(spark, path, 1), TRADES, lake, offsets)
         query.awaitTermination()
-        assert ingest.counters(query)["rows_processed"] == 12
+        counted = ingest.counters(lake, query)
+        assert counted["rows_processed"] == 10 * (part + 1)
+        assert counted["rows_rejected"] == 0
     again = ingest.start_table(landing.stream_landing(spark, path), TRADES, lake, offsets)
     again.awaitTermination()
-    assert ingest.counters(again)["rows_processed"] == 0
+    assert ingest.counters(lake, again) == counted
+    assert lake.read(ingest.QUARANTINE).count() == 3
     got = lake.read(TRADES)
     assert sorted(r.trade_id for r in got.collect()) == list(range(30))
     batch = table_rows(landing.read_landing(spark, path), TRADES)
@@ -208,9 +219,71 @@ def test_run_for_stops(spark, lake, frames):
         landing.stream_landing(spark, path), TRADES, lake, new_folder(spark, "test-offsets"),
         available_now=False,
     )
-    counted = ingest.run_for(query, 8)
+    counted = ingest.run_for(query, 8, lake)
     assert not query.isActive
-    assert counted == {"rows_processed": 1, "inserts": 1}
+    assert counted == {"rows_processed": 1, "rows_rejected": 0, "inserts": 1}
+
+
+def test_counters_outlast_the_session_s_memory_of_updates(spark, lake, frames):
+    path, offsets = new_folder(spark, "test-landing"), new_folder(spark, "test-offsets")
+    for part in range(10):
+        landing.write_landing(frames("binance", "trade", text(t=part)).coalesce(1), path)
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(kept, "2")
+    try:
+        query = ingest.start_table(landing.stream_landing(spark, path, 1), TRADES, lake, offsets)
+        query.awaitTermination()
+    finally:
+        spark.conf.unset(kept)
+    assert len(query.recentProgress) <= 2
+    counted = ingest.counters(lake, query)
+    assert counted == {"rows_processed": 10, "rows_rejected": 0, "inserts": 10}
+
+
+def test_all_writers_share_a_table(spark, lake, frames, trades):
+    """The README's example: an append, a stream, two fan-outs, and an append again."""
+    path = new_folder(spark, "test-landing")
+    landing.write_landing(frames("binance", "trade", *[text(t=i) for i in range(20)]), path)
+    lake.append(trades, TRADES)
+    for start in (
+        lambda *a: ingest.start_table(a[0], TRADES, *a[1:]),
+        lambda *a: ingest.start_fanout(*a, [TRADES]),
+        lambda *a: ingest.start_fanout(*a, [TRADES]),
+    ):
+        start(landing.stream_landing(spark, path), lake, new_folder(spark, "o")).awaitTermination()
+    lake.append(trades, TRADES)
+    assert lake.read(TRADES).groupBy("trade_id").count().select("count").distinct().collect() == [(5,)]
+    assert len(lake.loads(TRADES)) == 5
+    lake.compact(TRADES)
+    assert len(lake.loads(TRADES)) == 1
+    assert lake.read(TRADES).count() == 100
+
+
+def test_a_repeated_batch_replaces_its_own_rows(lake, trades):
+    lake.append(trades, TRADES, "query-0")
+    lake.append(trades, TRADES, "query-1")
+    lake.append(trades, TRADES, "query-0")
+    assert lake.read(TRADES).count() == 40
+
+
+def test_records_are_judged_one_by_one(frames):
+    both = "[" + text(t=1) + ',{"x":1}]'
+    landed = frames("binance", "trade", both, '{"x":1}')
+    assert [r.trade_id for r in table_rows(landed, TRADES).collect()] == [1]
+    reasons = sorted(r.reason for r in quarantine_rows(landed, TRADES).collect())
+    assert reasons == ["no symbol", "unknown message"]
+
+
+def test_book_stream_keeps_its_rejects(spark, lake, frames):
+    path = new_folder(spark, "test-landing")
+    broken = ["{", '{"events":[]}']
+    landing.write_landing(frames("coinbase", "level2", *random_messages(3, 20, 0.0), *broken), path)
+    query = start_top_of_book(landing.stream_landing(spark, path), lake, new_folder(spark, "o"))
+    query.awaitTermination()
+    assert sorted(r.reason for r in lake.read(ingest.QUARANTINE).collect()) == ["malformed", "no channel"]
+    counted = ingest.counters(lake, query)
+    assert counted["rows_rejected"] == 2
+    assert counted["rows_processed"] == lake.read(TOP_OF_BOOK).count() > 0
 
 
 @pytest.mark.parametrize("drift", [0.0, 2.0])
