@@ -1,8 +1,8 @@
 """WARC records in ZIP archives: a writer, and a reader that extracts nothing.
 
-An archive holds stored (uncompressed) members: ``data/N.warc`` with records back to
-back, and ``index/N.cdxj`` with a line per record: page id, offset and length within
-the data member. The reader parses the central directory, by way of the ZIP64
+An archive holds stored members: ``data/N.warc.gz`` with records back to back, each a
+gzip member of its own as the WARC format has it, and ``index/N.cdxj`` with a line per
+record: page id, offset and length within the data member. The reader parses the central directory, by way of the ZIP64
 records where there are any, finds each member's first byte from its local header,
 reads the index members, and then fetches records by ranges of the archive file.
 
@@ -13,6 +13,7 @@ the manifest lists the files of the tasks that succeeded only.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 import struct
@@ -33,7 +34,8 @@ from tapelake.workspace import materialize, new_folder
 
 MEMBER_BYTES = 8 << 20
 ARCHIVE_BYTES = 128 << 20
-RANGE_BYTES = 4 << 20
+RANGE_BYTES = 1 << 20
+GZIP_LEVEL, GZIP_WINDOW = 3, 31
 NO_ID = 2**63 - 1
 
 # The ZIP format's signatures and markers, and WARC's line ends.
@@ -128,7 +130,7 @@ def archive_writer(folder: str):
 
         def flush() -> None:
             nonlocal number
-            archive.add(f"data/{number}.warc", bytes(data))
+            archive.add(f"data/{number}.warc.gz", bytes(data))
             archive.add(f"index/{number}.cdxj", "".join(index).encode())
             number += 1
             data.clear()
@@ -147,7 +149,7 @@ def archive_writer(folder: str):
                 if archive is None:
                     path, number, records = f"{uuid.uuid4().hex}.zip", 0, 0
                     archive = ArchiveWriter(files.open_output_stream(f"{root}/{path}"))
-                record = record_bytes(page_id, url, html, refers_to, revisit)
+                record = gzip.compress(record_bytes(page_id, url, html, refers_to, revisit), GZIP_LEVEL, mtime=0)
                 index.append(json.dumps({"id": page_id, "offset": len(data), "length": len(record)}) + "\n")
                 data += record
                 records += 1
@@ -299,7 +301,7 @@ def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for name, member in members.items():
                 if not name.startswith("index/"):
                     continue
-                data = archive.first_byte(members[f"data/{name[6:-5]}.warc"])
+                data = archive.first_byte(members[f"data/{name[6:-5]}.warc.gz"])
                 lines = archive.range(archive.first_byte(member), member.size).splitlines()
                 start = length = 0
                 for line in map(json.loads, lines):
@@ -313,18 +315,17 @@ def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def records_in(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of the records that lie back to back."""
-    at = 0
-    while at < len(data):
-        end = data.index(BREAK * 2, at)
-        first, *lines = data[at:end].decode().split("\r\n")
-        if not first.startswith("WARC/"):
+    """Header fields and block of the records that lie back to back, each a gzip member."""
+    while data:
+        member = zlib.decompressobj(GZIP_WINDOW)
+        record, data = member.decompress(data), member.unused_data
+        end = record.index(BREAK * 2)
+        first, *lines = record[:end].decode().split("\r\n")
+        if not first.startswith("WARC/") or not member.eof:
             raise ValueError("no WARC record here")
         fields = dict(line.split(": ", 1) for line in lines)
         start = end + 2 * len(BREAK)
-        stop = start + int(fields["Content-Length"])
-        yield fields, data[start:stop]
-        at = stop + 2 * len(BREAK)
+        yield fields, record[start : start + int(fields["Content-Length"])]
 
 
 def page_of(urn: str | None) -> int | None:
