@@ -31,6 +31,7 @@ ANCHORS = (
     "der die und den von zu das mit sich ein eine nicht ist im dem auf "
     "el los las y una por para se del al con su"
 )
+MARK = "\n"  # stands for an anchor; words hold no line ends
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -41,15 +42,20 @@ def signatures(text: Column, chain_words: int = CHAIN_WORDS) -> Column:
     runs on, over later anchors, until it has its words. A text without any chain has
     one signature of all its words, so an empty text has one too.
     """
-    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SEPARATOR, " ")), F.lit(" "))
-    common = "|".join(dict.fromkeys(ANCHORS.split()))
-    cut = F.transform(F.split(plain, f" (?:(?:{common}) )+"), F.trim)
+    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATOR), "")
+    common = list(dict.fromkeys(ANCHORS.split()))
+    marked = F.transform(words, lambda word: F.when(word.isin(common), MARK).otherwise(word))
+    cut = F.transform(F.split(F.array_join(marked, " "), MARK), lambda piece: F.trim(piece))
+
+    def without_blanks(pieces: Column) -> Column:
+        behind = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+        return F.concat(F.slice(pieces, 1, 1), F.filter(behind, lambda piece: piece != ""))
 
     def chains(pieces: Column) -> Column:
         numbered = F.transform(
             pieces,
             lambda piece, i: F.when(
-                (i > 0) & (piece != ""),
+                i > 0,
                 F.xxhash64(
                     F.substring_index(F.array_join(F.slice(pieces, i + 1, chain_words), " "), " ", chain_words)
                 ),
@@ -57,8 +63,10 @@ def signatures(text: Column, chain_words: int = CHAIN_WORDS) -> Column:
         )
         return F.array_sort(F.array_distinct(F.array_compact(numbered)))
 
-    found = F.transform(F.array(cut), chains)[0]
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.xxhash64(plain)))
+    # Each step is bound to a name by a transform over one element, and so worked out once.
+    whole = F.array(F.xxhash64(F.array_join(words, " ")))
+    found = F.transform(F.transform(F.array(cut), without_blanks), chains)
+    return F.transform(found, lambda own: F.when(F.size(own) > 0, own).otherwise(whole))[0]
 
 
 def likeness(a: Column, b: Column, least: float = 0.0) -> Column:

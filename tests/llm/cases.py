@@ -20,6 +20,7 @@ def rows() -> list[tuple]:
     texts += [f"{t} end" for t in texts[:8]]
     texts += [None, None, "", "", " ", "\n\t ", "a", "A", "é", "É", "!!! ###", "x y", long, long + " tail"]
     texts += ["Released under the MIT License.", "mit license MIT LICENSE mit, license", "the apache LICENSE, version 2.0"]
+    texts += ["the " * 30_000 + "cat", "the of " * 2000, "x" * 20_000]
     texts += ["general public license", "general public public license", "İstanbul mİt license"]
     ids = [i * 7 % 1009 for i in range(len(texts))]
     found = [(i, t, "en", 1, "w", "d", 1, "g") for i, t in zip(ids, texts, strict=True)]
