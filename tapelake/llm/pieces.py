@@ -17,6 +17,8 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import cache
+from math import inf
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -31,7 +33,8 @@ from tapelake.llm.columns import ROWS_AT_ONCE, inputs, utf8
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
 SPACE = "▁"
-WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
+WORDS = f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+"
+PREFIX, BYTES = object(), -1
 UNKNOWN_PENALTY = 10.0
 CACHED_WORDS = 200_000
 CACHED_LENGTH = 48
@@ -53,34 +56,45 @@ class Lattice:
         scores = {i: model.get_score(i) for i in usable}
         self.unknown = min(s for s in scores.values() if s > NEVER) - UNKNOWN_PENALTY
         self.pieces = {self.names[i]: (s if s > NEVER else self.unknown, i) for i, s in scores.items()}
-        self.longest = max(map(len, self.pieces))
+        # One look-up tells a piece, the beginning of one, and neither.
+        self.known = {piece[:n]: PREFIX for piece in self.pieces for n in range(1, len(piece))} | self.pieces
         self.bytes = {b: model.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
         self.spelled = [name.encode() for name in self.names]
         for byte, i in self.bytes.items():
             self.spelled[i] = bytes([byte])
         across = re.compile(f"[^{SPACE}]{SPACE}|\n")
-        self.split = not any(across.search(piece) for piece in self.pieces)
+        self.split = None
+        if not any(across.search(piece) for piece in self.pieces):
+            # A mark behind a letter starts a word of its own, unless some piece holds both.
+            tied = {piece[i + 1] for piece in self.pieces for i in range(len(piece) - 1) if piece[i].isalpha()}
+            marks = re.escape("".join(mark for mark in ".,;:!?" if mark not in tied))
+            letters = f"{SPACE}*[^\\W\\d_]+(?=[{marks}])|" if marks else ""
+            self.split = re.compile(letters + WORDS)
         self.cached: dict[str, Word] = {}
 
     def edges(self, word: str) -> list[tuple[int, int, float, int]]:
         """(from, to, score, piece) by start; piece -1 stands for a character's bytes."""
-        found, pieces, n = [], self.pieces, len(word)
+        found, known, n = [], self.known, len(word)
         for a in range(n):
-            if word[a] not in pieces:
-                found.append((a, a + 1, self.unknown, -1))
-            for b in range(a + 1, min(n, a + self.longest) + 1):
-                piece = pieces.get(word[a:b])
-                if piece is not None:
+            if word[a] not in self.pieces:
+                found.append((a, a + 1, self.unknown, BYTES))
+            for b in range(a + 1, n + 1):
+                piece = known.get(word[a:b])
+                if piece is None:
+                    break
+                if piece is not PREFIX:
                     found.append((a, b, *piece))
         return found
 
     def forward(self, word: str, edges: list) -> tuple[list[float], list]:
         """Best score of every prefix, and the edge that ends it."""
-        best, last = [0.0] + [-np.inf] * len(word), [None] * (len(word) + 1)
+        best, last = [0.0] + [-inf] * len(word), [None] * (len(word) + 1)
         for edge in edges:
-            score = best[edge[0]] + edge[2]
-            if score > best[edge[1]]:
-                best[edge[1]], last[edge[1]] = score, edge
+            a, b, score, _ = edge
+            score += best[a]
+            if score > best[b]:
+                best[b] = score
+                last[b] = edge
         return best, last
 
     def ids(self, word: str, path: list) -> list[int]:
@@ -102,18 +116,21 @@ class Lattice:
         before, last = self.forward(word, edges)
         path, at = [], len(word)
         while at:
-            path.append(last[at])
-            at = last[at][0]
+            edge = last[at]
+            path.append(edge)
+            at = edge[0]
         path.reverse()
-        chosen = {edge[:2] for edge in path}
-        after, second = [-np.inf] * len(word) + [0.0], -np.inf
-        for a, b, score, _ in reversed(edges):
-            rest = score + after[b]
-            if rest > after[a]:
-                after[a] = rest
-            if (a, b) not in chosen and before[a] + rest > second:
-                second = before[a] + rest
-        return np.array(self.ids(word, path), "<u4").tobytes(), before[-1], before[-1] - second
+        after, second = [-inf] * len(word) + [0.0], -inf
+        for edge in reversed(edges):
+            a, b, score, _ = edge
+            score += after[b]
+            if score > after[a]:
+                after[a] = score
+            if edge is not last[b] or edge not in path:
+                score += before[a]
+                if score > second:
+                    second = score
+        return pack(f"<{len(ids := self.ids(word, path))}I", *ids), before[-1], before[-1] - second
 
     def find(self, word: str) -> Word:
         found = self.cached.get(word)
@@ -151,7 +168,7 @@ class Lattice:
         if not text:
             return []
         plain = SPACE + text.replace(" ", SPACE)
-        return WORDS.findall(plain) if self.split else [plain]
+        return self.split.findall(plain) if self.split else [plain]
 
     def encode(self, text: str, n: int) -> tuple[bytes, float, list[tuple[float, list]]]:
         """Best ids, their score, and the next n - 1 segmentations as (score, edits)."""
@@ -160,7 +177,7 @@ class Lattice:
         ids, score = b"".join([w[0] for w in found]), sum([w[1] for w in found])
         losses = [w[2] for w in found]
         varied = heapq.nsmallest(n - 1, range(len(words)), key=losses.__getitem__)
-        varied = [i for i in varied if losses[i] < np.inf]
+        varied = [i for i in varied if losses[i] < inf]
         combined: list[tuple[float, list]] = [(0.0, [])]
         for i in sorted(varied):
             start = sum(len(w[0]) for w in found[:i]) // 4

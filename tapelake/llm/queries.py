@@ -120,5 +120,29 @@ OP1_SQL = f"""
 """
 
 
+# Base 32 of the digest: hex digits to bits, and five bits to each letter.
+BIT = "CAST(substr(bits, 5 * i + {n}, 1) AS INT)"
+FIVE = " + ".join(f"{16 >> n} * {BIT.format(n=n + 1)}" for n in range(5))
+OP7_SQL = f"""
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    hashed AS (
+        SELECT page_id, strlen(html) AS payload_bytes, html,
+               list_aggregate([lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0')
+                               for c in string_split(sha1(html), '')], 'string_agg', '') AS bits
+        FROM payloads
+    ),
+    named AS (
+        SELECT page_id, payload_bytes, min(page_id) OVER (PARTITION BY html) AS first,
+               list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {FIVE}, 1)
+                               for i in range(32)], 'string_agg', '') AS payload_digest
+        FROM hashed
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM named
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op7_warc": OP7_SQL}
