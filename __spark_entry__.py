@@ -423,11 +423,11 @@ def bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def level_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bins(spark, sf_dir).drop("chunk", "recv_us", "low_px", "high_px")
+    return bins(spark, sf_dir).drop("chunk", "pos", "recv_us", "low_px", "high_px")
 
 
 def dense_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.dense_levels(bins(spark, sf_dir)).drop("chunk", "recv_us", "head")
+    return book.dense_levels(bins(spark, sf_dir)).drop("chunk", "pos", "recv_us", "head")
 
 
 def best_levels(spark: SparkSession, sf_dir: str) -> DataFrame:

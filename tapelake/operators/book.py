@@ -1,18 +1,17 @@
 """Order book of level-2 updates in DataFrame form.
 
-The book is cut into chunks of consecutive sequence numbers. Updates are
-shuffled once, by (product, chunk); band, bins, dense fill and the life of each
-written level are then worked out inside the chunk. A product with a large share
-of all updates is thereby spread over many tasks. A chunk starts from the levels
-that earlier chunks left behind, which are found from one row per chunk and
-touched level.
+The messages of a product are numbered, and the book is cut into chunks of
+consecutive messages. Updates are shuffled by (product, chunk); band, bins, dense
+fill and the life of each written level are then worked out inside the chunk. A
+product with a large share of all updates is thereby spread over many tasks.
 
 A written level stays in the book until the next write of that level. The best
 level at a message is the best among all levels whose span covers the message.
-Spans are split into the nodes of a binary tree over the positions of the
-chunk, each node keeps only its best level, and a message looks at the nodes
-above its position. A level that stays untouched through a chunk is one node,
-however many messages the chunk has.
+Spans are split into the nodes of binary trees: one over the chunks of a product,
+for the chunks that a level outlives untouched, and one over the positions of each
+chunk. A node keeps only its best level; a chunk looks at the chunk nodes above
+it, a message at the nodes above its position. However long a level stays, it is
+at most two nodes for each halving of the whole run.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tapelake.functions.columns import iso_nanos
 from tapelake.operators.messages import coinbase_level2, frames_of
-from tapelake.operators.ordered import explode_range, following, running_count
+from tapelake.operators.ordered import following, running_count
 from tapelake.operators.rows import audit_columns
 from tapelake.specs import TOP_OF_BOOK
 
@@ -92,9 +91,18 @@ def book_rejects(landing: DataFrame) -> DataFrame:
 
 
 def in_chunks(updates: DataFrame) -> DataFrame:
-    """Shuffle the updates by (product, chunk) of their sequence number."""
-    chunk = F.floor(F.col("sequence_num") / F.lit(CHUNK))
-    return updates.withColumn("chunk", chunk).repartition(*IN_CHUNK)
+    """Shuffle the updates by (product, chunk); ``pos`` is their message's place in the chunk.
+
+    Chunks hold CHUNK messages of one product, however many other products share
+    the sequence numbers.
+    """
+    keys = ["product_id", "sequence_num"]
+    numbered = running_count(updates.select(keys).distinct(), keys[:1], keys[1], "_ord", "_total")
+    chunk = F.floor(F.col("_ord") / F.lit(CHUNK))
+    placed = numbered.select(
+        *keys, chunk.alias("chunk"), (F.col("_ord") - chunk * CHUNK + 1).cast("int").alias("pos")
+    )
+    return updates.join(placed, keys).repartition(*IN_CHUNK)
 
 
 def price_band(updates: DataFrame, band: float = BAND) -> DataFrame:
@@ -133,6 +141,7 @@ def level_bins(banded: DataFrame, width: int = 1) -> DataFrame:
         banded.withColumn("lvl", _bin(width))
         .groupBy(*MESSAGE, "side", "lvl")
         .agg(
+            F.max("pos").alias("pos"),
             F.sum("new_quantity").alias("qty"),
             F.max("event_time").alias("event_time"),
             F.max("timestamp").alias("timestamp"),
@@ -176,6 +185,7 @@ def dense_levels(bins: DataFrame, width: int = 1) -> DataFrame:
         "event_time",
         "timestamp",
         "recv_us",
+        "pos",
         "head",
         F.posexplode(F.concat(F.array("lvl"), empty)).alias("i", "lvl"),
     )
@@ -200,10 +210,8 @@ def written_levels(updates: DataFrame, width: int = 1) -> DataFrame:
     bins = level_bins(price_band(in_chunks(updates)), width)
     dense = dense_levels(bins, width)
     by_level = Window.partitionBy("lvl", *IN_CHUNK, "side").orderBy("pos")
-    pos = (F.col("sequence_num") - F.col("chunk") * CHUNK + 1).cast("int")
     lived = (
-        dense.withColumn("pos", pos)
-        .withColumnRenamed("sequence_num", "seq")
+        dense.withColumnRenamed("sequence_num", "seq")
         .withColumns({"until": F.lead("pos").over(by_level), "first_pos": F.min("pos").over(by_level)})
     )
     return lived.where((F.col("qty") != 0) | F.col("until").isNull() | F.col("head"))
@@ -214,41 +222,126 @@ def book_points(written: DataFrame) -> DataFrame:
     return written.where("head").select("product_id", "chunk", "pos", "seq", "recv_us")
 
 
-def carried_levels(written: DataFrame) -> DataFrame:
-    """Levels that earlier chunks leave in the book, for each chunk that exists.
+def level_lives(written: DataFrame) -> DataFrame:
+    """Levels that outlive their chunk, with the chunk that writes them ``next``, if any.
 
-    They stand at position 0 and last until the chunk's first write of the
-    level. Works on one row per (product, chunk, level): its last write.
+    Works on one row per (product, chunk, level): its last write. ``chunks`` is the
+    number of chunks of the product.
     """
     last = written.where(F.col("until").isNull()).select(
         "product_id", "chunk", "side", *LEVEL, "first_pos"
     )
-    chunks = running_count(
-        last.select("product_id", "chunk").distinct(), ["product_id"], "chunk", "ord", "n_chunks"
-    )
-    placed = last.join(chunks, ["product_id", "chunk"]).drop("chunk")
+    chunks = last.groupBy("product_id").agg((F.max("chunk") + 1).alias("chunks"))
     spans = following(
-        placed, ["product_id", "side", "lvl"], "ord", F.struct("ord", "first_pos"), "next"
-    )
-    carried = explode_range(
-        spans.where(F.col("qty") != 0),
-        F.col("ord") + 1,
-        F.coalesce(F.col("next.ord"), F.col("n_chunks") - 1),
-        "into",
+        last, ["product_id", "side", "lvl"], "chunk", F.struct("chunk", "first_pos"), "next"
     )
-    return carried.select(
+    return spans.where(F.col("qty") != 0).join(chunks, "product_id")
+
+
+def ended_levels(lives: DataFrame) -> DataFrame:
+    """Levels from earlier chunks in the chunk that writes them next, one row per life.
+
+    They stand at position 0 and last until the chunk's first write of the level.
+    """
+    return lives.where(F.col("next").isNotNull()).select(
         "product_id",
-        F.col("into").alias("ord"),
+        F.col("next.chunk").alias("chunk"),
         "side",
         *LEVEL,
-        F.when(F.col("into") == F.col("next.ord"), F.col("next.first_pos"))
-        .otherwise(POSITIONS)
-        .alias("until"),
-    ).join(chunks.drop("n_chunks"), ["product_id", "ord"]).drop("ord")
+        F.lit(0).alias("pos"),
+        F.col("next.first_pos").alias("until"),
+    )
+
+
+def chunk_nodes(lives: DataFrame) -> DataFrame:
+    """Levels at the tree nodes over the chunks that they outlive untouched.
+
+    Node (height h, index i) holds the chunks i * 2**h to (i + 1) * 2**h - 1. A life
+    is at most two nodes of each height.
+    """
+    end = F.coalesce("next.chunk", "chunks")
+    return (
+        lives.withColumns({"first": F.col("chunk") + 1, "end": end})
+        .where("first < end")
+        .withColumn("node", F.explode(F.expr(_chunk_cover("first", "end"))))
+        .select("product_id", "side", *LEVEL, "node.h", "node.i")
+    )
+
+
+def _chunk_cover(first: str, end: str) -> str:
+    """Nodes that together hold the chunks ``first`` to ``end`` - 1."""
+    low = f"shiftright({first} + shiftleft(1L, h) - 1, h)"
+    high = f"shiftright({end}, h)"
+
+    def node(test: str, at: str) -> str:
+        return f"CASE WHEN {low} < {high} AND {test} % 2 = 1 THEN named_struct('h', h, 'i', {at}) END"
+
+    heights = f"sequence(0, CAST(ceil(log2({end} + 1)) AS INT))"
+    return (
+        f"array_compact(flatten(transform({heights}, h -> "
+        f"array({node(low, low)}, {node(high, high + ' - 1')}))))"
+    )
+
+
+def chunks_under(nodes: DataFrame, written: DataFrame) -> DataFrame:
+    """Levels of the nodes at each chunk of ``written`` below them, each chunk under at most log2 nodes."""
+    chunks = written.select(*IN_CHUNK).distinct()
+    tops = written.groupBy("product_id").agg(F.max("chunk").alias("top"))
+    heights = F.sequence(F.lit(0), F.ceil(F.log2(F.col("top") + 2)).cast("int"))
+    above = (
+        chunks.join(tops, "product_id")
+        .withColumn("h", F.explode(heights))
+        .select(*IN_CHUNK, "h", F.expr("shiftright(chunk, h)").alias("i"))
+    )
+    return above.join(nodes, ["product_id", "h", "i"]).drop("h", "i")
+
 
+def standing_levels(nodes: DataFrame, written: DataFrame) -> DataFrame:
+    """Best level per side among those that stand through a whole chunk."""
+    level = F.struct(*LEVEL)
+    best = F.when(F.col("side") == "bid", F.max(level)).otherwise(F.min(level)).alias("best")
 
-def level_spans(written: DataFrame) -> DataFrame:
-    """All live levels of each chunk, from position ``pos`` to before ``until``."""
+    def reduced(levels: DataFrame, *keys: str) -> DataFrame:
+        return levels.groupBy(*keys, "side").agg(best).select(*keys, "side", "best.*")
+
+    by_node = reduced(nodes, "product_id", "h", "i")
+    return _standing(reduced(chunks_under(by_node, written), *IN_CHUNK))
+
+
+def contenders(nodes: DataFrame, written: DataFrame) -> DataFrame:
+    """Levels that stand through a whole chunk and could be the best one after some reset.
+
+    A reset removes all levels written before it. So a level shows only if no newer
+    one is at least as good; the others are left out, at the nodes and at the chunks.
+    """
+    better = F.when(F.col("side") == "bid", F.col("lvl")).otherwise(-F.col("lvl"))
+
+    def front(levels: DataFrame, *keys: str) -> DataFrame:
+        newer = (
+            Window.partitionBy(*keys, "side")
+            .orderBy(F.desc("seq"), F.desc("_better"))
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        ranked = levels.withColumn("_better", better).withColumn("_newer", F.max("_better").over(newer))
+        kept = F.col("_newer").isNull() | (F.col("_better") > F.col("_newer"))
+        return ranked.where(kept).drop("_better", "_newer")
+
+    by_node = front(nodes, "product_id", "h", "i")
+    return _standing(front(chunks_under(by_node, written), *IN_CHUNK))
+
+
+def _standing(levels: DataFrame) -> DataFrame:
+    return levels.select(
+        *IN_CHUNK, "side", *LEVEL, F.lit(0).alias("pos"), F.lit(POSITIONS).alias("until")
+    )
+
+
+def level_spans(written: DataFrame, resets: bool = False) -> DataFrame:
+    """Live levels of each chunk, from position ``pos`` to before ``until``.
+
+    Of the levels that stand through a whole chunk only the best is given, or with
+    ``resets`` all that could become the best once older ones are removed.
+    """
     own = written.where(F.col("qty") != 0).select(
         "product_id",
         "chunk",
@@ -257,7 +350,9 @@ def level_spans(written: DataFrame) -> DataFrame:
         "pos",
         F.coalesce("until", F.lit(POSITIONS)).alias("until"),
     )
-    return own.unionByName(carried_levels(written).withColumn("pos", F.lit(0)))
+    lives = level_lives(written)
+    standing = (contenders if resets else standing_levels)(chunk_nodes(lives), written)
+    return own.unionByName(ended_levels(lives)).unionByName(standing)
 
 
 def _tree_nodes(first: str, until: str) -> Column:

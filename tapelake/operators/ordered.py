@@ -53,19 +53,3 @@ def following(df: DataFrame, keys: list[str], order: str, value: Column, out: st
         .withColumn(out, F.coalesce("_next", "_next_head"))
         .drop("_bucket", "_value", "_next", "_next_head")
     )
-
-
-def explode_range(df: DataFrame, first: Column, last: Column, out: str) -> DataFrame:
-    """One row per whole number from ``first`` to ``last``.
-
-    In two steps, so that a long range never becomes one long array.
-    """
-    ranged = df.withColumn("_first", first).withColumn("_last", last)
-    blocks = ranged.where(F.col("_first") <= F.col("_last")).withColumn(
-        "_block", F.explode(F.sequence(_bucket("_first"), _bucket("_last")))
-    )
-    low = F.greatest(F.col("_first"), F.col("_block") * BUCKET)
-    high = F.least(F.col("_last"), (F.col("_block") + 1) * BUCKET - 1)
-    return blocks.withColumn(out, F.explode(F.sequence(low, high))).drop(
-        "_first", "_last", "_block"
-    )

@@ -112,7 +112,7 @@ def reset_counts(quotes: DataFrame) -> DataFrame:
 def _chunk_levels(written: DataFrame) -> DataFrame:
     """Live levels of each chunk with their spans, and a row without level per message."""
     points = book_points(written)
-    return level_spans(written).unionByName(points, allowMissingColumns=True)
+    return level_spans(written, resets=True).unionByName(points, allowMissingColumns=True)
 
 
 def _chunk_starts(levels: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import random
 
 import pytest
@@ -24,6 +25,7 @@ from tapelake.operators.fold import (
     reset_steps,
 )
 from tapelake.plans import top_of_book
+from tapelake.workspace import materialize
 
 BASE_S = 1704067200
 BASE = BASE_S * 10**9
@@ -307,3 +309,56 @@ def test_quotes_without_a_complete_old_book():
     bid, ask = Level(9, 1.0, 5, 0, 3), Level(11, 1.0, 7, 0, 4)
     assert quotes((None, ask), (bid, ask)) == [(7, bid, ask, 3)]
     assert quotes((None, None), (bid, None)) == []
+
+
+@pytest.fixture
+def small_chunks(monkeypatch):
+    """Seven messages to a chunk, so that few messages make many chunks."""
+    monkeypatch.setattr(book, "TREE_DEPTH", 3)
+    monkeypatch.setattr(book, "POSITIONS", 8)
+    monkeypatch.setattr(book, "CHUNK", 7)
+
+
+@pytest.mark.parametrize(("seed", "drift"), [(4, 0.0), (5, 0.4), (6, 3.0)])
+def test_many_chunks_agree_with_the_plain_fold(frames, small_chunks, seed, drift):
+    test_both_forms_agree_with_the_plain_fold(frames, seed, drift)
+
+
+def walking_messages(n: int, products: int) -> list[str]:
+    """A price that rises for ever and leaves its levels behind; products share the numbers."""
+    return [
+        l2(seq, ("bid", 100 + seq // products, 1, 1), ("offer", 200_000, 1 + seq % 5, 2),
+           product=f"P{seq % products}")
+        for seq in range(n)
+    ]
+
+
+@pytest.mark.parametrize("products", [1, 20])
+def test_carried_rows_stay_below_the_writes_times_a_logarithm(
+    frames, small_chunks, monkeypatch, products
+):
+    monkeypatch.setattr(book, "BAND", 1e6)
+    n = 800
+    updates = book.book_updates(frames("coinbase", "level2", *walking_messages(n, products)))
+    banded = book.price_band(book.in_chunks(updates), band=1e6)
+    monkeypatch.setattr(book, "price_band", lambda *_: banded)
+    written = materialize(book.written_levels(updates), "test-writes")
+    writes = written.count()
+    assert writes >= 2 * n
+    bound = 2 * math.log2(n) * writes
+    lives = book.level_lives(written)
+    nodes = book.chunk_nodes(lives)
+    steps = {
+        "lives": lives, "ended": book.ended_levels(lives), "nodes": nodes,
+        "standing": book.standing_levels(nodes, written),
+        "contenders": book.contenders(nodes, written),
+        "spans": book.level_spans(written),
+        "spans with resets": book.level_spans(written, resets=True),
+    }
+    counts = {name: rows.count() for name, rows in steps.items()}
+    assert all(count <= bound for count in counts.values()), counts
+    assert counts["spans"] <= 4 * writes
+    best = book.best_levels(written).select("product_id", "seq", "bid.lvl").collect()
+    assert {(r.product_id, r.seq, r.lvl) for r in best} == {
+        (f"P{seq % products}", seq, 100 + seq // products) for seq in range(n)
+    }

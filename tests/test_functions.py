@@ -76,12 +76,6 @@ def test_ordered_lookups(spark, small_buckets):
         )
 
 
-def test_explode_range(spark, small_buckets):
-    df = spark.createDataFrame([(1, 3, 11), (2, 5, 5), (3, 6, 5)], "id int, a bigint, b bigint")
-    got = ordered.explode_range(df, F.col("a"), F.col("b"), "n").collect()
-    assert sorted((r.id, r.n) for r in got) == [(1, n) for n in range(3, 12)] + [(2, 5)]
-
-
 def test_outer_upsert(spark):
     state = spark.createDataFrame([(1, 10, 5), (2, 20, 6)], "k int, q int, t int")
     update = spark.createDataFrame([(2, 0, None), (3, 30, 7)], "k int, q int, t int")
