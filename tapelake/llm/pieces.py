@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 from math import inf
 from struct import pack
@@ -33,10 +33,10 @@ from tapelake.llm.columns import ROWS_AT_ONCE, inputs, utf8
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
 SPACE = "▁"
-WORDS = f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+"
-PREFIX, BYTES = object(), -1
+WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
+PREFIX, BYTES = (), -1
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 CACHED_LENGTH = 48
 NEVER = -1e8  # pieces of spaces score far below this; they cost as much as an unknown character
 
@@ -46,7 +46,7 @@ Word = tuple[bytes, float, float]  # ids, score, what the second best loses
 
 
 class Lattice:
-    """Segmentations of words under one model. As a mapping: word to its best one."""
+    """Segmentations of words under one model."""
 
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -63,17 +63,14 @@ class Lattice:
         for byte, i in self.bytes.items():
             self.spelled[i] = bytes([byte])
         across = re.compile(f"[^{SPACE}]{SPACE}|\n")
-        self.split = None
-        if not any(across.search(piece) for piece in self.pieces):
-            # A mark behind a letter starts a word of its own, unless some piece holds both.
-            tied = {piece[i + 1] for piece in self.pieces for i in range(len(piece) - 1) if piece[i].isalpha()}
-            marks = re.escape("".join(mark for mark in ".,;:!?" if mark not in tied))
-            letters = f"{SPACE}*[^\\W\\d_]+(?=[{marks}])|" if marks else ""
-            self.split = re.compile(letters + WORDS)
-        self.cached: dict[str, Word] = {}
+        self.split = not any(across.search(piece) for piece in self.pieces)
+        # Marks that no piece holds behind a letter: there a word can be cut.
+        tied = {piece[i + 1] for piece in self.pieces for i in range(len(piece) - 1) if piece[i].isalpha()}
+        self.marks = {mark for mark in ".,;:!?" if mark not in tied}
+        self.cached = Segmented(self)
 
     def edges(self, word: str) -> list[tuple[int, int, float, int]]:
-        """(from, to, score, piece) by start; piece -1 stands for a character's bytes."""
+        """(from, to, score, piece) by start; piece BYTES stands for a character's bytes."""
         found, known, n = [], self.known, len(word)
         for a in range(n):
             if word[a] not in self.pieces:
@@ -82,20 +79,16 @@ class Lattice:
                 piece = known.get(word[a:b])
                 if piece is None:
                     break
-                if piece is not PREFIX:
+                if piece:
                     found.append((a, b, *piece))
         return found
 
-    def forward(self, word: str, edges: list) -> tuple[list[float], list]:
-        """Best score of every prefix, and the edge that ends it."""
-        best, last = [0.0] + [-inf] * len(word), [None] * (len(word) + 1)
-        for edge in edges:
-            a, b, score, _ = edge
-            score += best[a]
-            if score > best[b]:
-                best[b] = score
-                last[b] = edge
-        return best, last
+    def forward(self, word: str, edges: list) -> list[float]:
+        """Best score of every beginning of the word."""
+        best = [0.0] + [-inf] * len(word)
+        for a, b, score, _ in edges:
+            best[b] = max(best[b], best[a] + score)
+        return best
 
     def ids(self, word: str, path: list) -> list[int]:
         out = []
@@ -109,41 +102,48 @@ class Lattice:
     def best(self, word: str) -> Word:
         """The best segmentation, and how much the second best loses.
 
-        A segmentation other than the best has an edge that the best lacks; the best
-        path through an edge scores what leads to it, its score, and what follows.
+        One forward pass with the two best scores of every beginning of the word.
         """
-        edges = self.edges(word)
-        before, last = self.forward(word, edges)
-        path, at = [], len(word)
+        n, known, unknown = len(word), self.known, self.unknown
+        first, second = [0.0] + [-inf] * n, [-inf] * (n + 1)
+        last: list = [None] * (n + 1)
+        for a in range(n):
+            high, low = first[a], second[a]
+            b = a + 1
+            piece = known.get(word[a:b])
+            if not piece:
+                score = high + unknown
+                if score > first[b]:
+                    second[b] = max(first[b], low + unknown)
+                    first[b], last[b] = score, (a, b, unknown, BYTES)
+                elif score > second[b]:
+                    second[b] = score
+            while piece is not None:
+                if piece:
+                    more, number = piece
+                    score = high + more
+                    if score > first[b]:
+                        other = low + more
+                        second[b] = other if other > first[b] else first[b]
+                        first[b] = score
+                        last[b] = (a, b, more, number)
+                    elif score > second[b]:
+                        second[b] = score
+                b += 1
+                if b > n:
+                    break
+                piece = known.get(word[a:b])
+        path, at = [], n
         while at:
-            edge = last[at]
-            path.append(edge)
-            at = edge[0]
-        path.reverse()
-        after, second = [-inf] * len(word) + [0.0], -inf
-        for edge in reversed(edges):
-            a, b, score, _ = edge
-            score += after[b]
-            if score > after[a]:
-                after[a] = score
-            if edge is not last[b] or edge not in path:
-                score += before[a]
-                if score > second:
-                    second = score
-        return pack(f"<{len(ids := self.ids(word, path))}I", *ids), before[-1], before[-1] - second
-
-    def find(self, word: str) -> Word:
-        found = self.cached.get(word)
-        if found is None:
-            found = self.best(word)
-            if len(word) <= CACHED_LENGTH and len(self.cached) < CACHED_WORDS:
-                self.cached[word] = found
-        return found
+            path.append(last[at])
+            at = last[at][0]
+        ids = self.ids(word, path[::-1])
+        return pack(f"<{len(ids)}I", *ids), first[n], first[n] - second[n]
 
     def search(self, word: str, most: int) -> Iterator[tuple[float, list[int]]]:
         """Segmentations from the best down, by A* from the end of the word to its start."""
         edges = self.edges(word)
-        before, _ = self.forward(word, edges)
+        before = self.forward(word, edges)
         ending: list[list] = [[] for _ in range(len(word) + 1)]
         for edge in edges:
             ending[edge[1]].append(edge)
@@ -163,29 +163,32 @@ class Lattice:
                 score = behind + edge[2]
                 heapq.heappush(queue, (-(score + before[edge[0]]), number, edge[0], score, (edge, path)))
 
-    def words(self, text: str) -> list[str]:
-        """The text in the model's alphabet, cut where no piece runs on."""
+    def words(self, text: str) -> tuple[Sequence[str], list[Word]]:
+        """The text in the model's alphabet, cut where no piece runs on, and what is known of each word."""
         if not text:
-            return []
+            return [], []
+        if self.split and text[0] != " " and "  " not in text and SPACE not in text:
+            words = text.split(" ")
+            return Spaced(words), list(map(self.cached.__getitem__, words))
         plain = SPACE + text.replace(" ", SPACE)
-        return self.split.findall(plain) if self.split else [plain]
+        words = WORDS.findall(plain) if self.split else [plain]
+        return words, list(map(self.best, words))
 
     def encode(self, text: str, n: int) -> tuple[bytes, float, list[tuple[float, list]]]:
         """Best ids, their score, and the next n - 1 segmentations as (score, edits)."""
-        words = self.words(text)
-        found = list(map(self.find, words))
-        ids, score = b"".join([w[0] for w in found]), sum([w[1] for w in found])
-        losses = [w[2] for w in found]
-        varied = heapq.nsmallest(n - 1, range(len(words)), key=losses.__getitem__)
-        varied = [i for i in varied if losses[i] < inf]
+        words, found = self.words(text)
+        parts, score = [w[0] for w in found], sum([w[1] for w in found])
+        losses = np.array([w[2] for w in found])
+        varied = np.argsort(losses) if len(losses) < n else np.argpartition(losses, n - 1)[: n - 1]
+        varied = [i for i in varied.tolist() if losses[i] < inf]
         combined: list[tuple[float, list]] = [(0.0, [])]
         for i in sorted(varied):
-            start = sum(len(w[0]) for w in found[:i]) // 4
+            start = sum(map(len, parts[:i])) // 4
             own = np.frombuffer(found[i][0], "<u4").tolist()
             others = [(found[i][1] - s, x) for s, x in self.search(words[i], n) if x != own][: n - 1]
             changed = [(loss, [(start, len(own), x)]) for loss, x in others]
             combined = heapq.nsmallest(n, [(a + b, c + d) for a, c in combined for b, d in [(0.0, []), *changed]])
-        return ids, score, [(score - loss, edits) for loss, edits in combined[1:]]
+        return b"".join(parts), score, [(score - loss, edits) for loss, edits in combined[1:]]
 
     def decode(self, ids: list[int]) -> str:
         """The text of a sequence of ids."""
@@ -193,6 +196,35 @@ class Lattice:
         return raw.decode(errors="replace").replace(SPACE, " ").removeprefix(" ")
 
 
+class Spaced(list):
+    """Words as they stand in a text; looked at one by one, each has the space before it."""
+
+    def __getitem__(self, at: int) -> str:
+        return SPACE + super().__getitem__(at)
+
+
+class Segmented(dict):
+    """Best segmentations of words with the space before them, by the word without it.
+
+    Short words are kept, CACHED_WORDS of them. A mark at the end is a word of its own.
+    """
+
+    def __init__(self, lattice: Lattice):
+        super().__init__()
+        self.lattice = lattice
+        self.tails = {mark: lattice.best(mark) for mark in lattice.marks}
+
+    def __missing__(self, word: str) -> Word:
+        tail = self.tails.get(word[-1:])
+        if tail and word[-2:-1].isalpha():
+            ids, score, loss = self[word[:-1]]
+            return ids + tail[0], score + tail[1], min(loss, tail[2])
+        found = self.lattice.best(SPACE + word)
+        if len(word) <= CACHED_LENGTH and len(self) < CACHED_WORDS:
+            self[word] = found
+        return found
+
+
 @cache
 def lattice(path: str) -> Lattice:
     return Lattice(path)
