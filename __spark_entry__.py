@@ -85,6 +85,13 @@ def coinbase_top_of_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_of_book.top_of_book(samples.coinbase_level2(spark, sf_dir))
 
 
+def tob_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two connections, a year apart, that number their messages alike."""
+    landed = samples.coinbase_level2(spark, sf_dir)
+    again = landed.withColumn("recv_ts", F.col("recv_ts") + F.expr("INTERVAL 365 DAYS"))
+    return top_of_book.top_of_book(landed.unionByName(again))
+
+
 def coinbase_l2_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.book_updates(samples.coinbase_level2(spark, sf_dir)).drop("recv_us")
 
@@ -578,7 +585,7 @@ def queries() -> dict[str, Query]:
         retention_keep, retention_sweep, outer_upsert, frames_equal, view_dedup, union_by_name,
         price_band, level_bins, dense_levels, best_levels, tob_view, tob_changes, tob_with_reset,
         stream_trades, stream_top_of_book, stream_fanout, stream_counters, stream_quarantine,
-        mixed_writers, retention_delete, book_rejects,
+        mixed_writers, retention_delete, book_rejects, tob_connections,
     ):
         named[query.__name__] = query
     return named | LLM_QUERIES

@@ -443,6 +443,11 @@ def sql() -> dict[str, str]:
         "kraken_ticker": _ev(KRAKEN_TICKER),
         "kraken_ohlc": _ev(KRAKEN_OHLC),
         "coinbase_top_of_book": f"WITH {VIEW} {TOP_OF_BOOK}",
+        "tob_connections": f"""
+            WITH {VIEW}, tob AS ({TOP_OF_BOOK})
+            SELECT * FROM tob UNION ALL
+            SELECT * REPLACE (CAST(date + 365 AS DATE) AS date,
+                              insert_time + 365 * 86400000000 AS insert_time) FROM tob""",
         "coinbase_l2_updates": f"""
             WITH {BOOK}
             SELECT side, event_time, price AS price_level, qty AS new_quantity,

@@ -27,6 +27,9 @@ from tapelake.specs import TOP_OF_BOOK
 
 BAND = 50.0
 
+BOOK_MARK = "\x1f"  # between a product and the number of its connection
+HOUR_US = 3_600_000_000
+
 # Positions of a chunk: 0 is its start, 1..255 are sequence numbers.
 TREE_DEPTH = 8
 POSITIONS = 1 << TREE_DEPTH
@@ -52,6 +55,7 @@ def _typed_updates(landing: DataFrame) -> DataFrame:
         F.col("msg.channel").alias("channel"),
         F.col("msg.sequence_num").try_cast("bigint").alias("sequence_num"),
         F.expr(iso_nanos("msg.timestamp")).alias("timestamp"),
+        *(["connection"] if "connection" in decoded.columns else []),
     )
     rows = messages.withColumn("row", F.explode_outer("records"))
     typed = rows.select(
@@ -67,6 +71,7 @@ def _typed_updates(landing: DataFrame) -> DataFrame:
         "product_id",
         "recv_ts",
         "value",
+        *(["connection"] if "connection" in decoded.columns else []),
     )
     numeric = ["event_time", "price_level", "new_quantity", "timestamp", "sequence_num"]
     bad = [F.when(F.col(name).isNull(), F.lit(f"bad {name}")) for name in numeric]
@@ -96,13 +101,77 @@ def in_chunks(updates: DataFrame) -> DataFrame:
     Chunks hold CHUNK messages of one product, however many other products share
     the sequence numbers.
     """
-    keys = ["product_id", "sequence_num"]
-    numbered = running_count(updates.select(keys).distinct(), keys[:1], keys[1], "_ord", "_total")
+    frame = ["product_id", "sequence_num", "recv_us"]
+    if "connection" in updates.columns:
+        frame.append("connection")
+    numbered = running_count(
+        books(updates.select(frame).distinct()), ["_book"], "sequence_num", "_ord", "_total"
+    )
     chunk = F.floor(F.col("_ord") / F.lit(CHUNK))
     placed = numbered.select(
-        *keys, chunk.alias("chunk"), (F.col("_ord") - chunk * CHUNK + 1).cast("int").alias("pos")
+        *frame,
+        "_book",
+        chunk.alias("chunk"),
+        (F.col("_ord") - chunk * CHUNK + 1).cast("int").alias("pos"),
+    )
+    return (
+        updates.join(placed, frame)
+        .withColumn("product_id", F.col("_book"))
+        .drop("_book", "connection")
+        .repartition(*IN_CHUNK)
+    )
+
+
+def books(messages: DataFrame) -> DataFrame:
+    """Messages (product_id, sequence_num, recv_us) with the ``_book`` they belong to.
+
+    Numbers start anew with each connection, and so does the book. With a column
+    ``connection`` a number that comes again is a repeated delivery, and the first one
+    counts. Without it, a message whose number is not above that of the message
+    received before it starts a new connection.
+
+    The book of a product's first connection has the product's name; later ones add
+    their number, which ``product_of`` takes off again.
+    """
+    if "connection" in messages.columns:
+        first = F.min("recv_us").over(Window.partitionBy("product_id", "connection", "sequence_num"))
+        kept = messages.withColumn("_first", first).where("recv_us = _first").drop("_first")
+        return kept.withColumn("_book", F.concat_ws(BOOK_MARK, "product_id", "connection"))
+
+    hour = F.floor(F.col("recv_us") / F.lit(HOUR_US))
+    in_hour = Window.partitionBy("product_id", "_hour").orderBy("recv_us", "sequence_num")
+    falls = F.coalesce(F.col("sequence_num") <= F.lag("sequence_num").over(in_hour), F.lit(False))
+    marked = messages.withColumn("_hour", hour).withColumn("_falls", falls.cast("int"))
+    marked = marked.withColumn("_inside", F.sum("_falls").over(in_hour))
+    received = F.struct("recv_us", "sequence_num")
+    hours = marked.groupBy("product_id", "_hour").agg(
+        F.min_by("sequence_num", received).alias("_head"),
+        F.max_by("sequence_num", received).alias("_tail"),
+        F.sum("_falls").alias("_sum"),
+    )
+    # One row per hour of a product that has messages.
+    across = Window.partitionBy("product_id").orderBy("_hour")
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    starts = F.coalesce(F.col("_head") <= F.lag("_tail").over(across), F.lit(False)).cast("int")
+    hours = hours.withColumn("_starts", starts).select(
+        "product_id",
+        "_hour",
+        (
+            F.coalesce(F.sum(F.col("_sum") + F.col("_starts")).over(before), F.lit(0)) + F.col("_starts")
+        ).alias("_earlier"),
     )
-    return updates.join(placed, keys).repartition(*IN_CHUNK)
+    number = F.col("_earlier") + F.col("_inside")
+    later = F.concat_ws(BOOK_MARK, "product_id", number.cast("string"))
+    return (
+        marked.join(hours, ["product_id", "_hour"])
+        .withColumn("_book", F.when(number == 0, F.col("product_id")).otherwise(later))
+        .drop("_hour", "_falls", "_inside", "_earlier")
+    )
+
+
+def product_of(book: str) -> Column:
+    """Product of a book's name."""
+    return F.substring_index(book, BOOK_MARK, 1)
 
 
 def price_band(updates: DataFrame, band: float = BAND) -> DataFrame:

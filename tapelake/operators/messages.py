@@ -57,7 +57,8 @@ def _decoded(
 
     ``payload`` parses a text nested in ``_p`` and becomes ``_payload``.
     """
-    staged = frames.select("exchange", "feed", "value", "recv_ts", parsed.alias("_p"))
+    also = [name for name in ("connection",) if name in frames.columns]
+    staged = frames.select("exchange", "feed", "value", "recv_ts", *also, parsed.alias("_p"))
     if payload is not None:
         staged = staged.select("*", payload.alias("_payload"))
     classified = staged.select("*", kind.alias("kind"))
@@ -66,6 +67,7 @@ def _decoded(
         "feed",
         "value",
         "recv_ts",
+        *also,
         "kind",
         F.when(F.col("kind") == REJECT, reason).alias("reason"),
         msg.alias("msg"),

@@ -15,6 +15,7 @@ from tapelake.operators.book import (
     book_points,
     book_updates,
     level_spans,
+    product_of,
     quote_view,
     written_levels,
 )
@@ -71,7 +72,7 @@ def top_of_book(
 def as_table(quotes: DataFrame) -> DataFrame:
     """Quote rows in the columns of the table."""
     return quotes.select(
-        F.col("product_id").alias("symbol"),
+        product_of("product_id").alias("symbol"),
         "event_time",
         "bid_px",
         "bid_sz",

@@ -1,16 +1,18 @@
 """Top of book as a stream: the book of each product is keyed state.
 
 A micro-batch hands all new updates of a product to its state function, which
-sorts them by sequence number; ``maxFilesPerTrigger`` of the landing stream
-bounds how many that are. Messages of different micro-batches are taken in the
-order of the batches. The state holds the live levels only: the best levels
-before a message follow from them.
+takes them in the order in which they were received; ``maxFilesPerTrigger`` of the
+landing stream bounds how many that are. Messages of different micro-batches are
+taken in the order of the batches. A message whose number is not above that of the
+one before it starts a new connection, and with it an empty book. The state holds
+the last number and the live levels: the best levels before a message follow from
+them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, pairwise
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,14 +22,14 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.storagelevel import StorageLevel
 
 from tapelake.operators.book import BAND, book_rejects, book_updates
-from tapelake.operators.fold import Book, Level, Message, message_levels, replay
+from tapelake.operators.fold import NEVER, Book, Level, Message, message_levels, replay
 from tapelake.plans.top_of_book import QUOTES, as_table
 from tapelake.sources.tables import Lake
 from tapelake.specs import TOP_OF_BOOK
 from tapelake.streaming.ingest import start, write_counts, write_rejects
 
 STATE = (
-    "side array<int>, lvl array<bigint>, qty array<double>, event_time array<bigint>, "
+    "last bigint, side array<int>, lvl array<bigint>, qty array<double>, event_time array<bigint>, "
     "timestamp array<bigint>, seq array<bigint>"
 )
 QUOTE_COLUMNS = [field.split()[0] for field in QUOTES.split(", ")]
@@ -39,10 +41,16 @@ def stream_quotes(frames: DataFrame, symmetric: bool = False, width: int = 1) ->
     def advance(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        updates = pd.concat(list(batches)).sort_values("sequence_num", kind="stable")
-        book = Book(_load(state.get) if state.exists else [])
-        rows, book = replay(book, _messages(updates, width), symmetric, width)
-        state.update(_store(book))
+        updates = pd.concat(list(batches)).sort_values(["recv_us", "sequence_num"], kind="stable")
+        last, book = _load(state.get) if state.exists else (NEVER, Book())
+        rows = []
+        for run in _connections(updates):
+            if run["sequence_num"].iloc[0] <= last:
+                book = Book()
+            emitted, book = replay(book, _messages(run, width), symmetric, width)
+            rows += emitted
+            last = int(run["sequence_num"].iloc[-1])
+        state.update(_store(last, book))
         quotes = pd.DataFrame(rows, columns=QUOTE_COLUMNS[1:])
         quotes.insert(0, QUOTE_COLUMNS[0], key[0])
         yield quotes
@@ -92,14 +100,23 @@ def _messages(updates: pd.DataFrame, width: int) -> Iterator[Message]:
             yield Message(seq, max(row[2] for row in group), levels)
 
 
-def _load(state: tuple) -> list[tuple[int, Level]]:
-    sides, *columns = state
-    return [
-        (int(side), Level(*level))
-        for side, level in zip(sides, zip(*columns, strict=True), strict=True)
-    ]
+def _connections(updates: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Runs of messages in which the number rises."""
+    numbers, received = updates["sequence_num"].to_numpy(), updates["recv_us"].to_numpy()
+    same_message = (numbers[1:] == numbers[:-1]) & (received[1:] == received[:-1])
+    cuts = [i + 1 for i in ((numbers[1:] <= numbers[:-1]) & ~same_message).nonzero()[0].tolist()]
+    for start, end in pairwise([0, *cuts, len(updates)]):
+        if end > start:
+            yield updates.iloc[start:end]
 
 
-def _store(book: Book) -> tuple:
+def _load(state: tuple) -> tuple[int, Book]:
+    last, sides, *columns = state
+    levels = zip(sides, zip(*columns, strict=True), strict=True)
+    return int(last), Book((int(side), Level(*level)) for side, level in levels)
+
+
+def _store(last: int, book: Book) -> tuple:
     levels = [(side, *level) for side in (0, 1) for level in book.live[side].values()]
-    return tuple(list(column) for column in zip(*levels, strict=True)) if levels else ([],) * 6
+    columns = [list(column) for column in zip(*levels, strict=True)] if levels else [[]] * 6
+    return (last, *columns)

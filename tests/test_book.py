@@ -9,6 +9,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tapelake.operators import book
 from tapelake.operators.fold import (
@@ -100,9 +101,9 @@ CASES = {
         {1: FIRST, 2: (("bid", 90, 1, 5), ("offer", 110, 1, 6))},
         [FIRST_ROW],
     ),
-    "order is by sequence number": (
+    "a number that falls starts a new connection with an empty book": (
         {2: (("bid", 100, 4, 5), ("offer", 101, 6, 7)), 1: FIRST},
-        [FIRST_ROW, (2, 5, 100.0, 4.0, 102.0, 3.0), (2, 7, 100.0, 4.0, 101.0, 6.0)],
+        [(2, 7, 100.0, 4.0, 101.0, 6.0), FIRST_ROW],
     ),
     "crossing resets the book": (
         # Message 2 meets the offer left at 102, so only its own levels survive:
@@ -362,3 +363,25 @@ def test_carried_rows_stay_below_the_writes_times_a_logarithm(
     assert {(r.product_id, r.seq, r.lvl) for r in best} == {
         (f"P{seq % products}", seq, 100 + seq // products) for seq in range(n)
     }
+
+
+def table_of(rows) -> list[tuple]:
+    return sorted(tuple(r)[1:8] for r in rows.collect())
+
+
+def test_connections_have_books_of_their_own(frames, small_chunks):
+    first, second = random_messages(7, 60, 0.0), random_messages(8, 50, 0.0)
+    both = top_of_book.top_of_book(frames("coinbase", "level2", *first, *second))
+    apart = [top_of_book.top_of_book(frames("coinbase", "level2", *part)) for part in (first, second)]
+    assert table_of(both) == sorted(table_of(apart[0]) + table_of(apart[1]))
+    assert {r.symbol for r in both.collect()} == {"P0", "P1"}
+
+
+def test_repeated_deliveries_count_once(frames):
+    landed = frames("coinbase", "level2", *random_messages(9, 40, 0.0))
+    again = landed.withColumn("recv_ts", landed["recv_ts"] + F.expr("INTERVAL 2 HOURS"))
+    connected = landed.unionByName(again).withColumn("connection", F.lit("a"))
+    other = landed.withColumn("connection", F.lit("b"))
+    once = table_of(top_of_book.top_of_book(landed))
+    assert table_of(top_of_book.top_of_book(connected)) == once
+    assert table_of(top_of_book.top_of_book(connected.unionByName(other))) == sorted(once + once)

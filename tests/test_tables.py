@@ -286,9 +286,10 @@ def test_book_stream_keeps_its_rejects(spark, lake, frames):
     assert counted["rows_processed"] == lake.read(TOP_OF_BOOK).count() > 0
 
 
-@pytest.mark.parametrize("drift", [0.0, 2.0])
-def test_streamed_book_equals_batch(spark, lake, frames, drift):
-    messages = random_messages(11, 300, drift)
+@pytest.mark.parametrize(("drift", "restart"), [(0.0, 0), (2.0, 0), (0.0, 130)])
+def test_streamed_book_equals_batch(spark, lake, frames, drift, restart):
+    """With ``restart``, the numbers begin anew behind so many messages."""
+    messages = random_messages(11, 300 - restart, drift) + random_messages(12, restart, drift)
     path, offsets = new_folder(spark, "test-landing"), new_folder(spark, "test-offsets")
     whole = frames("coinbase", "level2", *messages)
     for start in range(0, 300, 100):
