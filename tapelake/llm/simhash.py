@@ -36,7 +36,7 @@ HASH_SEED = 42
 BITS = 64
 HALF = 32
 HALF_BITS = 2  # of MAX_BITS, what at least one half keeps to
-COMPARED_AT_ONCE = 1 << 22
+COMPARED_AT_ONCE = 1 << 20
 SHINGLES_AT_ONCE = 1 << 16
 REPLICATED_AT_ONCE = 2048
 TILE_HOMES = 4096
