@@ -1,11 +1,12 @@
 """Exact dedup by a minimal perfect hash over historical distinct digests.
 
-The distinct digests of the history are dealt into buckets of about
-``BUCKET_KEYS`` keys. Each bucket gets its own minimal perfect hash and one slot
-per key, which holds the full digest and where the winner lies. The digests of
-new documents meet the bucket that could hold them; a slot whose bytes agree
-marks a repeat, and the others are classes of their own. Index and digests are
-both dealt by bucket, so nothing is broadcast and no task sees more than a bucket.
+The distinct digests of the history and those of the new documents are dealt into the
+same buckets, of about ``BUCKET_KEYS`` keys of either side at most. Each bucket gets
+its own minimal perfect hash and one slot per history key, which holds the full digest
+and where the winner lies. The digests of new documents meet the bucket that could
+hold them; a slot whose bytes agree marks a repeat, and the others are classes of
+their own. Index and digests are both dealt by bucket, so nothing is broadcast and no
+task sees more than a bucket.
 
 Copies are counted with a map-side combine before anything is dealt out, so a
 text that makes up a third of all rows is one row per task from then on.
@@ -202,8 +203,9 @@ def exact_duplicates(
         rows = rows.union(kind(history, True).withColumn("tag", -F.col("tag") - 1))
     rows = materialize(rows, "digests")
     old = materialize(classes(rows.where("old")), "history-digests")
-    buckets = max(1, -(-old.count() // BUCKET_KEYS))
-    found = merge(build_index(old, buckets), classes(rows.where(~F.col("old"))), buckets)
+    fresh = materialize(classes(rows.where(~F.col("old"))), "new-digests")
+    buckets = max(1, -(-max(old.count(), fresh.count()) // BUCKET_KEYS))
+    found = merge(build_index(old, buckets), fresh, buckets)
     winners = found.select("digest", F.col("doc_id").alias("keep_id"), F.col("tag").alias("keep_tag"), "copies")
     return rows.join(winners, "digest", "left").select(
         "doc_id",

@@ -61,6 +61,23 @@ def test_exact_dedup_keeps_whole_rows_and_takes_empty_tables(spark):
     assert exact_dedup.drop_exact_duplicates(cases.empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("ids", ["no history", "one outlying id", "no ids"])
+def test_no_bucket_takes_all_new_digests(spark, monkeypatch, ids):
+    dealt, merge = [], exact_dedup.merge
+    monkeypatch.setattr(exact_dedup, "BUCKET_KEYS", 16)
+    monkeypatch.setattr(exact_dedup, "merge", lambda *given: dealt.append(given) or merge(*given))
+    rows = [(None if ids == "no ids" else i, f"text {i // 2}") for i in range(800)]
+    if ids == "one outlying id":
+        rows.append((10**12, "far above"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    new, history = (docs, None) if ids == "no history" else exact_dedup.split_history(docs)
+    found = exact_dedup.exact_duplicates(new, history).collect()
+    assert sum(r["kept"] for r in found) == len({text for _, text in rows})
+    ((_, fresh, buckets),) = dealt
+    sizes = [r["count"] for r in exact_dedup._dealt(fresh, buckets).groupBy("bucket").count().collect()]
+    assert sum(sizes) == 400 and max(sizes) <= 48
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.integers(1, 700), st.integers(0, 10**6))
 def test_perfect_hash_is_minimal_and_byte_checked(n, seed):
