@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,7 @@ MEMBER_BYTES = 8 << 20
 ARCHIVE_BYTES = 128 << 20
 RANGE_BYTES = 1 << 20
 GZIP_LEVEL, GZIP_WINDOW = 3, 31
+SALTS = 1024
 NO_ID = 2**63 - 1
 
 # The ZIP format's signatures and markers, and WARC's line ends.
@@ -173,13 +174,17 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Pages with ``refers_to`` and ``revisit``: of equal payloads of at least ``least_bytes``, the smallest id responds.
 
     Rows that repeat the smallest id respond too. A missing id is larger than all others.
+    Pages are dealt by payload and a salt from id and url, so a payload that many pages
+    share is spread over tasks; each pair of the two that occurs has one row with the id.
     """
     rows = pages.withColumn("digest", digest_udf("html"))
     rows = rows.withColumn("key", F.coalesce("page_id", F.lit(NO_ID)))
-    first = rows.groupBy("digest").agg(F.min("key").alias("first"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)))
+    first = rows.groupBy("digest", "salt").agg(F.min("key").alias("first"))
+    first = first.withColumn("first", F.min("first").over(Window.partitionBy("digest")))
     size = F.octet_length(F.coalesce("html", F.lit("")))
     revisit = (F.col("key") > F.col("first")) & (size >= least_bytes)
-    return rows.join(first, "digest").select(
+    return rows.join(first, ["digest", "salt"]).select(
         "page_id", "url", "html", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit")
     )
 

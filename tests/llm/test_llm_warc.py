@@ -9,6 +9,7 @@ import zipfile
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tapelake.llm import warc
 
@@ -87,3 +88,20 @@ def test_members_of_foreign_archives(tmp_path, zip64):
     broken.write_bytes(b"no archive at all")
     with pytest.raises(ValueError, match="central directory"):
         warc.ArchiveReader(str(broken)).members()
+
+
+def test_a_payload_that_all_pages_share_is_spread_over_tasks(spark):
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        rows = pages(spark, [(i, f"http://{i}", "error") for i in range(800)]).select("page_id", "url", "html")
+        found = warc.with_revisits(rows).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(found) == 800 and max(Counter(r["task"] for r in found).values()) <= 400
+    assert {(r["page_id"], r["refers_to"], r["revisit"]) for r in found} == {
+        (i, 0 if i else None, i > 0) for i in range(800)
+    }
