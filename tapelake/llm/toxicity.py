@@ -130,7 +130,6 @@ class Features(dict):
             near = int((gap <= NEAR).sum())
         weights = [w for _, w in hits]
         chars = max(1, len(text))
-        letters = max(1, sum(map(str.isalpha, text))) if chars < 400 else chars
         capitals = len(CAPITALS.findall(text))
         return [
             len(hits) / n,
@@ -142,7 +141,7 @@ class Features(dict):
             near / n,
             float(near),
             len(second) / n,
-            capitals / letters,
+            capitals / chars,
             len(SHOUTED.findall(text)) / n,
             len(SIGNS.findall(text)) / chars,
             text.count("!") / chars,

@@ -50,6 +50,12 @@ def scored(spark, docs, labels):
     return {r["doc_id"]: r for r in rows.collect()}
 
 
+def test_toxicity_features_do_not_jump_with_the_length():
+    features = toxicity.Features({})
+    short, long = (np.array(features.of(("Ab 1 " * 80)[:n])) for n in (399, 400))
+    assert np.abs(short - long).max() < 0.01
+
+
 def test_toxicity_of_held_out_documents(spark):
     docs, labels = corpus(1500)
     found = scored(spark, docs, labels)
