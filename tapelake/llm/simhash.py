@@ -271,6 +271,18 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     )
 
 
+def rooted(
+    docs: DataFrame, shingle_words: int, max_bits: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, least, root): least doc_id and component of each fingerprint."""
+    rows = materialize(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
+    distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    found = components(fingerprint_links(distinct.select("fp"), max_bits))
+    return rows, distinct.join(found, distinct["fp"] == found["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle_words: int = SHINGLE_WORDS,
@@ -286,12 +298,7 @@ def near_duplicates(
     without a doc_id link too, but never name a component: it is null if no row in
     it has an id. Repeated rows give repeated results. Other columns are ignored.
     """
-    rows = materialize(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
-    distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    found = components(fingerprint_links(distinct.select("fp"), max_bits))
-    grouped = distinct.join(found, distinct["fp"] == found["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rows, grouped = rooted(docs, shingle_words, max_bits, id_col, text_col)
     named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = grouped.join(named, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(
@@ -306,8 +313,29 @@ def drop_near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, and rows of components without any id."""
-    found = near_duplicates(docs, shingle_words, max_bits, id_col, text_col)
-    key = spare_name("key")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key))
-    return docs.join(kept.distinct(), docs[id_col].eqNullSafe(F.col(key)), "left_semi")
+    """One row of ``docs`` for each component: of its smallest doc_id, or any if none has an id.
+
+    Of rows that agree in doc_id and fingerprint, any one stays. Ids that no other row
+    has are looked up alone; only rows without an id, or with a repeated one, are
+    told apart by their fingerprints.
+    """
+    rows, grouped = rooted(docs, shingle_words, max_bits, id_col, text_col)
+    key, mark = spare_name("key"), spare_name("fp")
+    order = F.struct(F.col("least").isNull().alias("unnamed"), "least", "fp")
+    chosen = grouped.groupBy("root").agg(F.min(order).alias("it"))
+    chosen = materialize(chosen.select(F.col("it.least").alias(key), F.col("it.fp").alias(mark)), "chosen")
+    uses = rows.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("n"))
+    again = materialize(uses.where("n > 1").select(key), "repeated-ids")
+    named = chosen.where(F.col(key).isNotNull())
+    kept = docs.join(named.join(again, key, "left_anti"), docs[id_col] == F.col(key), "left_semi")
+    parts = []
+    if not again.isEmpty():
+        parts.append(docs.join(again, docs[id_col] == F.col(key), "left_semi"))
+    if not chosen.where(F.col(key).isNull()).isEmpty():
+        parts.append(docs.where(docs[id_col].isNull()))
+    for part in parts:
+        own = spare_name("fp")
+        part = part.withColumn(own, fingerprint_udf(shingle_words)(part[text_col]))
+        on = (part[own] == chosen[mark]) & part[id_col].eqNullSafe(chosen[key])
+        kept = kept.union(part.join(chosen, on, "left_semi").dropDuplicates([own, id_col]).drop(own))
+    return kept

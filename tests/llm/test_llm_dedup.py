@@ -135,6 +135,14 @@ def test_near_duplicates_match_brute_force(spark):
     assert simhash.near_duplicates(cases.empty(spark)).count() == 0
 
 
+def test_near_dedup_keeps_one_row_of_each_component(spark):
+    a, b, c = (" ".join(f"{name}{k}" for k in range(40)) for name in "abc")
+    rows = [(1, a), (None, a), (None, b), (None, b), (2, c), (2, c), (2, a), (3, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = simhash.drop_near_duplicates(docs).collect()
+    assert Counter(map(tuple, kept)) == Counter([(1, a), (None, b), (2, c)])
+
+
 @pytest.mark.parametrize("tile", [4, 4096])
 def test_links_of_crowded_and_random_fingerprints(spark, monkeypatch, tile):
     monkeypatch.setattr(simhash, "TILE_HOMES", tile)
