@@ -141,17 +141,25 @@ class Lattice:
         return pack(f"<{len(ids)}I", *ids), first[n], first[n] - second[n]
 
     def search(self, word: str, most: int) -> Iterator[tuple[float, list[int]]]:
-        """Segmentations from the best down, by A* from the end of the word to its start."""
+        """Segmentations from the best down, by A* from the end of the word to its start.
+
+        The ``most`` best go through a place with one of its ``most`` best endings, so a
+        place is taken that often and no more: a run of equal letters has thousands of
+        segmentations that score alike. Among equal scores the one nearest the start goes first.
+        """
         edges = self.edges(word)
         before = self.forward(word, edges)
         ending: list[list] = [[] for _ in range(len(word) + 1)]
         for edge in edges:
             ending[edge[1]].append(edge)
-        queue, number = [(-before[-1], 0, len(word), 0.0, None)], 0
-        while queue and most:
-            cost, _, at, behind, path = heapq.heappop(queue)
+        taken = [0] * (len(word) + 1)
+        queue, number = [(-before[-1], len(word), 0, 0.0, None)], 0
+        while queue and taken[0] < most:
+            cost, at, _, behind, path = heapq.heappop(queue)
+            if taken[at] == most:
+                continue
+            taken[at] += 1
             if not at:
-                most -= 1
                 steps = []
                 while path:
                     steps.append(path[0])
@@ -161,7 +169,7 @@ class Lattice:
             for edge in ending[at]:
                 number += 1
                 score = behind + edge[2]
-                heapq.heappush(queue, (-(score + before[edge[0]]), number, edge[0], score, (edge, path)))
+                heapq.heappush(queue, (-(score + before[edge[0]]), edge[0], number, score, (edge, path)))
 
     def words(self, text: str) -> tuple[Sequence[str], list[Word]]:
         """The text in the model's alphabet, cut where no piece runs on, and what is known of each word."""
@@ -255,7 +263,8 @@ def encode(
     ``ids`` are little-endian 32-bit numbers; ``alternatives`` are up to n - 1 further
     segmentations, best first, as edits (start, length, ids) of them. A null or empty
     text has no ids, score 0 and no alternatives. Of segmentations that score alike any
-    may come first, but the same each time. Repeated rows give repeated results; other
+    may come first, but the same each time. The model writes a space as ▁, so a text
+    that holds this sign itself comes back from decoding with a space there. Repeated rows give repeated results; other
     columns are ignored.
     """
     path = model_path(model)

@@ -7,6 +7,7 @@ import heapq
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -355,6 +356,29 @@ def test_n_best_segmentations_against_all(spark):
         assert [round(scored[x]) for x in sequences] == [round(s) for s, _ in every]
 
 
+def test_n_best_of_words_of_equal_letters():
+    known = pieces.lattice(pieces.model_path(None))
+    for letter in "xa-=":
+        word = pieces.SPACE + letter * 9
+        scores = [s for s, _ in known.search(word, 4)]
+        assert np.allclose(scores, best_scores(known, word, 4))
+        started = time.monotonic()
+        _, best, others = known.encode(letter * 20_000, 4)
+        assert time.monotonic() - started < 10
+        assert len(others) == 3 and all(s <= best for s, _ in others)
+
+
+def best_scores(known: pieces.Lattice, word: str, n: int) -> list[float]:
+    """The n best scores by listing every segmentation."""
+    found = [[] for _ in range(len(word) + 1)]
+    found[0] = [0.0]
+    for a in range(len(word)):
+        for start, end, score, _ in known.edges(word):
+            if start == a:
+                found[end] += [s + score for s in found[a]]
+    return sorted(found[-1], reverse=True)[:n]
+
+
 def test_encoding_and_decoding_come_back(spark):
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(pieces.MODEL))
     encoded = pieces.encode(cases.documents(spark)).withColumn("back", pieces.decode_udf()("ids"))
