@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tapelake.llm import (
     exact_dedup,
     language_model,
+    lexical_search,
     licenses,
+    ngram_join,
     packing,
     pieces,
     quality,
@@ -18,6 +20,7 @@ from tapelake.llm import (
     spotsigs,
     toxicity,
     warc,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +90,19 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_likeness(table(spark, sf_dir, "documents")).drop("signatures")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_texts(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = lexical_search.index(table(spark, sf_dir, "documents"))
+    return lexical_search.best_documents(blocks, table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         q.__name__: q
@@ -101,6 +117,9 @@ def queries() -> dict[str, Query]:
             op8_quality_classifier,
             op9_language_model,
             op10_spotsigs,
+            op11_ngram_join,
+            op12_embedding_whitening,
+            op13_lexical_search,
         )
     }
 
@@ -144,5 +163,70 @@ OP7_SQL = f"""
 """
 
 
+# Rows are told apart by number: texts may be missing or repeated.
+OP11_SQL = f"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, row_number() OVER () AS r,
+               [x for x in regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+') if x <> ''] AS w
+        FROM documents
+    ),
+    words AS (SELECT r, len(w) AS k, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM texts),
+    runs AS (
+        SELECT r, k, p, concat_ws(' ', word, lead(word) OVER o, lead(word, 2) OVER o,
+                                  lead(word, 3) OVER o, lead(word, 4) OVER o) AS run
+        FROM words WINDOW o AS (PARTITION BY r ORDER BY p)
+    ),
+    singles AS (SELECT DISTINCT r, hash(run) AS h FROM runs WHERE p <= greatest(k - 4, 1)),
+    shingles AS (SELECT r, h, count(*) OVER (PARTITION BY r) AS n FROM singles),
+    links AS (
+        SELECT a.r AS a, b.r AS b
+        FROM shingles a JOIN shingles b ON a.h = b.h AND a.r <> b.r
+        GROUP BY a.r, b.r, a.n, b.n
+        HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+    ),
+    reached AS (
+        SELECT r AS a, r AS b FROM texts
+        UNION
+        SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+    ),
+    named AS (SELECT a AS r, min(doc_id) AS component_id
+              FROM reached JOIN texts ON texts.r = reached.b GROUP BY a),
+    sizes AS (SELECT r, count(*) AS n FROM singles GROUP BY r)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM texts JOIN named USING (r) LEFT JOIN sizes USING (r)
+"""
+
+TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+OP13_SQL = f"""
+    WITH held AS (SELECT doc_id, regexp_extract_all({LOWER}, '{TERM}') AS t FROM documents),
+    docs AS (SELECT doc_id, t, len(t) AS n FROM held WHERE len(t) > 0),
+    totals AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM docs),
+    tf AS (SELECT doc_id, n, term, count(*) AS tf
+           FROM (SELECT doc_id, n, unnest(t) AS term FROM docs) GROUP BY doc_id, n, term),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    asked AS (SELECT item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM benchmark),
+    weighed AS (
+        SELECT item_id, term, count(*) AS uses,
+               CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT) AS w
+        FROM asked JOIN df USING (term), totals GROUP BY item_id, term, df, big_n
+    ),
+    scored AS (
+        SELECT item_id, doc_id,
+               CAST(sum(uses * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))))
+                    AS BIGINT) AS score
+        FROM weighed JOIN tf USING (term), totals GROUP BY item_id, doc_id
+    ),
+    ranked AS (SELECT item_id, doc_id, score,
+                      CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank
+               FROM scored WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op7_warc": OP7_SQL}
+    return {
+        "op1_exact_dedup": OP1_SQL,
+        "op7_warc": OP7_SQL,
+        "op11_ngram_join": OP11_SQL,
+        "op13_lexical_search": OP13_SQL,
+    }
