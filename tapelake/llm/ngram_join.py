@@ -9,11 +9,12 @@ reach the count that is left, and what does is looked up in the long lists by bi
 search.
 
 Which sets can meet follows from the same T: in any fixed order of all shingles, two
-linked sets share one of their first n - T + 1. The order is by a count sketch of
+linked sets share k of their first n - T + k. The order is by a count sketch of
 fixed size, rare shingles first, so shared passages come last. Shingles of this
-prefix that only one set holds are dropped where they are counted. Every other set
-has one home, the smallest of its remaining prefix shingles under a hash, so near
-copies share a home whatever the size of their group. For each shingle of its prefix
+prefix that only one set holds are dropped where they are counted, and then sets that
+are left with fewer than k (that of the smallest partner they can have). Every other set
+has one home, that of its remaining prefix shingles which most sets hold, so near
+copies share few homes whatever the size of their group. For each shingle of its prefix
 a set visits the homes that hold it (in one direction only), and there it is searched
 for in the inverted lists of the sets at home. Homes of many sets are cut into tiles.
 
@@ -29,6 +30,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import pairwise
 from math import log2
 
 import numpy as np
@@ -49,8 +51,10 @@ SKETCH_BITS = 22  # counters of the sketch: 2**22 numbers of 32 bits, whatever t
 SKETCH_CHUNK = 1 << 16
 CROWDED_LIST = 100_000
 TILE_SHINGLES = 2_000_000
-LONG_LISTS_COST = 0.01  # DivideSkip's mu: how much a probe of a long list costs beside a merge step
-MULTIPLIERS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+HEAPED = 2_000  # more postings than this are merged as sorted runs at once
+LONG_LISTS_COST = 0.01  # DivideSkip's mu: what a probe of a long list costs beside a merge step
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+TEXT_AT_ONCE = 1 << 20
 
 SET = "doc_id long, rec long, n long, chunk int, counts binary"
 POSTING = "token long, rec long, n long, salt long"
@@ -61,7 +65,7 @@ FULL_SET = "rec long, tokens binary"
 class WordHashes(dict):
     """Hashes of words, kept while a task has room for them."""
 
-    ROOM = 500_000
+    ROOM = 200_000
 
     def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh64_intdigest(word)
@@ -70,27 +74,54 @@ class WordHashes(dict):
         return found
 
 
-def mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(30))) * np.uint64(MULTIPLIERS[1])
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(MULTIPLIERS[2])
-    return values ^ (values >> np.uint64(31))
-
-
-def shingle_set(text: bytes, size: int, known: dict[bytes, int]) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles; of all its words if they are fewer; none without words."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    size = min(size, len(words))
-    found = np.full(len(words) - size + 1, size, np.uint64)
+def rolled(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every run of ``size`` words: a polynomial of their hashes."""
+    n = len(hashes) - size + 1
+    found = np.full(n, size, np.uint64)
     for at in range(size):
-        found = mixed(found * np.uint64(MULTIPLIERS[0]) + hashes[at : len(words) - size + 1 + at])
-    return np.unique(found)
+        found *= MULTIPLIER
+        found += hashes[at : at + n]
+    return found
 
 
-def record_of(tokens: np.ndarray) -> int:
-    """The name of a set: a hash of its shingles, as a signed number."""
+def shingle_sets(texts: Iterator[bytes], size: int, known: WordHashes) -> Iterator[list[np.ndarray]]:
+    """Sorted distinct hashes of the word shingles of each text, some texts at a time.
+
+    A text of fewer words is one shingle, one without words has none.
+    """
+    words, ends, held = [], [0], 0
+    for text in texts:
+        words += text.lower().split()
+        ends.append(len(words))
+        held += len(text)
+        if held >= TEXT_AT_ONCE:
+            yield sets_of(words, ends, size, known)
+            words, ends, held = [], [0], 0
+    if len(ends) > 1:
+        yield sets_of(words, ends, size, known)
+
+
+def sets_of(words: list[bytes], ends: list[int], size: int, known: WordHashes) -> list[np.ndarray]:
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    runs = rolled(hashes, size) if len(hashes) >= size else hashes[:0]
+    out = []
+    for a, b in pairwise(ends):
+        if b - a < size:
+            out.append(rolled(hashes[a:b], b - a) if b > a else hashes[:0])
+            continue
+        own = runs[a : b - size + 1].copy()
+        own.sort()
+        new = np.empty(len(own), bool)
+        new[0] = True
+        np.not_equal(own[1:], own[:-1], out=new[1:])
+        out.append(own[new])
+    return out
+
+
+def record_of(tokens: np.ndarray) -> int | None:
+    """The name of a set: a hash of its shingles, as a signed number; none for the empty set."""
+    if not len(tokens):
+        return None
     return int(np.uint64(xxhash.xxh64_intdigest(tokens.tobytes())).astype(np.int64))
 
 
@@ -99,6 +130,15 @@ def needed(n, percent: int):
     return -(-percent * n // 100)
 
 
+def needed_column(n, percent: int):
+    return F.ceil(n * percent / 100)
+
+
+def certain(n):
+    """Of the shingles that a set of n is dealt by, how many it shares with a partner as large or larger."""
+    return n // 8 + 1
+
+
 def cells(tokens: np.ndarray) -> np.ndarray:
     """Counter of each shingle."""
     return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
@@ -110,13 +150,12 @@ def sets_and_counts(size: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            recs, sizes = [], []
-            for text in utf8(batch.column("text")):
-                tokens = shingle_set(text, size, known)
-                np.add.at(counts, cells(tokens), 1)
-                recs.append(record_of(tokens) if len(tokens) else None)
-                sizes.append(len(tokens))
-            yield rows(batch.column("doc_id"), recs, sizes, [None] * len(recs), [None] * len(recs))
+            doc_ids, at = batch.column("doc_id"), 0
+            for sets in shingle_sets(utf8(batch.column("text")), size, known):
+                np.add.at(counts, cells(np.concatenate(sets)), 1)
+                recs, none = [record_of(tokens) for tokens in sets], [None] * len(sets)
+                yield rows(doc_ids.slice(at, len(sets)), recs, [len(tokens) for tokens in sets], none, none)
+                at += len(sets)
         for chunk, part in enumerate(counts.reshape(-1, SKETCH_CHUNK)):
             if part.any():
                 yield rows(pa.array([None], pa.int64()), [None], [None], [chunk], [packed(part)])
@@ -149,7 +188,7 @@ def sketch(counted: DataFrame) -> np.ndarray:
 
 
 def prefixes(size: int, percent: int, counts, crowded: int):
-    """(token, rec, n, salt) for the first n - T + 1 shingles of every set that can have a partner.
+    """(token, rec, n, salt) for the first n - T + k shingles of every set that can have a partner.
 
     A task names a set once. The list of a shingle counted over ``crowded`` times is spread over salts from 1.
     """
@@ -157,29 +196,28 @@ def prefixes(size: int, percent: int, counts, crowded: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen, common = WordHashes(), set(), counts.value
         for batch in batches:
-            tokens_, recs, sizes = [], [], []
-            for text in utf8(batch.column("text")):
-                tokens = shingle_set(text, size, known)
-                n = len(tokens)
-                if 100 * n < percent * (n + 1):  # this small, a set has no partner but its equals
-                    continue
-                rec = record_of(tokens)
-                if rec in seen:
-                    continue
-                seen.add(rec)
-                order = np.argsort(common[cells(tokens)], kind="stable")
-                tokens_.append(tokens[order[: n - needed(n, percent) + 1]])
-                recs.append(rec)
-                sizes.append(n)
-            if recs:
-                lengths = [len(t) for t in tokens_]
-                token = np.concatenate(tokens_)
-                rec = np.repeat(np.array(recs, np.int64), lengths)
-                held = common[cells(token)]
-                salt = np.where(held > crowded, 1 + rec.view(np.uint64) % (held // crowded + 1), 0)
-                n = np.repeat(np.array(sizes, np.int64), lengths)
-                arrays = map(pa.array, (token.astype(np.int64), rec, n, salt.astype(np.int64)))
-                yield pa.RecordBatch.from_arrays(list(arrays), names=["token", "rec", "n", "salt"])
+            for sets in shingle_sets(utf8(batch.column("text")), size, known):
+                firsts, recs, sizes = [], [], []
+                for tokens in sets:
+                    n, rec = len(tokens), record_of(tokens)
+                    # With 100 n < percent (n + 1) a set has no partner but its equals.
+                    if 100 * n < percent * (n + 1) or rec in seen:
+                        continue
+                    seen.add(rec)
+                    order = np.argsort(common[cells(tokens)], kind="stable")
+                    firsts.append(tokens[order[: n - needed(n, percent) + certain(n)]])
+                    recs.append(rec)
+                    sizes.append(n)
+                if recs:
+                    yield postings(firsts, recs, sizes, common)
+
+    def postings(firsts: list, recs: list, sizes: list, common: np.ndarray) -> pa.RecordBatch:
+        lengths, token = [len(t) for t in firsts], np.concatenate(firsts)
+        rec, n = (np.repeat(np.array(x, np.int64), lengths) for x in (recs, sizes))
+        held = common[cells(token)].astype(np.uint64)
+        salt = np.where(held > crowded, 1 + rec.view(np.uint64) % (held // np.uint64(crowded) + 1), 0)
+        arrays = [pa.array(x) for x in (token.view(np.int64), rec, n, salt.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(arrays, names=["token", "rec", "n", "salt"])
 
     return read
 
@@ -215,19 +253,13 @@ def full_sets(size: int, wanted):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen, marks = WordHashes(), set(), wanted.value
         for batch in batches:
-            recs, sets = [], []
-            for text in utf8(batch.column("text")):
-                tokens = shingle_set(text, size, known)
-                if not len(tokens):
-                    continue
-                rec = record_of(tokens)
-                if rec not in seen and present(marks, rec):
-                    seen.add(rec)
-                    recs.append(rec)
-                    sets.append(tokens.astype("<u8").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(recs, pa.int64()), pa.array(sets, pa.binary())], names=["rec", "tokens"]
-            )
+            for sets in shingle_sets(utf8(batch.column("text")), size, known):
+                own = [(record_of(tokens), tokens) for tokens in sets]
+                own = [(rec, tokens) for rec, tokens in own if rec is not None and present(marks, rec)]
+                own = {rec: tokens.tobytes() for rec, tokens in own if rec not in seen}
+                seen.update(own)
+                arrays = [pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["rec", "tokens"])
 
     return read
 
@@ -248,51 +280,65 @@ def marks_of(recs: DataFrame) -> np.ndarray:
     return sketch(recs.select("rec").mapInArrow(read, "chunk int, counts binary"))
 
 
+NONE = np.empty(0, np.int64)
+
+
 class Tile:
-    """Inverted lists of the sets of one tile, and the links found so far."""
+    """Inverted lists of the sets of one tile, and the links found so far.
+
+    ``labels`` has the class of each set at home, ``visitors`` that of a set searched for.
+    """
 
     def __init__(self, recs: list[int], sets: list[np.ndarray], percent: int):
-        self.recs, self.percent = recs, percent
-        self.sizes = [len(s) for s in sets]
+        self.recs, self.percent = np.array(recs, np.int64), percent
+        self.sizes = np.array([len(s) for s in sets])
         tokens = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
         order = np.argsort(tokens, kind="stable")
-        self.postings = memoryview(owner[order])
+        self.owners = owner[order]
+        self.postings = memoryview(self.owners)
         tokens = tokens[order]
         starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
         self.tokens, self.bounds = tokens[starts], np.append(starts, len(tokens))
-        self.up: dict[int, int] = {}
-        self.classes = set(recs)  # roots of the sets at home
+        self.labels = np.arange(len(sets))
+        self.classes = len(sets)
         self.links: list[tuple[int, int]] = []
 
-    def root(self, x: int) -> int:
-        up = self.up
-        while (above := up.setdefault(x, x)) != x:
-            up[x] = up[above]
-            x = above
-        return x
-
     def lists(self, tokens: np.ndarray) -> list[tuple[int, int]]:
         """(start, end) of the inverted list of each shingle that the tile knows."""
         at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
         at = at[self.tokens[at] == tokens]
         return list(zip(self.bounds[at].tolist(), self.bounds[at + 1].tolist(), strict=True))
 
-    def search(self, tokens: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(set of the tile, size of the overlap) of every set that shares T or more with a query."""
+    def search(self, tokens: np.ndarray, label: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Sets of the tile that share T or more with a query, and how much; those of class ``label`` are passed by."""
         least = needed(len(tokens), self.percent)
         lists = sorted(self.lists(tokens), key=lambda x: x[1] - x[0])
         if len(lists) < least:
-            return
+            return NONE, NONE
         longest = lists[-1][1] - lists[-1][0]
         aside = min(least - 1, int(least / (LONG_LISTS_COST * log2(longest + 1) + 1)))
         short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-        for found, count in self.merge(short, least - aside):
-            for start, end in long:
-                at = bisect_left(self.postings, found, start, end)
-                count += at < end and self.postings[at] == found
-            if count >= least:
-                yield found, count
+        if sum(end - start for start, end in short) <= HEAPED:
+            merged = np.array(list(self.merge(short, least - aside)), np.int64).reshape(-1, 2)
+            found, counts = merged[:, 0], merged[:, 1]
+        else:
+            held = np.bincount(np.concatenate([self.owners[a:b] for a, b in short]), minlength=len(self.sizes))
+            found = np.flatnonzero(held >= least - aside)
+            counts = held[found]
+        other = self.labels[found] != label
+        found, counts = found[other], counts[other]
+        for left, (start, end) in zip(range(aside, 0, -1), long, strict=True):
+            possible = counts + left >= least
+            if not possible.all():
+                found, counts = found[possible], counts[possible]
+            if not len(found):
+                break
+            own = self.owners[start:end]
+            at = np.minimum(np.searchsorted(own, found), end - start - 1)
+            counts = counts + (own[at] == found)
+        enough = counts >= least
+        return found[enough], counts[enough]
 
     def merge(self, lists: list[tuple[int, int]], least: int) -> Iterator[tuple[int, int]]:
         """(set, count) of the sets that stand in ``least`` lists or more, by a heap that skips."""
@@ -318,33 +364,30 @@ class Tile:
                 if at < end:
                     heapq.heappush(heads, (postings[at], at, end))
 
-    def link(self, rec: int, tokens: np.ndarray) -> None:
-        """Search the tile for a set, and keep those links that join two classes."""
-        n, own = len(tokens), self.root(rec)
-        if self.classes == {own}:
+    def link(self, rec: int, tokens: np.ndarray, at: int | None = None) -> None:
+        """Search the tile for a set, and keep those links that join two classes; ``at``: its place at home."""
+        if at is not None and self.classes == 1:
             return
-        for found, overlap in self.search(tokens):
-            other = self.root(self.recs[found])
-            if other == own or 100 * overlap < self.percent * (n + self.sizes[found] - overlap):
-                continue
-            self.links.append((rec, self.recs[found]))
-            self.classes -= {own, other}
-            own, other = min(own, other), max(own, other)
-            self.up[other] = own
-            self.classes.add(own)
-            if len(self.classes) == 1:
-                return
+        found, overlap = self.search(tokens, -1 if at is None else self.labels[at])
+        linked = found[100 * overlap >= self.percent * (len(tokens) + self.sizes[found] - overlap)]
+        labels, first = np.unique(self.labels[linked], return_index=True)
+        self.links += [(rec, int(other)) for other in self.recs[linked[first]]]
+        joined = labels if at is None else np.append(labels, self.labels[at])
+        if len(joined) > 1:
+            self.labels[np.isin(self.labels, joined)] = joined.min()
+            self.classes -= len(joined) - 1
 
 
 def tile_links(percent: int):
     """Links of every tile. Rows come sorted by tile, those at home first; visitors are taken one by one."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, recs, sets, tile = None, [], [], None
         for batch in batches:
             found: list[tuple[int, int]] = []
-            for key, home, rec, raw in zip(
-                batch["tile"].tolist(), batch["home"].tolist(), batch["rec"].tolist(), batch["tokens"], strict=True
+            raw = batch.column("tokens")
+            for i, (key, home, rec) in enumerate(
+                zip(*(batch.column(c).to_pylist() for c in ("tile", "home", "rec")), strict=True)
             ):
                 if key != name:
                     if tile is None and len(recs) > 1:
@@ -352,26 +395,30 @@ def tile_links(percent: int):
                     elif tile is not None:
                         found += tile.links
                     name, recs, sets, tile = key, [], [], None
-                tokens = np.frombuffer(raw, "<u8")
+                tokens = np.frombuffer(raw[i].as_buffer(), "<u8")
                 if home:
                     recs.append(rec)
-                    sets.append(tokens)
+                    sets.append(tokens.copy())
                 elif recs:
                     tile = tile or closed(recs, sets)
                     tile.link(rec, tokens)
             if tile is not None:
                 found += tile.links
                 tile.links = []
-            if found:
-                yield pd.DataFrame(found, columns=["a", "b"])
+            yield linked(found)
         if tile is None and len(recs) > 1:
-            yield pd.DataFrame(closed(recs, sets).links, columns=["a", "b"])
+            yield linked(closed(recs, sets).links)
+
+    def linked(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
+        )
 
     def closed(recs: list[int], sets: list[np.ndarray]) -> Tile:
         """The tile, searched for all its own sets."""
         tile = Tile(recs, sets, percent)
-        for rec, tokens in zip(recs, sets, strict=True):
-            tile.link(rec, tokens)
+        for at, (rec, tokens) in enumerate(zip(recs, sets, strict=True)):
+            tile.link(rec, tokens, at)
         return tile
 
     return read
@@ -379,8 +426,14 @@ def tile_links(percent: int):
 
 def visits_of(postings: DataFrame, percent: int) -> DataFrame:
     """(home, rec, n, home_n): the homes at which each set is searched for, its own included."""
-    home = F.min_by("token", F.xxhash64("token")).alias("home")
-    homes = postings.groupBy("rec").agg(home)
+    least = needed_column(F.col("n"), percent)
+    enough = postings.groupBy("rec").agg(F.count(F.lit(1)).alias("held"), F.first("n").alias("n"))
+    enough = enough.where(F.col("held") >= F.floor(least / 8) + 1).select("rec")
+    postings = materialize(postings.join(enough, "rec"), "postings")
+    # The longest list of a set is one that most of its near copies are in as well.
+    lengths = postings.groupBy("token").agg(F.count(F.lit(1)).alias("length"))
+    longest = F.max_by("token", F.struct("length", F.xxhash64("token"))).alias("home")
+    homes = postings.join(lengths.where("length > 1"), "token").groupBy("rec").agg(longest)
     placed = postings.join(homes, "rec")
     held = placed.groupBy("token", F.col("home").alias("other")).agg(
         F.min("n").alias("low"), F.max("n").alias("high")
@@ -420,12 +473,13 @@ def set_links(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> D
         "tiles",
     )
     wanted = context.broadcast(marks_of(dealt))
-    full = texts.mapInArrow(full_sets(size, wanted), FULL_SET).groupBy("rec").agg(F.first("tokens").alias("tokens"))
+    full = texts.mapInArrow(full_sets(size, wanted), FULL_SET).repartition("rec")
+    full = full.groupBy("rec").agg(F.first("tokens").alias("tokens"))
     return (
         dealt.join(full, "rec")
         .repartition("tile")
         .sortWithinPartitions("tile", F.col("home").desc())
-        .mapInPandas(tile_links(percent), "a long, b long")
+        .mapInArrow(tile_links(percent), "a long, b long")
     )
 
 

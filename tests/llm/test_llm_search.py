@@ -102,11 +102,11 @@ def test_search_finds_every_set_with_the_needed_overlap(sets, percent):
     for own, tokens in zip(sets, arrays, strict=True):
         least = ngram_join.needed(len(own), percent)
         want = {i: len(own & s) for i, s in enumerate(sets) if len(own & s) >= least}
-        assert dict(tile.search(tokens)) == want
+        assert dict(zip(*map(np.ndarray.tolist, tile.search(tokens)), strict=True)) == want
     for rec, tokens in enumerate(arrays):
-        tile.link(rec, tokens)
+        tile.link(rec, tokens, rec)
     roots = roots_of(sets, percent)
-    assert len(tile.classes) == len(set(roots))
+    assert tile.classes == len(set(roots)) == len(sets) - len(tile.links)
     assert all(roots[a] == roots[b] for a, b in tile.links)
 
 
