@@ -363,22 +363,25 @@ def _readable_size() -> str:
     FROM sizes"""
 
 
-def _frames_equal() -> str:
-    def compare(name: str, a: str, b: str) -> str:
-        return f"""
+KRAKEN_PRICES = f"SELECT pair, price, volume FROM ({KRAKEN_TRADE})"
+KRAKEN_BARS = f"SELECT pair, open AS price, volume FROM ({KRAKEN_OHLC})"
+
+
+def _compared(pairs: dict[str, tuple[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"""
         SELECT '{name}' AS frames, only_left, only_right,
                only_left = 0 AND only_right = 0 AS equal
         FROM (SELECT (SELECT count(*) FROM (({a}) EXCEPT ALL ({b}))) AS only_left,
                      (SELECT count(*) FROM (({b}) EXCEPT ALL ({a}))) AS only_right)"""
+        for name, (a, b) in pairs.items()
+    )
+
 
-    trades = f"SELECT pair, price, volume FROM ({KRAKEN_TRADE})"
-    bars = f"SELECT pair, open AS price, volume FROM ({KRAKEN_OHLC})"
+def _frames_equal() -> str:
     gemini = f"SELECT symbol AS pair, price, amount AS volume FROM ({GEMINI_TRADE})"
-    return _ev(
-        compare("trades and bars", trades, bars)
-        + " UNION ALL "
-        + compare("gemini and kraken", gemini, trades)
-    )
+    return _ev(_compared({
+        "trades and bars": (KRAKEN_PRICES, KRAKEN_BARS), "gemini and kraken": (gemini, KRAKEN_PRICES)}))
 
 
 OUTER_UPSERT = f"""
@@ -452,6 +455,32 @@ def sql() -> dict[str, str]:
             WITH {BOOK}
             SELECT side, event_time, price AS price_level, qty AS new_quantity,
                    'l2_data' AS channel, timestamp, seq AS sequence_num, product_id FROM upd""",
+        "landing_roundtrip": _ev("""
+            SELECT CASE WHEN event_id % 7 <> 0 THEN 'a' || event_id || mark || 'b' END AS value,
+                   CASE WHEN user_id % 4 <> 0 THEN user_id || mark END AS connection, us AS recv_us
+            FROM (SELECT *, [chr(10), chr(13) || chr(10), chr(9), chr(92) || 'n', chr(92), ''][event_id % 6 + 1]
+                            AS mark FROM ev)"""),
+        "latency_summary": _ev("""
+            SELECT CASE WHEN user_id % 2 = 0 THEN 'btcusdt@trade' ELSE '!ticker@arr' END AS stream,
+                   CAST(make_timestamp(us + event_id % 100 * 1000) AS DATE) AS date, count(*) AS messages,
+                   CAST(min(event_id % 100) AS DOUBLE) AS min_ms, round(avg(event_id % 100), 1) AS mean_ms,
+                   CAST(max(event_id % 100) AS DOUBLE) AS max_ms,
+                   true AS p50_within, true AS p95_within, true AS p99_within
+            FROM ev GROUP BY ALL"""),
+        "compact_rerun": _ev(TRADES),
+        "coverage_kept": _ev(" UNION ALL ".join(
+            f"SELECT *, '{table}' AS \"table\" FROM "
+            f"({_coverage(f"SELECT * FROM ({STATELESS[table]}) WHERE date >= DATE '2024-01-15'", symbol)})"
+            for table, symbol in (("binance_trade_data_stream", "symbol"),
+                                  ("gemini_multimarketdata_trades", "symbol"),
+                                  ("kraken_trade_data_stream", "pair")))),
+        "frames_same": _ev(_compared({
+            "trades and trades": (KRAKEN_PRICES, KRAKEN_PRICES), "trades and bars": (KRAKEN_PRICES, KRAKEN_BARS)})),
+        "stream_connections": f"""
+            WITH {VIEW}, tob AS ({TOP_OF_BOOK})
+            SELECT * FROM tob UNION ALL
+            SELECT * REPLACE (CAST(date + 365 AS DATE) AS date,
+                              insert_time + 365 * 86400000000 AS insert_time) FROM tob""",
         "raw_landing": _ev("""
             SELECT 'binance' AS exchange, 'trade' AS feed, us AS recv_us,
                    CASE WHEN event_type <> 'error' THEN event_id END AS trade_id FROM ev"""),

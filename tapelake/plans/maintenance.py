@@ -90,7 +90,13 @@ def _location(spark: SparkSession, name: str) -> str:
 
 def _drop_partitions(spark: SparkSession, name: str, column: str, limit: date) -> list[str]:
     # The partition list holds one entry per load and day.
+    # The folders of a lake's table go by its commit log, so that its readers see them go.
     location = _location(spark, name)
+    root, table = location.rstrip("/").rsplit("/", 1)
+    lake = Lake(spark, root)
+    logged = lake.log(table).exists()
+    if logged:
+        lake.drop_days(table, limit)
     gone = set()
     for (partition,) in spark.sql(f"SHOW PARTITIONS {name}").collect():
         values = dict(part.split("=", 1) for part in partition.split("/"))
@@ -98,7 +104,8 @@ def _drop_partitions(spark: SparkSession, name: str, column: str, limit: date) -
         if is_day(day) and date.fromisoformat(day) < limit:
             spec = ", ".join(f"`{key}`='{value}'" for key, value in values.items())
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
-            remove_folder(spark, f"{location}/{partition}")
+            if not logged:
+                remove_folder(spark, f"{location}/{partition}")
             gone.add(day)
     return sorted(gone)
 

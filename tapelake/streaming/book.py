@@ -3,10 +3,13 @@
 A micro-batch hands all new updates of a product to its state function, which
 takes them in the order in which they were received; ``maxFilesPerTrigger`` of the
 landing stream bounds how many that are. Messages of different micro-batches are
-taken in the order of the batches. A message whose number is not above that of the
-one before it starts a new connection, and with it an empty book. The state holds
-the last number and the live levels: the best levels before a message follow from
-them.
+taken in the order of the batches. The state holds the last number and the live
+levels: the best levels before a message follow from them.
+
+Where the frames name their ``connection``, each connection of a product has a state of
+its own, and a message whose number is not above the last one is a repeated delivery
+and passed over. Elsewhere such a message starts a new connection, and with it an
+empty book.
 """
 
 from __future__ import annotations
@@ -41,10 +44,10 @@ def stream_quotes(frames: DataFrame, symmetric: bool = False, width: int = 1) ->
     def advance(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        updates = pd.concat(list(batches)).sort_values(["recv_us", "sequence_num"], kind="stable")
+        updates = pd.concat(list(batches))
         last, book = _load(state.get) if state.exists else (NEVER, Book())
         rows = []
-        for run in _connections(updates):
+        for run in _first_deliveries(updates, last) if named else _connections(updates):
             if run["sequence_num"].iloc[0] <= last:
                 book = Book()
             emitted, book = replay(book, _messages(run, width), symmetric, width)
@@ -55,9 +58,10 @@ def stream_quotes(frames: DataFrame, symmetric: bool = False, width: int = 1) ->
         quotes.insert(0, QUOTE_COLUMNS[0], key[0])
         yield quotes
 
+    updates = book_updates(frames)
+    named = "connection" in updates.columns
     return (
-        book_updates(frames)
-        .groupBy("product_id")
+        updates.groupBy("product_id", *(["connection"] if named else []))
         .applyInPandasWithState(advance, QUOTES, STATE, "append", GroupStateTimeout.NoTimeout)
     )
 
@@ -101,7 +105,8 @@ def _messages(updates: pd.DataFrame, width: int) -> Iterator[Message]:
 
 
 def _connections(updates: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Runs of messages in which the number rises."""
+    """Runs of messages in which the number rises, in the order in which they came."""
+    updates = updates.sort_values(["recv_us", "sequence_num"], kind="stable")
     numbers, received = updates["sequence_num"].to_numpy(), updates["recv_us"].to_numpy()
     same_message = (numbers[1:] == numbers[:-1]) & (received[1:] == received[:-1])
     cuts = [i + 1 for i in ((numbers[1:] <= numbers[:-1]) & ~same_message).nonzero()[0].tolist()]
@@ -110,6 +115,15 @@ def _connections(updates: pd.DataFrame) -> Iterator[pd.DataFrame]:
             yield updates.iloc[start:end]
 
 
+def _first_deliveries(updates: pd.DataFrame, last: int) -> Iterator[pd.DataFrame]:
+    """Messages above the last number in the order of their numbers, each as it came first."""
+    fresh = updates[updates["sequence_num"] > last]
+    first = fresh.groupby("sequence_num")["recv_us"].transform("min")
+    run = fresh[fresh["recv_us"] == first].sort_values(["sequence_num", "recv_us"], kind="stable")
+    if len(run):
+        yield run
+
+
 def _load(state: tuple) -> tuple[int, Book]:
     last, sides, *columns = state
     levels = zip(sides, zip(*columns, strict=True), strict=True)
