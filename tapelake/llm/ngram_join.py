@@ -65,7 +65,7 @@ FULL_SET = "rec long, tokens binary"
 class WordHashes(dict):
     """Hashes of words, kept while a task has room for them."""
 
-    ROOM = 200_000
+    ROOM = 100_000
 
     def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh64_intdigest(word)
@@ -504,7 +504,9 @@ def similar_texts(
     counts = sketch(read)
     texts = read.where("chunk IS NULL").select("doc_id", "rec", "n")
     classes = texts.where("rec IS NOT NULL").groupBy("rec").agg(F.min("doc_id").alias("least"))
-    found = components(set_links(rows, shingle_words, percent, counts))
+    # Written first, so that no task runs the search and the first step on its links at once.
+    links = materialize(set_links(rows, shingle_words, percent, counts), "set-links")
+    found = components(links)
     rooted = classes.join(found, classes["rec"] == found["node"], "left").select(
         "rec", "least", F.coalesce("root", "rec").alias("root")
     )
