@@ -91,7 +91,7 @@ def tob_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coinbase_l2_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.book_updates(samples.coinbase_level2(spark, sf_dir)).drop("recv_us")
+    return book.book_updates(samples.coinbase_level2(spark, sf_dir)).drop("recv_us", "digest", "at")
 
 
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -469,10 +469,6 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Order book ------------------------------------------------------------------
 
 
-def _updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.book_updates(samples.coinbase_level2(spark, sf_dir))
-
-
 def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = top_of_book.book_table(samples.coinbase_level2(spark, sf_dir))
     return book.quote_view(book.best_levels(written))
@@ -498,23 +494,28 @@ def book_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.book_rejects(_level2_with_rejects(spark, sf_dir)).select("reason", "date", "insert_time")
 
 
-def price_band(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.price_band(book.in_chunks(_updates(spark, sf_dir))).select(
-        "product_id", "sequence_num", "side", "price_level", "new_quantity", "event_time",
-        "lo_px", "hi_px",
-    )
+def _banded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return book.price_band(book.book_frames(samples.coinbase_level2(spark, sf_dir)))
 
 
-def bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.level_bins(book.price_band(book.in_chunks(_updates(spark, sf_dir))))
+def price_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _banded(spark, sf_dir).select(
+        "product_id", "sequence_num", "lo_px", "hi_px", F.inline("updates")
+    )
 
 
 def level_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bins(spark, sf_dir).drop("chunk", "pos", "recv_us", "low_px", "high_px")
+    return (
+        book.level_bins(_banded(spark, sf_dir))
+        .select("product_id", "sequence_num", "timestamp", F.inline("bins"))
+        .drop("low_px", "high_px")
+    )
 
 
 def dense_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.dense_levels(bins(spark, sf_dir)).drop("chunk", "pos", "recv_us", "head")
+    return book.dense_levels(book.level_bins(_banded(spark, sf_dir))).select(
+        "product_id", "sequence_num", "timestamp", F.inline("levels")
+    )
 
 
 def best_levels(spark: SparkSession, sf_dir: str) -> DataFrame:

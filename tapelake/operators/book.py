@@ -1,9 +1,11 @@
 """Order book of level-2 updates in DataFrame form.
 
-The messages of a product are numbered, and the book is cut into chunks of
-consecutive messages. Updates are shuffled by (product, chunk); band, bins, dense
-fill and the life of each written level are then worked out inside the chunk. A
-product with a large share of all updates is thereby spread over many tasks.
+A message is one row until its levels are known: band, bins and dense fill are array
+functions over its updates, worked out where the frame is parsed. The messages of a
+product are numbered, and the book is cut into chunks of consecutive messages; a
+message's bins are shuffled by (product, chunk), and the life of each written level is
+worked out inside the chunk. A product with a large share of all updates is thereby
+spread over many tasks.
 
 A written level stays in the book until the next write of that level. The best
 level at a message is the best among all levels whose span covers the message.
@@ -21,11 +23,12 @@ from pyspark.sql import functions as F
 
 from tapelake.functions.columns import iso_nanos
 from tapelake.operators.messages import coinbase_level2, frames_of
-from tapelake.operators.ordered import following, running_count
+from tapelake.operators.ordered import BUCKET, following
 from tapelake.operators.rows import audit_columns
 from tapelake.specs import TOP_OF_BOOK
 
 BAND = 50.0
+SIDES = ("bid", "offer")
 
 BOOK_MARK = "\x1f"  # between a product and the number of its connection
 HOUR_US = 3_600_000_000
@@ -38,8 +41,7 @@ CHUNK = POSITIONS - 1
 LEVEL = ["lvl", "qty", "event_time", "timestamp", "seq"]
 
 # Keys of windows and groups, the most selective one first: sorts compare that
-# one by its prefix and rarely reach the texts.
-MESSAGE = ["sequence_num", "chunk", "product_id"]
+# one by its prefix and rarely reach the text.
 IN_CHUNK = ["chunk", "product_id"]
 
 
@@ -57,9 +59,10 @@ def _typed_updates(landing: DataFrame) -> DataFrame:
         F.expr(iso_nanos("msg.timestamp")).alias("timestamp"),
         *(["connection"] if "connection" in decoded.columns else []),
     )
-    rows = messages.withColumn("row", F.explode_outer("records"))
+    rows = messages.select("*", F.posexplode_outer("records").alias("at", "row"))
     typed = rows.select(
         F.col("row").isNotNull().alias("is_update"),
+        "at",
         "rejected",
         F.col("row.side").alias("side"),
         F.expr(iso_nanos("row.event_time")).alias("event_time"),
@@ -80,11 +83,14 @@ def _typed_updates(landing: DataFrame) -> DataFrame:
 
 
 def book_updates(landing: DataFrame) -> DataFrame:
-    """One row per good level-2 update, with the shared fields of its message."""
+    """One row per good level-2 update, with the shared fields of its message.
+
+    ``digest`` is a hash of the frame's text, ``at`` the update's place in the frame.
+    """
     return (
         _typed_updates(landing)
         .where(F.col("is_update") & F.col("reason").isNull())
-        .withColumn("recv_us", F.unix_micros("recv_ts"))
+        .withColumns({"recv_us": F.unix_micros("recv_ts"), "digest": F.xxhash64("value")})
         .drop("recv_ts", "value", "reason", "rejected", "is_update")
     )
 
@@ -95,77 +101,125 @@ def book_rejects(landing: DataFrame) -> DataFrame:
     return _typed_updates(landing).where(bad).select("value", "reason", *audit_columns("recv_ts"))
 
 
-def in_chunks(updates: DataFrame) -> DataFrame:
-    """Shuffle the updates by (product, chunk); ``pos`` is their message's place in the chunk.
+def book_frames(landing: DataFrame) -> DataFrame:
+    """One row per level-2 message with a good update: its fields, and its good ``updates``.
 
-    Chunks hold CHUNK messages of one product, however many other products share
-    the sequence numbers.
+    ``digest`` is a hash of the frame's text. The best prices of the message and what it
+    writes follow from the array alone, so nothing is shuffled for them.
     """
-    frame = ["product_id", "sequence_num", "recv_us"]
-    if "connection" in updates.columns:
-        frame.append("connection")
-    numbered = running_count(
-        books(updates.select(frame).distinct()), ["_book"], "sequence_num", "_ord", "_total"
+    decoded = coinbase_level2(frames_of(landing, TOP_OF_BOOK))
+    typed = F.expr(
+        "transform(records, r -> named_struct('side', r.side, "
+        "'price_level', try_cast(r.price_level AS DOUBLE), "
+        "'new_quantity', try_cast(r.new_quantity AS DOUBLE), "
+        f"'event_time', {iso_nanos('r.event_time')}))"
     )
-    chunk = F.floor(F.col("_ord") / F.lit(CHUNK))
-    placed = numbered.select(
-        *frame,
-        "_book",
-        chunk.alias("chunk"),
-        (F.col("_ord") - chunk * CHUNK + 1).cast("int").alias("pos"),
+    good = F.filter(
+        typed,
+        lambda u: u["price_level"].isNotNull() & u["new_quantity"].isNotNull() & u["event_time"].isNotNull(),
+    )
+    messages = decoded.select(
+        F.col("msg.product_id").alias("product_id"),
+        *(["connection"] if "connection" in decoded.columns else []),
+        F.col("msg.sequence_num").try_cast("bigint").alias("sequence_num"),
+        F.expr(iso_nanos("msg.timestamp")).alias("timestamp"),
+        F.unix_micros("recv_ts").alias("recv_us"),
+        F.xxhash64("value").alias("digest"),
+        good.alias("updates"),
     )
+    return messages.where("sequence_num IS NOT NULL AND timestamp IS NOT NULL AND size(updates) > 0")
+
+
+def in_chunks(messages: DataFrame) -> DataFrame:
+    """Shuffle messages by (book, chunk); ``pos`` is a message's place in its chunk.
+
+    Chunks hold CHUNK messages of one book, however many other products share the
+    sequence numbers. ``product_id`` becomes the name of the book.
+    """
+    numbered = books(messages)
+    chunk = F.floor(F.col("_ord") / F.lit(CHUNK))
     return (
-        updates.join(placed, frame)
+        numbered.withColumn("chunk", chunk)
+        .withColumn("pos", (F.col("_ord") - F.col("chunk") * CHUNK + 1).cast("int"))
         .withColumn("product_id", F.col("_book"))
-        .drop("_book", "connection")
+        .drop("_book", "_ord", "connection", "digest")
         .repartition(*IN_CHUNK)
     )
 
 
 def books(messages: DataFrame) -> DataFrame:
-    """Messages (product_id, sequence_num, recv_us) with the ``_book`` they belong to.
+    """Messages with the ``_book`` they belong to and their number ``_ord`` in it, from 0.
 
     Numbers start anew with each connection, and so does the book. With a column
     ``connection`` a number that comes again is a repeated delivery, and the first one
     counts. Without it, a message whose number is not above that of the message
-    received before it starts a new connection.
+    received before it starts a new connection, unless both were received in the same
+    microsecond under the same number: that is a repeated delivery too.
 
     The book of a product's first connection has the product's name; later ones add
     their number, which ``product_of`` takes off again.
+
+    Messages are numbered inside buckets, hours of receipt or ranges of sequence
+    numbers, and one row per bucket carries the numbers across the cuts.
     """
-    if "connection" in messages.columns:
-        first = F.min("recv_us").over(Window.partitionBy("product_id", "connection", "sequence_num"))
-        kept = messages.withColumn("_first", first).where("recv_us = _first").drop("_first")
-        return kept.withColumn("_book", F.concat_ws(BOOK_MARK, "product_id", "connection"))
-
-    hour = F.floor(F.col("recv_us") / F.lit(HOUR_US))
-    in_hour = Window.partitionBy("product_id", "_hour").orderBy("recv_us", "sequence_num")
-    falls = F.coalesce(F.col("sequence_num") <= F.lag("sequence_num").over(in_hour), F.lit(False))
-    marked = messages.withColumn("_hour", hour).withColumn("_falls", falls.cast("int"))
-    marked = marked.withColumn("_inside", F.sum("_falls").over(in_hour))
-    received = F.struct("recv_us", "sequence_num")
-    hours = marked.groupBy("product_id", "_hour").agg(
-        F.min_by("sequence_num", received).alias("_head"),
-        F.max_by("sequence_num", received).alias("_tail"),
-        F.sum("_falls").alias("_sum"),
+    named = "connection" in messages.columns
+    keys = ["product_id", "connection"] if named else ["product_id"]
+    order = ["sequence_num", "recv_us", "digest"] if named else ["recv_us", "sequence_num", "digest"]
+    bucket = F.col("sequence_num") / F.lit(BUCKET) if named else F.col("recv_us") / F.lit(HOUR_US)
+    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+
+    before = F.lag("sequence_num").over(in_bucket)
+    again = before == F.col("sequence_num")
+    if not named:
+        again = again & (F.lag("recv_us").over(in_bucket) == F.col("recv_us"))
+    falls = F.lit(False) if named else F.coalesce(F.col("sequence_num") <= before, F.lit(False))
+    kept = (
+        messages.withColumn("_bucket", F.floor(bucket))
+        .withColumns({"_again": F.coalesce(again, F.lit(False)), "_falls": falls})
+        .where("NOT _again")
+        .withColumn("_at", (F.row_number().over(in_bucket) - 1).cast("bigint"))
+        .withColumns({
+            "_inside": F.sum(F.col("_falls").cast("int")).over(in_bucket),
+            "_mark": F.max(F.when(F.col("_falls"), F.col("_at"))).over(in_bucket),
+        })
     )
-    # One row per hour of a product that has messages.
-    across = Window.partitionBy("product_id").orderBy("_hour")
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
-    starts = F.coalesce(F.col("_head") <= F.lag("_tail").over(across), F.lit(False)).cast("int")
-    hours = hours.withColumn("_starts", starts).select(
-        "product_id",
-        "_hour",
-        (
-            F.coalesce(F.sum(F.col("_sum") + F.col("_starts")).over(before), F.lit(0)) + F.col("_starts")
-        ).alias("_earlier"),
+    place = F.struct(*order)
+    buckets = kept.groupBy(*keys, "_bucket").agg(
+        F.min_by("sequence_num", place).alias("_head"),
+        F.max_by("sequence_num", place).alias("_tail"),
+        F.sum(F.col("_falls").cast("int")).alias("_sum"),
+        F.max("_mark").alias("_last"),
+        F.count(F.lit(1)).alias("_size"),
+    )
+    # One row per bucket of a product that has messages.
+    across = Window.partitionBy(*keys).orderBy("_bucket")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    starts = F.lit(False) if named else F.coalesce(F.col("_head") <= F.lag("_tail").over(across), F.lit(False))
+    start_rows = F.when(F.col("_starts"), F.col("_rows"))
+    carried = (
+        buckets.withColumns({"_starts": starts, "_rows": F.coalesce(F.sum("_size").over(earlier), F.lit(0))})
+        .withColumns({
+            "_earlier": F.coalesce(F.sum(F.col("_sum") + F.col("_starts").cast("int")).over(earlier), F.lit(0))
+            + F.col("_starts").cast("int"),
+            "_from": F.coalesce(
+                start_rows,
+                F.max(F.coalesce(F.col("_rows") + F.col("_last"), start_rows)).over(earlier),
+                F.lit(0),
+            ),
+        })
+        .select(*keys, "_bucket", "_rows", "_earlier", "_from")
     )
     number = F.col("_earlier") + F.col("_inside")
     later = F.concat_ws(BOOK_MARK, "product_id", number.cast("string"))
-    return (
-        marked.join(hours, ["product_id", "_hour"])
-        .withColumn("_book", F.when(number == 0, F.col("product_id")).otherwise(later))
-        .drop("_hour", "_falls", "_inside", "_earlier")
+    first = F.coalesce(F.col("_rows") + F.col("_mark"), F.col("_from"))
+    if named:
+        book = F.concat_ws(BOOK_MARK, "product_id", "connection")
+    else:
+        book = F.when(number == 0, F.col("product_id")).otherwise(later)
+    return kept.join(carried, [*keys, "_bucket"]).select(
+        *messages.columns,
+        book.alias("_book"),
+        (F.col("_rows") + F.col("_at") - first).alias("_ord"),
     )
 
 
@@ -174,115 +228,134 @@ def product_of(book: str) -> Column:
     return F.substring_index(book, BOOK_MARK, 1)
 
 
-def price_band(updates: DataFrame, band: float = BAND) -> DataFrame:
-    """Keep the updates between the best bid less and the best offer plus ``band``.
+def price_band(messages: DataFrame, band: float = BAND) -> DataFrame:
+    """Keep the ``updates`` between the best bid less and the best offer plus ``band``.
 
     Bounds are those of the update's message. A message without one of the sides
     has no bound there and loses all its updates.
     """
-    message = Window.partitionBy(*MESSAGE)
 
     def prices(side: str) -> Column:
-        return F.when(F.col("side") == side, F.col("price_level"))
+        own = F.filter("updates", lambda u: u["side"] == side)
+        return F.transform(own, lambda u: u["price_level"])
 
-    bounded = updates.withColumns(
+    bounded = messages.withColumns(
         {
-            "lo_px": F.max(prices("bid")).over(message) - F.lit(band),
-            "hi_px": F.min(prices("offer")).over(message) + F.lit(band),
+            "lo_px": F.array_max(prices("bid")) - F.lit(band),
+            "hi_px": F.array_min(prices("offer")) + F.lit(band),
         }
     )
-    return bounded.where(F.col("price_level").between(F.col("lo_px"), F.col("hi_px")))
+    inside = F.filter(
+        "updates",
+        lambda u: u["side"].isin(*SIDES) & u["price_level"].between(F.col("lo_px"), F.col("hi_px")),
+    )
+    return bounded.withColumn("updates", inside)
 
 
-def _bin(width: int) -> Column:
+def _bin(update: Column, width: int) -> Column:
     """A bid is in the bin that starts at or below it, an offer in the one that ends there."""
-    scaled = F.col("price_level") / F.lit(float(width))
-    return F.when(F.col("side") == "bid", F.floor(scaled)).otherwise(F.ceil(scaled))
+    scaled = update["price_level"] / F.lit(float(width))
+    return F.when(update["side"] == "bid", F.floor(scaled)).otherwise(F.ceil(scaled))
 
 
 def level_bins(banded: DataFrame, width: int = 1) -> DataFrame:
-    """Quantity and latest times of each bin a message touches.
+    """Array ``bins``: quantity and latest time of each bin a message touches.
 
     ``lvl`` counts bins of ``width``; ``low_px`` and ``high_px`` are the bin's
-    extreme prices.
+    extreme prices. The updates of a message are sorted by bin and cut where it
+    changes, so a long message costs no more than its sort.
     """
-    return (
-        banded.withColumn("lvl", _bin(width))
-        .groupBy(*MESSAGE, "side", "lvl")
-        .agg(
-            F.max("pos").alias("pos"),
-            F.sum("new_quantity").alias("qty"),
-            F.max("event_time").alias("event_time"),
-            F.max("timestamp").alias("timestamp"),
-            F.max("recv_us").alias("recv_us"),
-            F.min("price_level").alias("low_px"),
-            F.max("price_level").alias("high_px"),
+    by_bin = F.array_sort(
+        F.transform(
+            "updates",
+            lambda u: F.struct(
+                u["side"].alias("side"),
+                _bin(u, width).alias("lvl"),
+                u["price_level"].alias("price"),
+                u["new_quantity"].alias("qty"),
+                u["event_time"].alias("event_time"),
+            ),
         )
     )
 
+    def starts_bin(u: Column, i: Column) -> Column:
+        before = F.get(F.col("_sorted"), i - 1)
+        return ~(before["side"].eqNullSafe(u["side"]) & before["lvl"].eqNullSafe(u["lvl"]))
+
+    def run(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(F.col("_starts"), k + 1), F.size("_sorted"))
+        return F.slice("_sorted", start + 1, end - start)
+
+    def summed(u: Column) -> Column:
+        return F.struct(
+            u[0]["side"].alias("side"),
+            u[0]["lvl"].alias("lvl"),
+            F.aggregate(u, F.lit(0.0), lambda total, x: total + x["qty"]).alias("qty"),
+            F.array_max(u["event_time"]).alias("event_time"),
+            u[0]["price"].alias("low_px"),
+            F.element_at(u, -1)["price"].alias("high_px"),
+        )
 
-def dense_levels(bins: DataFrame, width: int = 1) -> DataFrame:
-    """``level_bins`` plus the empty bins around them, with quantity 0 and no time.
+    starts = F.transform("_sorted", lambda u, i: F.when(starts_bin(u, i), i))
+    return (
+        banded.withColumn("_sorted", by_bin)
+        .withColumn("_starts", F.array_compact(starts))
+        .withColumn("bins", F.transform(F.transform("_starts", run), summed))
+        .drop("_sorted", "_starts", "updates", "lo_px", "hi_px")
+    )
+
+
+def dense_levels(binned: DataFrame, width: int = 1) -> DataFrame:
+    """Array ``levels``: ``bins`` and after them the empty bins around, with quantity 0 and no time.
 
     The filled range reaches one bin beyond the message's own extremes: bids from
-    floor(min)-1 to ceil(max), offers from floor(min) to ceil(max)+1. The lowest
-    bin of each side brings the empty ones along, so the fill needs no join.
-    ``head`` marks one bin of each message.
+    floor(min)-1 to ceil(max), offers from floor(min) to ceil(max)+1.
     """
-    in_side = Window.partitionBy(*MESSAGE, "side").orderBy("lvl")
-    side = in_side.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    in_message = Window.partitionBy(*MESSAGE).orderBy("side", "lvl")
-    is_bid = F.col("side") == "bid"
-    low = F.floor(F.min("low_px").over(side) / float(width)) - F.when(is_bid, 1).otherwise(0)
-    high = F.ceil(F.max("high_px").over(side) / float(width)) + F.when(is_bid, 0).otherwise(1)
-    spread = bins.withColumns(
-        {
-            "low": low,
-            "high": high,
-            "own": F.collect_list("lvl").over(side),
-            "first": F.row_number().over(in_side) == 1,
-            "head": F.row_number().over(in_message) == 1,
-        }
-    )
-    empty = F.when(
-        F.col("first"), F.array_except(F.sequence("low", "high"), F.col("own"))
-    ).otherwise(F.array())
-    filled = spread.select(
-        *MESSAGE,
-        "side",
-        "qty",
-        "event_time",
-        "timestamp",
-        "recv_us",
-        "pos",
-        "head",
-        F.posexplode(F.concat(F.array("lvl"), empty)).alias("i", "lvl"),
+
+    def empty(side: str) -> Column:
+        own = F.filter("bins", lambda b: b["side"] == side)
+        is_bid = side == "bid"
+        low = F.floor(F.array_min(own["low_px"]) / float(width)) - (1 if is_bid else 0)
+        high = F.ceil(F.array_max(own["high_px"]) / float(width)) + (0 if is_bid else 1)
+        missing = F.array_except(F.sequence(low, high), own["lvl"])
+        return F.transform(
+            F.coalesce(missing, F.array().cast("array<bigint>")),
+            lambda lvl: F.struct(
+                F.lit(side).alias("side"),
+                lvl.alias("lvl"),
+                F.lit(0.0).alias("qty"),
+                F.lit(None).cast("bigint").alias("event_time"),
+            ),
+        )
+
+    own = F.transform(
+        "bins", lambda b: F.struct(*(b[name].alias(name) for name in ("side", "lvl", "qty", "event_time")))
     )
-    is_own = F.col("i") == 0
-    return filled.withColumns(
-        {
-            "qty": F.when(is_own, F.col("qty")).otherwise(0.0),
-            "event_time": F.when(is_own, F.col("event_time")),
-            "head": F.col("head") & is_own,
-        }
-    ).drop("i")
+    return binned.withColumn("levels", F.concat(own, *map(empty, SIDES))).drop("bins")
 
 
-def written_levels(updates: DataFrame, width: int = 1) -> DataFrame:
+def written_levels(binned: DataFrame, width: int = 1) -> DataFrame:
     """Level writes that matter later, each with its life inside the chunk.
 
-    ``pos`` is the message's position in the chunk, ``until`` that of the chunk's
-    next write of the level, ``first_pos`` that of its first. An empty bin only
-    ends the life of the write before it; it is kept if it is the chunk's last
-    word on the level, or the head of its message.
+    Takes ``level_bins``; the empty bins are filled in where the message has arrived in
+    its chunk. ``pos`` is the message's position in the chunk, ``until`` that of the
+    chunk's next write of the level, ``first_pos`` that of its first; ``head`` marks one
+    level of each message. An empty bin only ends the life of the write before it; it is
+    kept if it is the chunk's last word on the level, or the head of its message.
     """
-    bins = level_bins(price_band(in_chunks(updates)), width)
-    dense = dense_levels(bins, width)
-    by_level = Window.partitionBy("lvl", *IN_CHUNK, "side").orderBy("pos")
-    lived = (
-        dense.withColumnRenamed("sequence_num", "seq")
-        .withColumns({"until": F.lead("pos").over(by_level), "first_pos": F.min("pos").over(by_level)})
+    dense = dense_levels(in_chunks(binned), width).select(
+        "product_id",
+        "chunk",
+        "pos",
+        F.col("sequence_num").alias("seq"),
+        "timestamp",
+        "recv_us",
+        F.posexplode("levels").alias("_i", "_level"),
     )
+    by_level = Window.partitionBy("lvl", *IN_CHUNK, "side").orderBy("pos")
+    lived = dense.select(
+        "product_id", "chunk", "pos", "seq", "timestamp", "recv_us", "_level.*", (F.col("_i") == 0).alias("head")
+    ).withColumns({"until": F.lead("pos").over(by_level), "first_pos": F.min("pos").over(by_level)})
     return lived.where((F.col("qty") != 0) | F.col("until").isNull() | F.col("head"))
 
 

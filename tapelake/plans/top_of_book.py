@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from tapelake.operators.book import (
     best_levels,
+    book_frames,
     book_points,
-    book_updates,
+    level_bins,
     level_spans,
+    price_band,
     product_of,
     quote_view,
     written_levels,
@@ -46,8 +48,9 @@ QUOTES = (
 
 
 def book_table(landing: DataFrame, width: int = 1) -> DataFrame:
-    """Parsed, banded and binned level writes as a table that later steps read."""
-    return materialize(written_levels(book_updates(landing), width), "book-writes")
+    """Level writes as a table that later steps read; each frame is parsed once."""
+    binned = materialize(level_bins(price_band(book_frames(landing)), width), "book-frames")
+    return materialize(written_levels(binned, width), "book-writes")
 
 
 def top_of_book(

@@ -44,7 +44,7 @@ def stream_quotes(frames: DataFrame, symmetric: bool = False, width: int = 1) ->
     def advance(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        updates = pd.concat(list(batches))
+        updates = _frames_once(pd.concat(list(batches)))
         last, book = _load(state.get) if state.exists else (NEVER, Book())
         rows = []
         for run in _first_deliveries(updates, last) if named else _connections(updates):
@@ -104,6 +104,13 @@ def _messages(updates: pd.DataFrame, width: int) -> Iterator[Message]:
             yield Message(seq, max(row[2] for row in group), levels)
 
 
+def _frames_once(updates: pd.DataFrame) -> pd.DataFrame:
+    """Of messages with one number, received in one microsecond, the one with the smallest digest."""
+    same = ["sequence_num", "recv_us"]
+    kept = updates["digest"] == updates.groupby(same)["digest"].transform("min")
+    return updates[kept].drop_duplicates([*same, "at"])
+
+
 def _connections(updates: pd.DataFrame) -> Iterator[pd.DataFrame]:
     """Runs of messages in which the number rises, in the order in which they came."""
     updates = updates.sort_values(["recv_us", "sequence_num"], kind="stable")

@@ -338,12 +338,10 @@ def walking_messages(n: int, products: int) -> list[str]:
 def test_carried_rows_stay_below_the_writes_times_a_logarithm(
     frames, small_chunks, monkeypatch, products
 ):
-    monkeypatch.setattr(book, "BAND", 1e6)
     n = 800
-    updates = book.book_updates(frames("coinbase", "level2", *walking_messages(n, products)))
-    banded = book.price_band(book.in_chunks(updates), band=1e6)
-    monkeypatch.setattr(book, "price_band", lambda *_: banded)
-    written = materialize(book.written_levels(updates), "test-writes")
+    messages = book.book_frames(frames("coinbase", "level2", *walking_messages(n, products)))
+    binned = book.level_bins(book.price_band(messages, band=1e6))
+    written = materialize(book.written_levels(binned), "test-writes")
     writes = written.count()
     assert writes >= 2 * n
     bound = 2 * math.log2(n) * writes
@@ -377,6 +375,37 @@ def test_connections_have_books_of_their_own(frames, small_chunks):
     assert {r.symbol for r in both.collect()} == {"P0", "P1"}
 
 
+def test_what_a_message_writes_needs_no_shuffle(frames, spark):
+    """Array form against the plain fold; sides of other names write nothing."""
+    rng = random.Random(11)
+    sent = [
+        [(rng.choice(["bid", "offer", "ask", ""]), rng.choice([95, 100, 120, 160]) + rng.random(),
+          rng.choice([0, 1, 2.5]), rng.randint(1, 50)) for _ in range(rng.choice([1, 2, 9, 40]))]
+        for _ in range(60)
+    ]
+    landed = frames("coinbase", "level2", *(l2(i, *updates) for i, updates in enumerate(sent)))
+    for width in (1, 5):
+        binned = book.level_bins(book.price_band(book.book_frames(landed)), width)
+        dense = book.dense_levels(binned, width)
+        plan = dense._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" not in plan and "Generate" not in plan
+        got = {r.sequence_num: sorted((u.side, u.lvl, round(u.qty, 9), u.event_time or 0) for u in r.levels)
+               for r in dense.collect()}
+        for seq, updates in enumerate(sent):
+            typed = [(side, price, qty, BASE + second * 10**9) for side, price, qty, second in updates]
+            expected = message_levels(typed, 0, seq, book.BAND, width)
+            assert got[seq] == sorted(
+                (book.SIDES[side], level.lvl, round(level.qty, 9), level.event_time) for side, level in expected
+            )
+
+
+def test_a_frame_landed_twice_in_one_microsecond_counts_once(frames):
+    landed = frames("coinbase", "level2", *random_messages(12, 60, 0.4))
+    once = table_of(top_of_book.top_of_book(landed))
+    assert table_of(top_of_book.top_of_book(landed.unionByName(landed))) == once
+    assert table_of(top_of_book.top_of_book(landed.unionByName(landed).withColumn("connection", F.lit("a")))) == once
+
+
 def test_repeated_deliveries_count_once(frames):
     landed = frames("coinbase", "level2", *random_messages(9, 40, 0.0))
     again = landed.withColumn("recv_ts", landed["recv_ts"] + F.expr("INTERVAL 2 HOURS"))
