@@ -11,6 +11,11 @@ average. Homes and visitors are compared anchor by anchor, on all 64 bits.
 The links of an anchor are reduced to a forest where they are found, so a group of
 near copies never becomes all its pairs. Anchors with many homes are cut into
 tiles. Components come from the forests by alternating star steps.
+
+Rows of an anchor agree in most of one half, so what tells them apart is the other one.
+It is cut into blocks, t more than bits may differ; a pair within the threshold then
+agrees in t blocks, and only rows that do are compared, with a larger t the more rows
+an anchor has.
 """
 
 from __future__ import annotations
@@ -37,6 +42,7 @@ BITS = 64
 HALF = 32
 HALF_BITS = 2  # of MAX_BITS, what at least one half keeps to
 COMPARED_AT_ONCE = 1 << 20
+AGREEING_FROM = [512, 8_192, 131_072]  # rows of an anchor from which 1, 2, 3 blocks must agree
 SHINGLES_AT_ONCE = 1 << 16
 REPLICATED_AT_ONCE = 2048
 TILE_HOMES = 4096
@@ -176,50 +182,99 @@ def replicate_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"anchor": anchor[home]})
 
 
-def links_of_anchor(homes: np.ndarray, visitors: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """A forest of the links between the homes of an anchor and its visitors, homes included."""
+@cache
+def block_masks(agreeing: int, max_bits: int, shift: int) -> list[int]:
+    """Masks over one half, so that words with at most ``max_bits`` differing bits agree under one of them."""
+    blocks = max(1, max_bits + agreeing)
+    bounds = [HALF * k // blocks for k in range(blocks + 1)]
+    spans = [(1 << b) - (1 << a) << shift for a, b in zip(bounds, bounds[1:], strict=False)]
+    return [sum(chosen) for chosen in combinations(spans, agreeing)]
+
+
+def compared(
+    homes: np.ndarray, values: np.ndarray, max_bits: int, half: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (home, value) to compare, in bounded runs: those that agree in some blocks of the other half."""
+    agreeing = sum(len(values) >= least for least in AGREEING_FROM)
+    unsigned, own = values.view(np.uint64), homes.view(np.uint64)
+    for mask in block_masks(agreeing, max_bits, HALF * (1 - half)):
+        keys = unsigned & np.uint64(mask)
+        order = np.argsort(keys, kind="stable")
+        keys, sought = keys[order], own & np.uint64(mask)
+        first = np.searchsorted(keys, sought, "left")
+        counts = np.searchsorted(keys, sought, "right") - first
+        ends = np.cumsum(counts)
+        at = 0
+        while at < len(homes):
+            done = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + COMPARED_AT_ONCE, "right")))
+            size = counts[at:stop]
+            home = np.repeat(np.arange(at, stop), size)
+            inside = np.arange(len(home)) - np.repeat(np.cumsum(size) - size, size)
+            yield home, order[np.repeat(first[at:stop], size) + inside]
+            at = stop
+
+
+def merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray, kept: list[np.ndarray]) -> np.ndarray:
+    """Labels after linking places ``a`` with ``b``; ``kept`` takes the pairs of roots that were joined."""
+    while True:
+        low, high = np.minimum(labels[a], labels[b]), np.maximum(labels[a], labels[b])
+        apart = low != high
+        if not apart.any():
+            return labels
+        a, b = a[apart], b[apart]
+        parent = np.arange(len(labels))
+        np.minimum.at(parent, high[apart], low[apart])
+        hooked = np.flatnonzero(parent != np.arange(len(labels)))
+        kept.append(np.stack([parent[hooked], hooked], axis=1))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        labels = parent[labels]
+
+
+def links_of_anchor(homes: np.ndarray, visitors: np.ndarray, max_bits: int, half: int = 0) -> np.ndarray:
+    """A forest of the links between the homes of an anchor of ``half`` and its visitors, homes included."""
     values = np.unique(visitors)
+    at = np.searchsorted(values, homes)
     labels = np.arange(len(values))
-    kept: list[tuple[int, int]] = []
-    step = max(1, COMPARED_AT_ONCE // len(values))
-    for first in range(0, len(homes), step):
-        differ = homes[first : first + step, None] ^ values[None, :]
-        near = np.bitwise_count(differ.view(np.uint64)) <= max_bits
-        for linked in near[near.sum(axis=1) > 1]:
-            roots = np.unique(labels[linked])
-            if len(roots) > 1:
-                kept += [(int(values[roots[0]]), int(values[r])) for r in roots[1:]]
-                labels[np.isin(labels, roots)] = roots[0]
-    return kept
+    kept: list[np.ndarray] = []
+    for home, value in compared(homes, values, max_bits, half):
+        near = np.bitwise_count((homes[home] ^ values[value]).view(np.uint64)) <= max_bits
+        labels = merge(labels, at[home[near]], value[near], kept)
+    return values[np.concatenate(kept)] if kept else np.empty((0, 2), np.int64)
 
 
 def anchor_links(max_bits: int):
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows come sorted by tile; a tile may run on into the next batch."""
-        rest: pd.DataFrame | None = None
+        """Rows come sorted by tile; a tile may run on over any number of batches."""
+        waiting: list[pd.DataFrame] = []
         for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            key = rows["tile"].to_numpy()
-            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
-            whole = int(cuts[-1]) if len(cuts) else 0
-            yield from linked(rows.iloc[:whole])
-            rest = rows.iloc[whole:]
-        if rest is not None:
-            yield from linked(rest)
+            if not len(batch):
+                continue
+            tile = batch["tile"]
+            if waiting and tile.iloc[-1] == waiting[0]["tile"].iloc[0]:
+                waiting.append(batch)
+                continue
+            last = int(np.searchsorted(tile.to_numpy(), tile.iloc[-1]))
+            yield from linked(pd.concat([*waiting, batch.iloc[:last]], ignore_index=True))
+            waiting = [batch.iloc[last:]]
+        if waiting:
+            yield from linked(pd.concat(waiting, ignore_index=True))
 
     def linked(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         if not len(rows):
             return
         values, home = rows["fp"].to_numpy(np.int64), rows["home"].to_numpy(bool)
         key = rows["tile"].to_numpy()
-        found: list[tuple[int, int]] = []
+        found: list[np.ndarray] = []
         starts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
         for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             at_home = home[a:b]
             if at_home.any() and b - a > 1:
-                found += links_of_anchor(values[a:b][at_home], values[a:b], max_bits)
+                half = int(key[a]) >> HALF & 1
+                found.append(links_of_anchor(values[a:b][at_home], values[a:b], max_bits, half))
         if found:
-            yield pd.DataFrame(found, columns=["a", "b"])
+            yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
     return compare
 

@@ -157,6 +157,43 @@ def test_links_of_crowded_and_random_fingerprints(spark, monkeypatch, tile):
     assert [found.get(v, v) for v in values] == want
 
 
+@pytest.mark.parametrize("half", [0, 1])
+@pytest.mark.parametrize("agreeing", [0, 1, 2, 3])
+@pytest.mark.parametrize("max_bits", [0, 3, 4, 5])
+def test_blocks_of_an_anchor_lose_no_link(monkeypatch, half, agreeing, max_bits):
+    monkeypatch.setattr(simhash, "AGREEING_FROM", [0] * agreeing)
+    monkeypatch.setattr(simhash, "COMPARED_AT_ONCE", 50)
+    rng = np.random.default_rng(agreeing)
+    far = rng.integers(-(2**63), 2**63 - 1, 12)
+    near = [int(far[k % 12]) ^ sum(1 << int(b) for b in rng.choice(63, k % 7, replace=False)) for k in range(200)]
+    values = np.unique(np.array(near, np.int64))
+    homes = values[::2]
+    links = simhash.links_of_anchor(homes, values, max_bits, half)
+    differ = np.bitwise_count((values[:, None] ^ values[None, :]).view(np.uint64))
+    want = np.arange(len(values))
+    at_home = np.isin(values, homes)
+    direct = (differ <= max_bits) & (at_home[:, None] | at_home[None, :])
+    for _ in values:
+        want = np.array([want[row].min() for row in direct | np.eye(len(values), dtype=bool)])
+    got = np.arange(len(values))
+    kept = []
+    got = simhash.merge(got, np.searchsorted(values, links[:, 0]), np.searchsorted(values, links[:, 1]), kept)
+    assert np.array_equal(got, want)
+    assert len(links) == len(values) - len(np.unique(want))  # a forest
+
+
+def test_comparisons_of_an_anchor_do_not_grow_with_the_square():
+    rng = np.random.default_rng(2)
+    each = {}
+    for rows in (2_000, 16_000, 256_000):
+        values = np.unique(rng.integers(-(2**63), 2**63 - 1, rows))
+        homes = values[rng.permutation(rows)[: rows // 18]]
+        pairs = sum(len(home) for home, _ in simhash.compared(homes, values, 4, 0))
+        each[rows] = pairs / len(homes)
+    assert each[2_000] < 2_000 / 8 and each[16_000] < 16_000 / 64 and each[256_000] < 256_000 / 200, each
+    assert each[256_000] < 8 * each[2_000], each
+
+
 def test_every_near_fingerprint_visits_the_home(spark):
     rng = np.random.default_rng(0)
     a = rng.integers(-(2**63), 2**63 - 1, 500)
