@@ -1,7 +1,7 @@
 """Level-2 messages to the change-only top-of-book table.
 
-The DataFrame form is exact for a product up to its first crossing. Products
-with a crossing are computed again by the chunked fold, which knows resets.
+The DataFrame form is exact for a product up to its first crossing. From the chunk of
+that crossing on, the rows come from the chunked fold, which knows resets.
 """
 
 from __future__ import annotations
@@ -61,14 +61,20 @@ def top_of_book(
     views = quote_view(best_levels(written), symmetric, width)
     views = materialize(views.where(F.col("changed") | F.col("crossed")), "quotes")
     quotes = views.where("changed")
-    crossed = views.where("crossed").select("product_id").distinct()
+    crossed = views.where("crossed").groupBy("product_id").agg(F.min("message").alias("first_crossed"))
     if not crossed.isEmpty():
-        folded = quotes_with_resets(
-            written.join(crossed, "product_id", "left_semi"), symmetric, width
+        since = (
+            book_points(written)
+            .join(crossed, "product_id")
+            .where("seq = first_crossed")
+            .select("product_id", "first_crossed", F.col("chunk").alias("first_chunk"))
         )
-        quotes = quotes.join(crossed, "product_id", "left_anti").unionByName(
-            folded, allowMissingColumns=True
+        since = materialize(since, "first-crossings")
+        folded = quotes_with_resets(written, symmetric, width, since)
+        before = quotes.join(since.drop("first_chunk"), "product_id", "left").where(
+            "first_crossed IS NULL OR message < first_crossed"
         )
+        quotes = before.drop("first_crossed").unionByName(folded, allowMissingColumns=True)
     return as_table(quotes)
 
 
@@ -89,10 +95,18 @@ def as_table(quotes: DataFrame) -> DataFrame:
 
 
 def quotes_with_resets(
-    written: DataFrame, symmetric: bool = False, width: int = 1
+    written: DataFrame, symmetric: bool = False, width: int = 1, since: DataFrame | None = None
 ) -> DataFrame:
-    """Emitted quote rows of ``written_levels``, with ``reset`` marking resets."""
-    levels = materialize(_chunk_levels(written), "book-levels")
+    """Emitted quote rows of ``written_levels``, with ``reset`` marking resets.
+
+    ``since`` names the first crossed message of each product to fold, and its chunk
+    (product_id, first_crossed, first_chunk). Nothing was reset before it, so the levels
+    carried into that chunk are whole, and only rows from that message on are given.
+    """
+    levels = _chunk_levels(written)
+    if since is not None:
+        levels = _from_first(levels, since)
+    levels = materialize(levels, "book-levels")
     starts = materialize(_chunk_starts(levels), "chunk-starts")
     known = levels.join(starts, ["product_id", "chunk"]).where(
         (F.col("pos") > 0) | (F.col("seq") >= F.col("last_reset"))
@@ -104,7 +118,21 @@ def quotes_with_resets(
         columns = [[key[0].as_py()] * len(rows), *(zip(*rows) if rows else [[]] * 11)]
         return _table(columns, QUOTES)
 
-    return known.groupBy("product_id", "chunk").applyInArrow(emit, QUOTES)
+    quotes = known.groupBy("product_id", "chunk").applyInArrow(emit, QUOTES)
+    if since is None:
+        return quotes
+    return (
+        quotes.join(since.drop("first_chunk"), "product_id")
+        .where("message >= first_crossed")
+        .drop("first_crossed")
+    )
+
+
+def _from_first(levels: DataFrame, since: DataFrame) -> DataFrame:
+    """Levels and messages of the chunks from a product's first crossing on."""
+    return (
+        levels.join(since.drop("first_crossed"), "product_id").where("chunk >= first_chunk").drop("first_chunk")
+    )
 
 
 def reset_counts(quotes: DataFrame) -> DataFrame:

@@ -375,6 +375,29 @@ def test_connections_have_books_of_their_own(frames, small_chunks):
     assert {r.symbol for r in both.collect()} == {"P0", "P1"}
 
 
+def test_the_fold_starts_at_the_first_crossing(frames, small_chunks, monkeypatch):
+    """Product P0 crosses in its last chunk, P1 in the middle, P2 never."""
+    def quiet(seq, product):
+        return l2(seq, ("bid", 90 + seq % 7, 1 + seq % 3, 5), ("offer", 110 - seq % 5, 2, 6), product=product)
+
+    crossing = {"P0": 48, "P1": 20}
+    messages = [
+        l2(seq, ("bid", 120, 1, 4), ("offer", 125, 1, 3), product=product)
+        if crossing.get(product) == seq else quiet(seq, product)
+        for product in ("P0", "P1", "P2") for seq in range(49)
+    ]
+    read = []
+    whole = top_of_book._from_first
+    monkeypatch.setattr(top_of_book, "_from_first", lambda *a: read.append(whole(*a)) or read[-1])
+    rows = top_of_book.top_of_book(frames("coinbase", "level2", *messages)).collect()
+    chunks = {(r.product_id, r.chunk) for r in read[0].select("product_id", "chunk").distinct().collect()}
+    assert chunks == {("P0", 6)} | {("P1", chunk) for chunk in range(2, 7)}
+    expected, resets = folded(messages)
+    assert resets >= 2
+    got = sorted((r.symbol, r.event_time, r.bid_px, r.bid_sz, r.offer_px, r.offer_sz, r.sequence_num) for r in rows)
+    assert got == sorted((row[0], *row[3:9]) for row in expected)
+
+
 def test_what_a_message_writes_needs_no_shuffle(frames, spark):
     """Array form against the plain fold; sides of other names write nothing."""
     rng = random.Random(11)
