@@ -235,9 +235,17 @@ def merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray, kept: list[np.ndarra
 def links_of_anchor(homes: np.ndarray, visitors: np.ndarray, max_bits: int, half: int = 0) -> np.ndarray:
     """A forest of the links between the homes of an anchor of ``half`` and its visitors, homes included."""
     values = np.unique(visitors)
+    if len(values) < 2:
+        return np.empty((0, 2), np.int64)
     at = np.searchsorted(values, homes)
     labels = np.arange(len(values))
     kept: list[np.ndarray] = []
+    if len(values) < AGREEING_FROM[0]:  # most anchors: all at once
+        near = np.bitwise_count((homes[:, None] ^ values[None, :]).view(np.uint64)) <= max_bits
+        if int(near.sum()) > len(homes):
+            home, value = near.nonzero()
+            merge(labels, at[home], value, kept)
+        return values[np.concatenate(kept)] if kept else np.empty((0, 2), np.int64)
     for home, value in compared(homes, values, max_bits, half):
         near = np.bitwise_count((homes[home] ^ values[value]).view(np.uint64)) <= max_bits
         labels = merge(labels, at[home[near]], value[near], kept)
