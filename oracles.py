@@ -217,6 +217,72 @@ quotes AS (
     FROM sides WHERE nbp IS NOT NULL AND nap IS NOT NULL
 )"""
 
+# Offers 20 lower, so that books cross. ``walk`` takes the messages of all products side by
+# side, one number a step; of the book it only needs the number of the last reset.
+TOB_WITH_RESET = (
+    "WITH RECURSIVE "
+    + BOOK.replace("ELSE 1000.0::DOUBLE + k / 100 END", "ELSE 1000.0::DOUBLE + k / 100 - 20.0::DOUBLE END")
+    + """,
+live AS (
+    SELECT *, lead(seq) OVER (PARTITION BY product_id, side, lvl ORDER BY seq) AS nxt FROM ups
+),
+spans AS MATERIALIZED (
+    SELECT product_id, side, lvl, seq, coalesce(nxt, 9223372036854775807) AS nxt,
+           {'lvl': lvl, 'qty': qty, 'et': event_time, 'ts': timestamp, 'seq': seq} AS level
+    FROM live WHERE qty <> 0
+),
+msg AS MATERIALIZED (
+    SELECT product_id, seq, max(recv) AS recv,
+           row_number() OVER (PARTITION BY product_id ORDER BY seq) AS n
+    FROM inb GROUP BY product_id, seq
+),
+walk AS (
+    SELECT product_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS message, CAST(NULL AS BIGINT) AS recv,
+           CAST(-1 AS BIGINT) AS since, false AS reset,
+           any_value(level) FILTER (WHERE false) AS ob, any_value(level) FILTER (WHERE false) AS oa,
+           any_value(level) FILTER (WHERE false) AS b, any_value(level) FILTER (WHERE false) AS a
+    FROM spans GROUP BY product_id
+    UNION ALL
+    SELECT product_id, n, message, recv, CASE WHEN crossed THEN message ELSE since END, crossed, ob, oa,
+           CASE WHEN crossed THEN own_b ELSE seen_b END, CASE WHEN crossed THEN own_a ELSE seen_a END
+    FROM (
+        SELECT *, coalesce(
+            nb.lvl >= CASE WHEN ob IS NOT NULL AND oa IS NOT NULL AND nb.et < na.et AND nb.et <> ob.et
+                                AND nb.lvl <> ob.lvl THEN oa.lvl ELSE na.lvl END
+            AND na IS NOT NULL, false) AS crossed
+        FROM (
+            SELECT *, coalesce(seen_b, ob) AS nb, coalesce(seen_a, oa) AS na
+            FROM (
+                SELECT m.product_id, m.n, m.seq AS message, m.recv, w.since, w.b AS ob, w.a AS oa,
+                       arg_max(s.level, s.lvl) FILTER (WHERE s.side = 'bid' AND s.seq >= w.since) AS seen_b,
+                       arg_min(s.level, s.lvl) FILTER (WHERE s.side = 'offer' AND s.seq >= w.since) AS seen_a,
+                       arg_max(s.level, s.lvl) FILTER (WHERE s.side = 'bid' AND s.seq = m.seq) AS own_b,
+                       arg_min(s.level, s.lvl) FILTER (WHERE s.side = 'offer' AND s.seq = m.seq) AS own_a
+                FROM walk w JOIN msg m ON m.product_id = w.product_id AND m.n = w.n + 1
+                LEFT JOIN spans s ON s.product_id = m.product_id AND s.seq <= m.seq AND s.nxt > m.seq
+                GROUP BY ALL
+            )
+        )
+    )
+),
+sides AS (
+    SELECT product_id, message, recv AS recv_us, reset, coalesce(b, ob) AS nb, coalesce(a, oa) AS na, ob, oa,
+           ob IS NOT NULL AND oa IS NOT NULL AS had_book
+    FROM walk
+    WHERE message IS NOT NULL AND (b IS DISTINCT FROM ob OR a IS DISTINCT FROM oa)
+)
+SELECT product_id, message, recv_us, reset, 0 AS k, nb.et AS event_time,
+       CAST(nb.lvl AS DOUBLE) AS bid_px, nb.qty AS bid_sz, CAST(oa.lvl AS DOUBLE) AS offer_px,
+       oa.qty AS offer_sz, nb.seq AS sequence_num, nb.ts AS timestamp
+FROM sides
+WHERE na IS NOT NULL AND had_book AND nb.et < na.et AND nb.et <> ob.et AND nb.lvl <> ob.lvl
+UNION ALL
+SELECT product_id, message, recv_us, reset, 1, CASE WHEN had_book AND nb.et >= na.et THEN nb.et ELSE na.et END,
+       CAST(nb.lvl AS DOUBLE), nb.qty, CAST(na.lvl AS DOUBLE), na.qty,
+       CASE WHEN had_book AND nb.et < na.et THEN na.seq ELSE nb.seq END, nb.ts
+FROM sides WHERE nb IS NOT NULL AND na IS NOT NULL"""
+)
+
 QUOTE_COLUMNS = """product_id, message, k, event_time, CAST(bid_px AS DOUBLE) AS bid_px, bid_sz,
        CAST(offer_px AS DOUBLE) AS offer_px, offer_sz, sequence_num, timestamp"""
 
@@ -573,6 +639,7 @@ def sql() -> dict[str, str]:
                    ap AS offer_px, aq AS offer_sz, aet AS offer_time, az AS offer_seq FROM best""",
         "tob_view": f"WITH {VIEW} SELECT {QUOTE_COLUMNS} FROM quotes",
         "tob_changes": f"WITH {VIEW} SELECT {QUOTE_COLUMNS} FROM quotes WHERE changed",
+        "tob_with_reset": TOB_WITH_RESET,
         "stream_trades": _ev(TRADES),
         "stream_top_of_book": f"WITH {VIEW} {TOP_OF_BOOK}",
         "stream_fanout": STREAM_FANOUT,
