@@ -40,6 +40,7 @@ RUNS_SINCE = "2001-01-01"
 UPSERT_FROM = "2024-01-16"
 SNAPSHOT_DAY = date(2024, 1, 31)
 CAPTURED_MESSAGES = 201
+SMALL_FILE_BYTES = 64 * 1024
 CROSSING_SHIFT = -20.0
 REGISTRY = [
     (BINANCE_TRADES, "s0@trade, s2@trade ,s4@trade"),
@@ -118,6 +119,17 @@ def subscription_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.subscribed(rows, landing.subscriptions(registry, "subscription_id"))
 
 
+def subscribed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed frames of the subscribed feeds; the folders of the others are not opened."""
+    path, registry = new_folder(spark, "landing"), new_folder(spark, "registry")
+    landing.write_landing(samples.all_frames(spark, sf_dir), path)
+    lines = spark.createDataFrame(REGISTRY, "table_name string, subscription_id string")
+    lines.write.option("header", True).csv(registry)
+    wanted = landing.subscriptions(landing.read_registry(spark, registry), "subscription_id")
+    frames_in = landing.subscribed_frames(landing.read_landing(spark, path), wanted)
+    return frames_in.groupBy("exchange", "feed").agg(F.count(F.lit(1)).alias("frames"))
+
+
 def binance_control_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode(samples.binance_trades(spark, sf_dir), BINANCE_TRADES)
     return decoded.where(F.col("kind") != CONTROL).select(
@@ -262,6 +274,25 @@ def compact_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read(BINANCE_TRADES)
 
 
+def compact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per date after compaction to small files, and files whose keys overlap the one before."""
+    lake = new_lake(spark)
+    rows = feed_rows(spark, sf_dir, GEMINI)
+    for late in (False, True):
+        lake.append(rows.where((F.col("date") >= F.lit(UPSERT_FROM).cast("date")) == late), GEMINI)
+    lake.compact(GEMINI, file_bytes=SMALL_FILE_BYTES)
+    key = F.struct("timestamp", "symbol")
+    placed = lake.read(GEMINI).select("date", key.alias("key"), "_metadata.file_path")
+    files = placed.groupBy("date", "file_path").agg(
+        F.min("key").alias("first"), F.max("key").alias("last"), F.count(F.lit(1)).alias("rows")
+    )
+    before = F.lag("last").over(Window.partitionBy("date").orderBy("first", "last"))
+    checked = files.withColumn("overlaps", F.coalesce(before > F.col("first"), F.lit(False)))
+    return checked.groupBy("date").agg(
+        F.sum("rows").alias("rows"), F.count(F.when(F.col("overlaps"), 1)).alias("overlaps")
+    )
+
+
 def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per date of a written table, and rows that break the sort order of a file."""
     lake = new_lake(spark)
@@ -684,6 +715,7 @@ def queries() -> dict[str, Query]:
         stream_trades, stream_top_of_book, stream_fanout, stream_counters, stream_quarantine,
         mixed_writers, retention_delete, book_rejects, tob_connections, landing_roundtrip,
         latency_summary, compact_rerun, coverage_kept, frames_same, stream_connections,
+        compact_clustered, subscribed_landing,
     ):
         named[query.__name__] = query
     return named | LLM_QUERIES

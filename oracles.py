@@ -590,6 +590,12 @@ def sql() -> dict[str, str]:
         "sorted_layout": _ev(f"""
             SELECT date, count(*) AS table_rows, 0 AS out_of_order
             FROM ({GEMINI_TRADE}) GROUP BY date"""),
+        "compact_clustered": _ev(f"""
+            SELECT date, count(*) AS rows, 0 AS overlaps FROM ({GEMINI_TRADE}) GROUP BY date"""),
+        "subscribed_landing": f"""
+            WITH {EVENTS}, kinds AS ({KINDS})
+            SELECT exchange, feed, CAST(sum(messages) AS BIGINT) AS frames FROM kinds
+            WHERE exchange = 'binance' AND feed IN ('trade', 'ticker') GROUP BY ALL""",
         "capture_first_n": f"""
             WITH ev AS (
                 SELECT * FROM ({_ev("SELECT * FROM ev")})

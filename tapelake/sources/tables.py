@@ -10,6 +10,7 @@ batch that is run again adds nothing, also after its rows were compacted.
 from __future__ import annotations
 
 import json
+import math
 import time
 import uuid
 from collections.abc import Callable, Iterable
@@ -27,6 +28,9 @@ from tapelake.workspace import remove_folder
 
 PARTITIONS_AT_ONCE = 500
 
+# Compaction cuts a table into files of about this size.
+FILE_BYTES = 256 * 1024 * 1024
+
 
 class Lake:
     """Tables under ``root``, each a folder ``root/<table>/load=.../date=.../*.parquet``."""
@@ -87,16 +91,25 @@ class Lake:
             remove_folder(self.spark, f"{self.path(table)}/load={folder}")
         return name
 
-    def _write(self, rows: DataFrame, table: str, name: str) -> tuple[str, list[str]]:
-        """Write rows to a folder of their own, not yet part of the table: its name and days."""
+    def _write(
+        self, rows: DataFrame, table: str, name: str, files: int | None = None
+    ) -> tuple[str, list[str]]:
+        """Write rows to a folder of their own, not yet part of the table: its name and days.
+
+        With a number of files, rows go to ranges of date and sort key instead of dates
+        alone; a hash of the row parts rows of equal keys.
+        """
         if table in TABLES:
             rows = rows.select(TABLES[table].schema.names)
         sort_key = TABLES[table].sort_key if table in TABLES else ()
         folder = f"{name}.{uuid.uuid4().hex[:8]}"
         path = f"{self.path(table)}/load={folder}"
+        if files is None:
+            placed = rows.hint("rebalance", F.col("date"))
+        else:
+            placed = rows.repartitionByRange(files, "date", *sort_key, F.xxhash64(*rows.columns))
         (
-            rows.hint("rebalance", F.col("date"))
-            .sortWithinPartitions("date", *sort_key)
+            placed.sortWithinPartitions("date", *sort_key)
             .write.partitionBy("date")
             .parquet(path)
         )
@@ -106,9 +119,12 @@ class Lake:
         """Loads that make up a table, from its log alone."""
         return sorted(self.log(table).state().loads)
 
-    def compact(self, table: str) -> str:
+    def compact(self, table: str, file_bytes: int = FILE_BYTES) -> str:
         """Rewrite the present loads of a table as one, in one commit; the new load.
 
+        The files of a date get ranges of the sort key that do not overlap, each of about
+        ``file_bytes``, so readers leave out whole files by their footers. Spark samples the
+        ranges, for which it reads the rows once more than it writes them.
         Rows and names stay the same. Readers and writers may run meanwhile: loads that
         arrive are left as they are, and the old files stay until ``vacuum``. If another
         compaction or retention took away what is being rewritten, it starts again.
@@ -116,7 +132,8 @@ class Lake:
         log = self.log(table)
         while True:
             old = log.state()
-            folder, days = self._write(self._rows(table, old), table, uuid.uuid4().hex)
+            files = math.ceil(self._bytes(table, old) / file_bytes)
+            folder, days = self._write(self._rows(table, old), table, uuid.uuid4().hex, max(1, files))
 
             def change(state: State, old=old, folder=folder, days=days) -> dict:
                 if any(state.loads.get(load) != own for load, own in old.loads.items()):
@@ -129,6 +146,10 @@ class Lake:
             except Conflict:
                 remove_folder(self.spark, f"{self.path(table)}/load={folder}")
 
+    def _bytes(self, table: str, state: State) -> int:
+        paths = [f"{self.path(table)}/{folder}" for folder in state.folders()]
+        return listed_files(self.spark, paths).agg(F.sum("length")).first()[0] or 0 if paths else 0
+
     def truncate(self, table: str) -> None:
         """Remove all rows of a table and keep the table, its schema, and the names taken in."""
         self._drop(table, lambda day: True, "truncate")
