@@ -94,8 +94,8 @@ def test_compaction_beside_retention_starts_again(lake, trades, monkeypatch):
     limit = datetime.date(2024, 1, 2)
     write, runs = tables.Lake._write, []
 
-    def write_late(self, rows, table, name):
-        written = write(self, rows, table, name)
+    def write_late(self, rows, table, name, *files):
+        written = write(self, rows, table, name, *files)
         runs.append(name)
         if len(runs) == 1:
             assert self.drop_days(table, limit) == ["2024-01-01"]
