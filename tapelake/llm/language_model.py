@@ -1,21 +1,28 @@
 """Language-model scoring by a weighted backoff automaton.
 
-Smoothed bigrams become an automaton: the root and every training word are states;
-a training bigram (h, w) is an arc from state h, weighted log10 P(w | h); each state
-has a failure arc to the root, weighted with what h leaves to words it was never
-followed by; the root has an arc per word, weighted log10 P(w). A text is read once
-from left to right: take the arc if there is one, else the failure arc and the
-root's, add up the weights, and go on from the state of the word just read.
+Smoothed n-grams up to an order become an automaton. A state is a context h of fewer
+words than the order that training texts hold, the empty one being the root; an n-gram
+h w of training is an arc from state h over w, weighted log10 P(w | h); each state has a
+failure arc to the state of h without its first word, weighted with what h leaves to
+words it was never followed by; the root has an arc for every word, weighted log10 P(w).
 
     P(w)     = (c(w) + 0.1) / (N + 0.1 (V + 1))
-    P(w | h) = (c(h w) + M P(w)) / (c(h) + M),  so the failure arc weighs log10 M / (c(h) + M)
+    P(w | h) = (c(h w) + M P(w | h')) / (c(h) + M),  h' being h without its first word,
+    so the failure arc of h weighs log10 M / (c(h) + M)
+
+A text is read once from left to right. At each word the state in hand is left by its arc
+over the word, or else by failure arcs, one after another, until a state has the arc;
+the weights passed are added up. The state carried on is the longest context that ends
+in the word just read.
 
 The counts grow with the corpus and never meet in one place. Documents are cut into
 blocks; each block asks for the counts of its distinct n-grams, once each, under
 64-bit hashes. Requests are dealt by ranges of the hash, which are even whatever the
 words; a range adds up what the blocks' training documents contribute and answers
 every block. Requests and answers are packed arrays, so that a count costs a few
-bytes on the way. Two n-grams of a corpus share a hash with a chance of about n^2 / 2^65.
+bytes on the way. Some two of a corpus' n distinct words and bigrams share a hash with a
+chance of about n^2 / 2^65; longer n-grams are known by 56 bits, so n^2 / 2^57 pairs of
+them are expected to be counted as one.
 """
 
 from __future__ import annotations
@@ -37,10 +44,12 @@ from tapelake.workspace import materialize
 FOLDS = 10
 ADDED = 0.1
 PRIOR_WEIGHT = 16.0
-BLOCK_TOKENS = 2_000_000
-RANGE_TOKENS = 1_500_000
+ORDER = 3
+BLOCK_TOKENS = 1_500_000
+RANGE_TOKENS = 1_000_000
 END, START = b" end", b" start"  # no word holds a space
 WORDS, PAIRS = 1, 2
+LONG_DROPPED = np.uint64(8)  # low bits of the hashes of longer n-grams that are left out
 
 BLOCK = "block long, tokens long, doc_ids array<long>, held_out array<boolean>, lengths binary, ids binary, keys binary"
 REQUEST = "part long, block long, kind int, size long, keys binary, counts binary"
@@ -138,7 +147,7 @@ def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Block:
-    """A block's tokens as hashes, with its distinct words and bigrams."""
+    """A block's tokens as hashes, and the n-grams that end at each token."""
 
     def __init__(self, row: pd.Series):
         self.id = int(row["block"])
@@ -146,34 +155,48 @@ class Block:
         self.held_out = np.array(row["held_out"], bool)
         self.lengths = unpacked(row["lengths"], len(self.held_out), np.uint32).astype(np.int64)
         tokens = int(self.lengths.sum())
-        ids = unpacked(row["ids"], tokens, np.uint32)
-        keys = unpacked(row["keys"], int(ids.max()) + 1, np.uint64)
+        self.ids = unpacked(row["ids"], tokens, np.uint32)
+        self.keys = unpacked(row["keys"], int(self.ids.max()) + 1, np.uint64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
-        hashes = keys[ids]
-        before = np.roll(hashes, 1)
-        before[self.starts] = hash_of(START)
-        order = np.argsort(keys)
-        self.word_keys = keys[order]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.word_at = place[ids]
-        self.previous_at = np.roll(self.word_at, 1)
-        self.pair_keys, self.pair_at = np.unique(pair_hash(before, hashes), return_inverse=True)
+        self.place = np.arange(tokens) - np.repeat(self.starts, self.lengths)
         self.trained = np.repeat(~self.held_out, self.lengths)
 
+    def grams(self, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(n, sorted distinct hashes, where each token's n-gram stands among them) for n up to an order.
+
+        An n-gram may begin with the start of its text; -1 marks tokens that fewer
+        words precede.
+        """
+        by_hash = np.argsort(self.keys)
+        rank = np.empty(len(by_hash), np.int64)
+        rank[by_hash] = np.arange(len(by_hash))
+        yield WORDS, self.keys[by_hash], rank[self.ids]
+        hashes = before = self.keys[self.ids]
+        for n in range(PAIRS, order + 1):
+            before = np.roll(before, 1)
+            if n == PAIRS:
+                before[self.starts] = hash_of(START)
+            before = pair_hash(before, hashes)
+            full = self.place >= n - PAIRS
+            own = before[full] if n == PAIRS else before[full] >> LONG_DROPPED << LONG_DROPPED
+            keys, found = np.unique(own, return_inverse=True)
+            at = np.full(len(full), -1)
+            at[full] = found
+            yield n, keys, at
+
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     """Range of the hash that a key falls into."""
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def requests(parts: int):
+def requests(parts: int, order: int):
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, row in batch.iterrows():
                 block = Block(row)
-                for kind, keys, at in ((WORDS, block.word_keys, block.word_at), (PAIRS, block.pair_keys, block.pair_at)):
-                    counts = np.bincount(at[block.trained], minlength=len(keys)).astype(np.uint32)
+                for kind, keys, at in block.grams(order):
+                    counts = np.bincount(at[block.trained & (at >= 0)], minlength=len(keys)).astype(np.uint32)
                     bounds = np.searchsorted(part_of(keys, parts), np.arange(parts + 1))
                     spans = [(p, a, b) for p, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
                     yield pd.DataFrame(
@@ -208,62 +231,88 @@ def answer(asked: pd.DataFrame) -> pd.DataFrame:
 
 
 class Automaton:
-    """The part of the automaton that a block's words can reach, as arrays.
+    """The arcs that a block's texts can take, one array over the tokens for each length.
 
-    States are the block's words; state -1 is the start of a text. ``known`` holds
-    the training count of each word and ``pairs`` that of each bigram of the block.
+    ``ends[n]`` holds the training count of the n-gram that ends at each token, and so
+    ``contexts[n]`` that of the n words before it, 0 where there are not as many.
     """
 
-    def __init__(self, known: np.ndarray, pairs: np.ndarray, texts: int, total: int, types: int):
-        self.root = np.log10((known + ADDED) / (total + ADDED * (types + 1)))
-        self.uses = np.append(known, texts)  # of each state as a context; the last one is the start
-        self.failure = np.log10(PRIOR_WEIGHT / (self.uses + PRIOR_WEIGHT))
-        self.pairs = pairs
-
-    def arc(self, state: np.ndarray, word: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """Weight of each step from ``state`` over ``word``: the arc's, or the failure arc's and the root's."""
-        count, root = self.pairs[pair], self.root[word]
-        taken = np.log10((count + PRIOR_WEIGHT * 10**root) / (self.uses[state] + PRIOR_WEIGHT))
-        return np.where(count > 0, taken, self.failure[state] + root)
-
-    def read(self, block: Block) -> np.ndarray:
-        """Log-probability of every text of the block.
-
-        The state behind a step is the state of the word read, whichever arcs were
-        taken, so the states of a whole pass are known at once.
+    def __init__(self, ends: dict[int, np.ndarray], starts: np.ndarray, texts: int, total: int, types: int):
+        self.order = max(ends)
+        self.ends = ends
+        self.contexts = {}
+        for n in range(1, self.order):
+            self.contexts[n] = np.roll(ends[n], 1)
+            self.contexts[n][starts] = texts if n == 1 else 0
+        self.root = np.log10((ends[1] + ADDED) / (total + ADDED * (types + 1)))
+        self.starts = starts
+
+    def arcs(self) -> list[np.ndarray]:
+        """Weight of the arc over each token from the state of the 0, 1, ... words before it."""
+        weights = [self.root]
+        for n, uses in self.contexts.items():
+            smoothed = (self.ends[n + 1] + PRIOR_WEIGHT * 10 ** weights[-1]) / (uses + PRIOR_WEIGHT)
+            weights.append(np.log10(smoothed))
+        return weights
+
+    def states(self) -> np.ndarray:
+        """Words in the state that each token is read from.
+
+        Whatever arcs led to it, it is the longest context known: a context's own ends are
+        contexts too, so none is known behind an unknown one.
         """
-        state = block.previous_at.copy()
-        state[block.starts] = -1
-        return np.add.reduceat(self.arc(state, block.word_at, block.pair_at), block.starts)
-
-
-def scorer(total: int, types: int, texts: int):
+        return sum((uses > 0).astype(np.int64) for uses in self.contexts.values()) + np.zeros(len(self.root), np.int64)
+
+    def steps(self) -> np.ndarray:
+        """Weight of each step: failure arcs are followed until a state has the arc."""
+        state, weights = self.states(), self.arcs()
+        passed = np.zeros(len(state))
+        for n in range(self.order - 1, 0, -1):
+            here = state == n
+            taken = here & (self.ends[n + 1] > 0)
+            passed[taken] += weights[n][taken]
+            state[taken] = -1
+            fails = here & ~taken
+            passed[fails] += np.log10(PRIOR_WEIGHT / (self.contexts[n][fails] + PRIOR_WEIGHT))
+            state[fails] = n - 1
+        left = state == 0
+        passed[left] += weights[0][left]
+        return passed
+
+    def read(self) -> np.ndarray:
+        """Log-probability of every text of the block."""
+        return np.add.reduceat(self.steps(), self.starts)
+
+
+def scorer(total: int, types: int, texts: int, order: int):
     def score(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(blocks.iloc[0])
-        counts = {}
-        for kind in (WORDS, PAIRS):
+        ends = {}
+        for kind, _, at in block.grams(order):
             own = answers[answers["kind"] == kind].sort_values("part")
             values = [unpacked(c, n, np.uint64) for c, n in zip(own["counts"], own["size"], strict=True)]
-            counts[kind] = np.concatenate(values).astype(np.int64)
-        automaton = Automaton(counts[WORDS], counts[PAIRS], texts, total, types)
-        known = (counts[WORDS] > 0)[block.word_at].astype(np.int64)
+            counts = np.concatenate([*values, np.zeros(1, np.uint64)]).astype(np.int64)
+            ends[kind] = counts[at]  # the last one stands for n-grams that are not there
+        automaton = Automaton(ends, block.starts, texts, total, types)
         return pd.DataFrame(
             {
                 "doc_id": pd.array(block.doc_ids, "Int64"),
                 "held_out": block.held_out,
                 "n_tokens": block.lengths,
-                "n_known": np.add.reduceat(known, block.starts),
+                "n_known": np.add.reduceat((ends[WORDS] > 0).astype(np.int64), block.starts),
                 "train_tokens": total,
-                "base_score": np.add.reduceat(automaton.root[block.word_at], block.starts),
-                "score": automaton.read(block),
+                "base_score": np.add.reduceat(automaton.root, block.starts),
+                "score": automaton.read(),
             }
         )
 
     return score
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Scores of every row under a model of the rows that are not held out.
+def score_texts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER
+) -> DataFrame:
+    """Scores of every row under a model of the rows that are not held out, of n-grams up to an order.
 
     Words are lower-cased in A-Z and followed by one end token; a null text counts as
     empty and has the end token only. Rows whose crc32(doc_id as text) mod 10 is 0 are
@@ -280,7 +329,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     trained = F.size(F.filter("held_out", lambda out: ~out))
     tokens, texts = blocks.agg(F.sum("tokens"), F.sum(trained)).first()
     parts = max(1, -(-(tokens or 0) // RANGE_TOKENS))
-    asked = blocks.mapInPandas(requests(parts), REQUEST)
+    asked = blocks.mapInPandas(requests(parts, order), REQUEST)
     answers = materialize(asked.groupBy("part").applyInPandas(answer, ANSWER), "answers")
     sums = answers.where(F.col("kind") == WORDS).groupBy("part").agg(
         F.max("total").alias("total"), F.max("types").alias("types")
@@ -289,5 +338,5 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return (
         blocks.groupBy("block")
         .cogroup(answers.groupBy("block"))
-        .applyInPandas(scorer(total or 0, types or 0, texts or 0), SCORED)
+        .applyInPandas(scorer(total or 0, types or 0, texts or 0, order), SCORED)
     )

@@ -14,6 +14,7 @@ from collections import Counter
 import cases
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -267,54 +268,82 @@ def test_similar_sets_find_all_pairs(spark):
 # Language model ------------------------------------------------------------------
 
 
-def plain_scores(rows: list[tuple[int, str]]) -> dict:
+def plain_scores(rows: list[tuple[int, str]], order: int) -> dict:
+    """An automaton of dictionaries, read word by word with its state in hand."""
+
     def tokens(text):
         return [*text.encode().lower().split(), b" end"]
 
     out = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in rows]
-    uses, pairs = Counter(), Counter()
+    arcs, uses, words = Counter(), Counter(), Counter()
     for (_, text), held in zip(rows, out, strict=True):
         if not held:
-            uses.update(tokens(text))
-            pairs.update(zip([b" start", *tokens(text)], tokens(text), strict=False))
-    total, types = sum(uses.values()), len(uses)
-    uses[b" start"] = sum(not held for held in out)
-    m, found = language_model.PRIOR_WEIGHT, Counter()
+            words.update(tokens(text))
+            line = (b" start", *tokens(text))
+            for end in range(1, len(line)):
+                for n in range(1, min(order - 1, end) + 1):
+                    uses[line[end - n : end]] += 1
+                    arcs[line[end - n : end + 1]] += 1
+    total, types, m = sum(words.values()), len(words), language_model.PRIOR_WEIGHT
+
+    def probability(context, word):
+        if not context:
+            return (words[word] + 0.1) / (total + 0.1 * (types + 1))
+        return (arcs[(*context, word)] + m * probability(context[1:], word)) / (uses[context] + m)
+
+    found = Counter()
     for (doc_id, text), held in zip(rows, out, strict=True):
         known = base = score = 0
-        state = b" start"
-        for token in tokens(text):
-            p = (uses[token] + 0.1) / (total + 0.1 * (types + 1))
-            known += uses[token] > 0
-            base += math.log10(p)
-            if pairs[state, token]:
-                score += math.log10((pairs[state, token] + m * p) / (uses[state] + m))
-            else:
-                score += math.log10(m / (uses[state] + m)) + math.log10(p)
-            state = token
+        state = (b" start",) if order > 1 and uses[(b" start",)] else ()
+        for word in tokens(text):
+            known += words[word] > 0
+            base += math.log10(probability((), word))
+            here = state
+            while here and not arcs[(*here, word)]:
+                score += math.log10(m / (uses[here] + m))
+                here = here[1:]
+            score += math.log10(probability(here, word))
+            state = (*state, word)[-(order - 1) :] if order > 1 else ()
+            while state and not uses[state]:
+                state = state[1:]
         found[doc_id, held, len(tokens(text)), known, total, round(base, 6), round(score, 6)] += 1
     return found
 
 
-def test_language_model_matches_plain_counts(spark, monkeypatch):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_language_model_matches_plain_counts(spark, monkeypatch, order):
     for block, span in ((500, 300), (3_000_000, 1_500_000)):
         monkeypatch.setattr(language_model, "BLOCK_TOKENS", block)
         monkeypatch.setattr(language_model, "RANGE_TOKENS", span)
-        found = language_model.score_texts(cases.documents(spark)).collect()
+        found = language_model.score_texts(cases.documents(spark), order=order).collect()
         got = Counter((*r[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in found)
-        assert got == plain_scores(cases.with_ids())
-    assert language_model.score_texts(cases.empty(spark)).count() == 0
+        assert got == plain_scores(cases.with_ids(), order)
+    assert language_model.score_texts(cases.empty(spark), order=order).count() == 0
+
+
+def test_language_model_follows_chains_of_failure_arcs():
+    # One text of four tokens; the last word is unknown behind every context.
+    ends = {1: np.array([5, 4, 3, 0]), 2: np.array([2, 2, 2, 0]), 3: np.array([0, 1, 1, 0])}
+    automaton = language_model.Automaton(ends, np.array([0]), 6, 12, 3)
+    assert automaton.states().tolist() == [1, 2, 2, 2]
+    m, root = language_model.PRIOR_WEIGHT, math.log10(0.1 / 12.4)
+    want = math.log10(m / (2 + m)) + math.log10(m / (3 + m)) + root
+    assert math.isclose(automaton.steps()[3], want)
 
 
 def test_automaton_probabilities_add_up_to_one():
-    known, m = np.array([5, 3, 2, 1]), language_model.PRIOR_WEIGHT
-    total, types = int(known.sum()), 4
-    pairs = np.array([2, 0, 1, 0])
-    automaton = language_model.Automaton(known, pairs, 2, total, types)
-    steps = 10 ** automaton.arc(np.zeros(4, np.int64), np.arange(4), np.arange(4))
+    # Every word read from the state of two words (a, b), as a text of its own after them.
+    m, words = language_model.PRIOR_WEIGHT, np.array([5, 3, 2, 1])
+    total, types = int(words.sum()), 4
+    uses, longer = 4, 2  # of b and of (a, b) as contexts
+    after_b, after_ab = np.array([2, 0, 1, 1]), np.array([1, 0, 1, 0])
+    steps = 0.0
+    for word in range(4):
+        ends = {1: np.array([5, uses, words[word]]), 2: np.array([1, longer, after_b[word]]),
+                3: np.array([0, 1, after_ab[word]])}
+        steps += 10 ** language_model.Automaton(ends, np.array([0]), 3, total, types).steps()[2]
     unseen = 0.1 / (total + 0.1 * (types + 1))
-    # c(h) also counts pairs with words outside this list: 5 - 3 of them, none seen here
-    assert math.isclose(steps.sum() + m * unseen / (5 + m), 1 - 2 / (5 + m))
+    assert math.isclose(steps + m / (longer + m) * m / (uses + m) * unseen, 1)
 
 
 def test_packed_arrays_come_back():
