@@ -1,17 +1,21 @@
 """License scans by a positional rare-token index, in DataFrame functions only.
 
-Notices are short word sequences with one mandatory key phrase each. The index
-holds, for each notice, the two key-phrase words that fewest notices use, with their
-offsets. A file's words are looked up once; where both words of a notice stand at
-the right distance, their postings agree on one start, and the whole key phrase is
-compared there. A found place is scored by how much of the notice's weight (inverse
-notice frequency of its words) stands aligned around it. Everything happens within
-a row, so nothing is shuffled and a file may hold any number of places.
+Templates are short notices with one mandatory key phrase each, and licence texts cut
+into passages, each with its own. The index lists, under the words of a template that
+fewest templates use, where they stand in it. A file's words are looked up once: each
+hit votes for where its template would begin, and a beginning for which enough words
+agree is verified by comparing the whole key phrase. A found place is scored by how much
+of the template's weight (inverse frequency of its words) stands aligned around it; a
+licence text is found where all its passages are, so an edit spoils only the passage it
+falls into, and that only where it hits the key phrase or most of the indexed words.
+Everything happens within a row, so nothing is shuffled and a file may hold any number
+of places.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from dataclasses import dataclass
 from functools import cached_property
@@ -20,10 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.llm.columns import ascii_lower, inputs
+from tapelake.llm.license_texts import TEXTS
 
 # What stands between words, after lower-casing A-Z.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Words of a notice's key phrase in the index, all of which have to agree.
 INDEX_WORDS = 2
+# Words of a passage in the index, and how many have to agree.
+PASSAGE_WORDS = 6
+PASSAGE_VOTES = 2
 
 # Label, notice, and its mandatory key phrase. The base phrases come first.
 BASE = [
@@ -87,43 +96,186 @@ def index_words(notice: Notice, weight: dict[str, float]) -> list[tuple[str, int
     return [(word, offset) for offset, word in ranked[:INDEX_WORDS]]
 
 
-def starts_by(hits: Column, word: str, offset: int) -> Column:
-    """Where the key phrase would start, by each place of one of its words."""
-    return F.transform(F.filter(hits, lambda hit: hit["word"] == word), lambda hit: hit["at"] - offset)
+@dataclass(frozen=True)
+class Licence:
+    label: str
+    unless: str  # the label of a licence that takes its place
+    parts: tuple[int, ...]  # numbers of its passages
 
 
-def places(words: Column, hits: Column, notice: Notice, weight: dict[str, float]) -> Column:
-    """Places of a notice: array of (label, base, start of the key phrase, words in it, score)."""
-    starts = None
-    for word, offset in index_words(notice, weight):
-        own = starts_by(hits, word, offset)
-        starts = own if starts is None else F.array_intersect(starts, own)
-    key = F.array(*map(F.lit, notice.key))
-    found = F.filter(
-        starts, lambda s: (s >= 0) & (F.slice(words, F.greatest(s, F.lit(0)) + 1, len(notice.key)) == key)
-    )
-    total = sum(weight[word] for word in notice.words)
+def plain_words(text: str) -> tuple[str, ...]:
+    return tuple(word for word in re.split(SEPARATOR, text.lower()) if word)
+
+
+def licence_texts(texts: list | None = None) -> tuple[list[Licence], list[Notice]]:
+    """Licences, and the distinct passages that they consist of."""
+    passages: dict[tuple, Notice] = {}
+    numbers: dict[tuple, int] = {}
+    licences = []
+    for label, unless, parts in TEXTS if texts is None else texts:
+        own = [(plain_words(text), tuple(key.split())) for text, key in parts]
+        for words, key in own:
+            numbers.setdefault((words, key), len(numbers))
+            passages.setdefault((words, key), Notice(label, words, key, False))
+        licences.append(Licence(label, unless or "", tuple(numbers[part] for part in own)))
+    return licences, list(passages.values())
+
+
+def passage_words(passage: Notice, weight: dict[str, float]) -> list[tuple[str, int]]:
+    """The rarest words of a passage with their offsets in it."""
+    ranked = sorted(enumerate(passage.words), key=lambda at: (-weight[at[1]], at[0]))
+    return [(word, offset) for offset, word in ranked[:PASSAGE_WORDS]]
 
-    def score(start: Column) -> Column:
-        aligned = [
-            F.when(F.get(words, start + (j - notice.key_at)) == word, weight[word]).otherwise(0.0)
-            for j, word in enumerate(notice.words)
+
+def literal(value: object) -> str:
+    """A constant in SQL; words hold no quotes."""
+    if isinstance(value, (list, tuple)):
+        return f"array({', '.join(map(literal, value))})"
+    if isinstance(value, dict):
+        fields = (f"'{name}', {literal(own)}" for name, own in value.items())
+        return f"named_struct({', '.join(fields)})"
+    if isinstance(value, float):
+        return f"{value!r}D"
+    return f"'{value}'" if isinstance(value, str) else str(value).lower()
+
+
+class Index:
+    """Templates by number, notices before passages, and the positions of their rarest words."""
+
+    def __init__(self, known: list[Notice], passages: list[Notice]):
+        self.templates = [*known, *passages]
+        weight, passage_weight = weights(known), weights(passages)
+        self.weights = [
+            [(weight if t < len(known) else passage_weight)[word] for word in template.words]
+            for t, template in enumerate(self.templates)
         ]
-        return F.least(sum(aligned, F.lit(0.0)) / total, F.lit(1.0))
-
-    return F.transform(
-        found,
-        lambda s: F.struct(
-            F.lit(notice.label).alias("label"),
-            F.lit(notice.base).alias("base"),
-            s.cast("long").alias("start"),
-            F.lit(len(notice.key)).alias("words"),
-            score(s).alias("score"),
-        ),
-    )
+        self.postings: dict[str, list[dict[str, int]]] = {}
+        self.votes = []
+        for t, template in enumerate(self.templates):
+            if t < len(known):
+                own = [(word, template.key_at + at) for word, at in index_words(template, weight)]
+                self.votes.append(len(own))
+            else:
+                own = passage_words(template, passage_weight)
+                self.votes.append(min(len(own), PASSAGE_VOTES))
+            for word, at in own:
+                self.postings.setdefault(word, []).append({"t": t, "p": at})
+
+    def of_each(self, values: list) -> Column:
+        return F.expr(literal(values))
+
+    def hits(self, words: Column) -> Column:
+        """The words that are in the index, with their places."""
+        listed = list(self.postings)
+        hit = F.transform(
+            words, lambda word, at: F.when(word.isin(listed), F.struct(word.alias("word"), at.alias("at")))
+        )
+        return F.filter(hit, lambda x: x.isNotNull())
+
+    def agreed(self, hits: Column) -> Column:
+        """Array of (t, s): where a template would begin, by enough of its words."""
+        pairs = ", ".join(f"{literal(word)}, {literal(own)}" for word, own in self.postings.items())
+        postings = F.expr(f"map({pairs})")
+        begun = F.transform(
+            hits,
+            lambda hit: F.transform(
+                F.element_at(postings, hit["word"]),
+                lambda entry: F.struct(entry["t"].alias("t"), (hit["at"] - entry["p"]).alias("s")),
+            ),
+        )
+        needed = self.of_each(self.votes)
+
+        def enough(votes: Column) -> Column:
+            return F.filter(
+                votes,
+                lambda vote, i: (F.get(votes, i + F.get(needed, vote["t"]) - 1) == vote)
+                & ((i == 0) | (F.get(votes, i - 1) != vote)),
+            )
+
+        # Bound to a name by a transform over one element, and so sorted once.
+        return F.transform(F.array(F.array_sort(F.flatten(begun))), enough)[0]
+
+    def found(self, words: Column, hits: Column) -> Column:
+        """Array of (t, start of the key phrase, aligned weight), key phrases verified."""
+        key_at = self.of_each([t.key_at for t in self.templates])
+        keys = self.of_each([t.key for t in self.templates])
+        texts = self.of_each([t.words for t in self.templates])
+        weight = self.of_each(self.weights)
+
+        def stands(vote: Column) -> Column:
+            start, key = vote["s"] + F.get(key_at, vote["t"]), F.get(keys, vote["t"])
+            return (start >= 0) & (F.slice(words, F.greatest(start, F.lit(0)) + 1, F.size(key)) == key)
+
+        def aligned(vote: Column) -> Column:
+            each = F.transform(
+                F.get(texts, vote["t"]),
+                lambda word, j: F.when(
+                    F.get(words, vote["s"] + j) == word, F.get(F.get(weight, vote["t"]), j)
+                ).otherwise(0.0),
+            )
+            return F.aggregate(each, F.lit(0.0), lambda total, x: total + x)
+
+        return F.transform(
+            F.filter(self.agreed(hits), stands),
+            lambda vote: F.struct(
+                vote["t"].alias("t"),
+                (vote["s"] + F.get(key_at, vote["t"])).cast("long").alias("start"),
+                aligned(vote).alias("aligned"),
+            ),
+        )
+
+    def places(self, found: Column, notices: int) -> Column:
+        """Places of the notices, as PLACE."""
+        labels = self.of_each([t.label for t in self.templates])
+        base = self.of_each([t.base for t in self.templates])
+        length = self.of_each([len(t.key) for t in self.templates])
+        total = self.of_each([float(sum(w)) for w in self.weights])
+        return F.transform(
+            F.filter(found, lambda place: place["t"] < notices),
+            lambda place: F.struct(
+                F.get(labels, place["t"]).alias("label"),
+                F.get(base, place["t"]).alias("base"),
+                place["start"].alias("start"),
+                F.get(length, place["t"]).alias("words"),
+                F.least(place["aligned"] / F.get(total, place["t"]), F.lit(1.0)).alias("score"),
+            ),
+        )
+
+    def texts(self, found: Column, licences: list[Licence], notices: int) -> Column:
+        """Licence texts of which every passage was found, as TEXT."""
+        every = self.of_each(
+            [
+                {
+                    "label": one.label,
+                    "unless": one.unless,
+                    "parts": [notices + part for part in one.parts],
+                    "total": float(sum(sum(self.weights[notices + part]) for part in one.parts)),
+                }
+                for one in licences
+            ]
+        )
+        there = F.transform(found, lambda place: place["t"])
+        whole = F.filter(every, lambda one: F.size(F.array_except(one["parts"], there)) == 0)
+
+        def share(one: Column) -> Column:
+            best = F.transform(
+                one["parts"],
+                lambda part: F.array_max(
+                    F.transform(F.filter(found, lambda place: place["t"] == part), lambda place: place["aligned"])
+                ),
+            )
+            return F.least(F.aggregate(best, F.lit(0.0), lambda total, x: total + x) / one["total"], F.lit(1.0))
+
+        def kept(whole: Column) -> Column:
+            labels = F.transform(whole, lambda one: one["label"])
+            last = F.filter(whole, lambda one: ~F.array_contains(labels, one["unless"]))
+            return F.transform(last, lambda one: F.struct(one["label"].alias("label"), share(one).alias("score")))
+
+        return F.transform(F.array(whole), kept)[0]
 
 
 PLACE = "array<struct<label:string,base:boolean,start:bigint,words:int,score:double>>"
+TEXT = "array<struct<label:string,score:double>>"
 
 
 def license_places(
@@ -131,29 +283,33 @@ def license_places(
     extra: list[tuple[str, str, str]] | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
+    texts: list | None = None,
 ) -> DataFrame:
-    """(doc_id, n_words, places) of every row; places lists each key phrase found, base phrases included.
+    """(doc_id, n_words, places, texts) of every row.
 
+    places lists each key phrase of a notice found, base phrases included; texts lists each
+    licence all of whose passages are found, with the aligned share of its weight.
     A null text counts as empty and has no words. A phrase that occurs n times gives
     n places. Repeated rows and missing ids are passed on; other columns are ignored.
     """
     known = notices(extra)
-    weight = weights(known)
-    looked_up = sorted({word for notice in known for word, _ in index_words(notice, weight)})
+    licences, passages = licence_texts(texts)
+    index = Index(known, passages)
     rows = inputs(docs, doc_id=id_col, text=text_col)
     rows = rows.select(
         "doc_id", F.array_remove(F.split(ascii_lower(F.col("text")), SEPARATOR), "").alias("words")
     )
-    hit = F.transform(
-        "words",
-        lambda word, at: F.when(word.isin(looked_up), F.struct(word.alias("word"), at.alias("at"))),
-    )
-    rows = rows.withColumn("hits", F.filter(hit, lambda x: x.isNotNull()))
-    found = F.flatten(F.array(*(places(F.col("words"), F.col("hits"), n, weight) for n in known)))
+    rows = rows.withColumn("hits", index.hits(F.col("words")))
+    any_hit = F.size("hits") > 0
+    rows = rows.withColumn("found", F.when(any_hit, index.found(F.col("words"), F.col("hits"))))
+    any_found = F.size("found") > 0
+    places = index.places(F.col("found"), len(known))
+    of_texts = index.texts(F.col("found"), licences, len(known)) if licences else F.array().cast(TEXT)
     return rows.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
-        F.when(F.size("hits") > 0, found).otherwise(F.array().cast(PLACE)).alias("places"),
+        F.when(any_found, places).otherwise(F.array().cast(PLACE)).alias("places"),
+        F.when(any_found, of_texts).otherwise(F.array().cast(TEXT)).alias("texts"),
     )
 
 
@@ -161,8 +317,9 @@ def license_summary(found: DataFrame) -> DataFrame:
     """One row per document: counts and span of the base phrases, labels, and the best score."""
     base = F.filter("places", lambda p: p["base"])
 
-    def labels(of: Column) -> Column:
-        return F.array_join(F.array_sort(F.array_distinct(F.transform(of, lambda p: p["label"]))), ",")
+    def labels(*of: Column) -> Column:
+        names = F.concat(*(F.transform(one, lambda p: p["label"]) for one in of))
+        return F.array_join(F.array_sort(F.array_distinct(names)), ",")
 
     return found.withColumn("found_base", base).select(
         "doc_id",
@@ -171,6 +328,8 @@ def license_summary(found: DataFrame) -> DataFrame:
         F.array_min("found_base.start").alias("first_word"),
         F.array_max("found_base.start").alias("last_word"),
         labels(F.col("found_base")).alias("base_labels"),
-        labels(F.col("places")).alias("labels"),
-        F.coalesce(F.array_max("places.score"), F.lit(0.0)).alias("score"),
+        labels(F.col("places"), F.col("texts")).alias("labels"),
+        F.coalesce(
+            F.greatest(F.array_max("places.score"), F.array_max("texts.score")), F.lit(0.0)
+        ).alias("score"),
     )

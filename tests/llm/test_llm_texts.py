@@ -186,6 +186,58 @@ def test_license_places_and_summary(spark):
     assert licenses.license_summary(licenses.license_places(cases.empty(spark))).count() == 0
 
 
+def plain_texts(text: str) -> dict[str, float]:
+    """Licences all of whose passages stand somewhere: key phrase and two indexed words around it."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    licences, passages = licenses.licence_texts()
+    weight = licenses.weights(passages)
+    best = {}
+    for number, p in enumerate(passages):
+        for s in range(len(words) - len(p.key) + 1):
+            if tuple(words[s : s + len(p.key)]) == p.key:
+                same = {j for j, w in enumerate(p.words)
+                        if 0 <= s - p.key_at + j < len(words) and words[s - p.key_at + j] == w}
+                if len([j for _, j in licenses.passage_words(p, weight) if j in same]) >= licenses.PASSAGE_VOTES:
+                    aligned = sum(weight[p.words[j]] for j in same)
+                    best[number] = max(best.get(number, 0.0), aligned)
+    whole = {one.label: one for one in licences if all(part in best for part in one.parts)}
+    return {
+        label: round(sum(best[part] for part in one.parts)
+                     / sum(weight[w] for part in one.parts for w in passages[part].words), 9)
+        for label, one in whole.items() if one.unless not in whole
+    }
+
+
+def edited(text: str, key: str, rng: random.Random) -> str:
+    """A text with one word in twenty changed, none of them in its key phrase."""
+    words = text.split()
+    return " ".join(w if w.lower().strip(".,;:()\"") in key.split() or rng.random() > 0.05 else "changed" for w in words)
+
+
+def test_license_texts_are_found_whole_and_edited(spark):
+    rng, texts = random.Random(3), []
+    for label, _, parts in licenses.TEXTS:
+        whole = " Copyright by me. ".join(text for text, _ in parts)
+        texts += [(label, whole), (label, "x " * 50 + "\n * ".join(whole.upper().split()) + " y" * 50)]
+        texts.append((label, " and ".join(edited(text, key, rng) for text, key in parts)))
+        for text, key in parts:
+            broken = re.sub(r"[\W_]+", " ", text.lower()).replace(key, "something else")
+            texts.append((None, whole.replace(text, broken)))
+    texts += [(None, ""), (None, None), (None, "the license of the software " * 4_000)]
+    rows = [(i, text, *cases.rows()[0][2:]) for i, (_, text) in enumerate(texts)]
+    found = licenses.license_places(cases.documents(spark, rows))
+    got = {r["doc_id"]: {p["label"]: round(p["score"], 9) for p in r["texts"]} for r in found.collect()}
+    summary = {r["doc_id"]: r for r in licenses.license_summary(found).collect()}
+    for i, (label, text) in enumerate(texts):
+        want = plain_texts(text or "")
+        assert got[i].keys() == want.keys() and all(math.isclose(got[i][k], want[k], abs_tol=1e-8) for k in want)
+        if label:
+            assert label in got[i] and label in summary[i]["labels"].split(","), text
+            assert got[i][label] > 0.4
+    two = [i for i, (label, _) in enumerate(texts) if label == "bsd-2-clause"]
+    assert all("bsd-3-clause" not in got[i] for i in two)
+
+
 def test_license_plan_is_native(spark):
     plan = licenses.license_summary(licenses.license_places(cases.documents(spark)))
     text = plan._jdf.queryExecution().executedPlan().toString()
