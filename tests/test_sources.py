@@ -12,6 +12,7 @@ from tapelake.operators import reports
 from tapelake.sources import external, landing
 from tapelake.sources.sqlite import FilteredReader
 from tapelake.sources.tables import Lake
+from tapelake.streaming import ingest
 from tapelake.workspace import new_folder
 from test_parsers import text
 
@@ -140,3 +141,39 @@ def test_filters_and_columns_reach_the_file(runs):
     got = list(reader.read(part))
     want = [r for r in rows if r[2] == "running" and r[3] < "2024-01-10"]
     assert len(got) == len(want) and all(len(row) == 2 and row[0] == "running" for row in got)
+
+
+def test_errors_of_writers_side_by_side_are_raised():
+    done = []
+
+    def fails():
+        raise ValueError("disk")
+
+    with pytest.raises(ValueError, match="disk"):
+        ingest.side_by_side([lambda: done.append(1), fails, *[lambda: done.append(2)] * 20])
+    assert len(done) == 21
+
+
+def test_a_torn_micro_batch_is_completed(spark, frames, monkeypatch):
+    """A writer of the fan-out fails after others committed; the batch run again adds what lacks."""
+    lake = Lake(spark, new_folder(spark, "test-lake"))
+    path, offsets = new_folder(spark, "test-landing"), new_folder(spark, "test-offsets")
+    landing.write_landing(frames("binance", "trade", text(), text(p="x"), "{"), path)
+    landing.write_landing(frames("kraken", "trade", '[1,[["1","2","3","b","l",""]],"trade","A"]', "{}"), path)
+    fed, append = [TRADES, "kraken_trade_data_stream"], Lake.append
+
+    def torn(self, rows, table, load=None):
+        if table == fed[1]:
+            raise OSError("lost")
+        return append(self, rows, table, load)
+
+    monkeypatch.setattr(Lake, "append", torn)
+    query = ingest.start_fanout(landing.stream_landing(spark, path), lake, offsets, fed)
+    with pytest.raises(Exception, match="lost"):
+        query.awaitTermination()
+    monkeypatch.setattr(Lake, "append", append)
+    ingest.start_fanout(landing.stream_landing(spark, path), lake, offsets, fed).awaitTermination()
+    assert [lake.read(t).count() for t in fed] == [1, 1]
+    assert lake.read(ingest.QUARANTINE).count() == 2
+    lines = {r["table"]: r["rows_processed"] for r in lake.read(ingest.COUNTERS).collect()}
+    assert lines == dict.fromkeys(fed, 1)
