@@ -194,3 +194,38 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert whole.select(F.sum("length")).first()[0] == sum(filled.values())
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+@pytest.mark.parametrize("labelled", [True, False])
+def test_pipeline_on_hostile_rows(spark, tmp_path, labelled):
+    """Null texts and ids, repeated rows, names that clash; with labels, and with labels that say nothing."""
+    docs, labels = corpus(300)
+    docs = [(50_000 + d[0], *d[1:]) for d in docs]
+    labels = [(50_000 + row[0], *row[1:]) for row in labels]
+    odd = [(None, None, None, None), (docs[0][0], None, None, None), (-1, 1, 1, "no such document")]
+    frame = cases.documents(spark, docs + cases.rows())
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels + odd if labelled else odd, LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = {r["doc_id"] for r in frame.select("doc_id").collect()}
+    assert packed and {r["doc_id"] for r in packed} <= ids
+    rooms: dict = {}
+    for r in packed:
+        rooms.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for pieces in rooms.values():
+        ends = 0
+        for offset, length in sorted(pieces):
+            assert offset == ends
+            ends += length
+        assert ends <= 1024
+    if not labelled:
+        stages = dict(corpus_pipeline.STAGES)
+        for name in ("quality", "toxicity"):
+            kept = stages[name](spark, frame, str(tmp_path))
+            assert kept.count() == frame.count() and kept.columns == frame.columns
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    cases.empty(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
