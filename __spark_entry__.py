@@ -571,6 +571,10 @@ def tob_with_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_of_book.quotes_with_resets(top_of_book.book_table(crossing))
 
 
+def reset_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_of_book.reset_counts(tob_with_reset(spark, sf_dir))
+
+
 # Streams ---------------------------------------------------------------------
 
 
@@ -715,7 +719,7 @@ def queries() -> dict[str, Query]:
         stream_trades, stream_top_of_book, stream_fanout, stream_counters, stream_quarantine,
         mixed_writers, retention_delete, book_rejects, tob_connections, landing_roundtrip,
         latency_summary, compact_rerun, coverage_kept, frames_same, stream_connections,
-        compact_clustered, subscribed_landing,
+        compact_clustered, subscribed_landing, reset_counts,
     ):
         named[query.__name__] = query
     return named | LLM_QUERIES

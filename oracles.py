@@ -646,6 +646,8 @@ def sql() -> dict[str, str]:
         "tob_view": f"WITH {VIEW} SELECT {QUOTE_COLUMNS} FROM quotes",
         "tob_changes": f"WITH {VIEW} SELECT {QUOTE_COLUMNS} FROM quotes WHERE changed",
         "tob_with_reset": TOB_WITH_RESET,
+        "reset_counts": f"""
+            SELECT product_id, count(*) AS resets FROM ({TOB_WITH_RESET}) WHERE reset AND k = 1 GROUP BY product_id""",
         "stream_trades": _ev(TRADES),
         "stream_top_of_book": f"WITH {VIEW} {TOP_OF_BOOK}",
         "stream_fanout": STREAM_FANOUT,
