@@ -535,18 +535,28 @@ def price_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _one_by_one(messages: DataFrame, column: str, *shared: str) -> DataFrame:
+    """The structs of an array as rows.
+
+    The filter stands behind the generator: Spark would put its own one for empty arrays
+    before it, and work out the array twice.
+    """
+    return messages.select(*shared, F.inline_outer(column)).where("side IS NOT NULL")
+
+
+def _bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    binned = book.level_bins(_banded(spark, sf_dir))
+    shared = ("product_id", "sequence_num", "timestamp", "recv_us")
+    return _one_by_one(binned, "bins", *shared).drop("low_px", "high_px")
+
+
 def level_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        book.level_bins(_banded(spark, sf_dir))
-        .select("product_id", "sequence_num", "timestamp", F.inline("bins"))
-        .drop("low_px", "high_px")
-    )
+    return _bins(spark, sf_dir).drop("recv_us")
 
 
 def dense_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.dense_levels(book.level_bins(_banded(spark, sf_dir))).select(
-        "product_id", "sequence_num", "timestamp", F.inline("levels")
-    )
+    dense = book.dense_levels(book.level_bins(_banded(spark, sf_dir)))
+    return _one_by_one(dense, "levels", "product_id", "sequence_num", "timestamp")
 
 
 def best_levels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,8 @@ at most two nodes for each halving of the whole run.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -228,6 +230,16 @@ def product_of(book: str) -> Column:
     return F.substring_index(book, BOOK_MARK, 1)
 
 
+def _bound(value: Column | str, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it.
+
+    Spark puts a filter on the result, also one that it derives itself, below the columns
+    the result is made of and writes their expressions out wherever they are named: a
+    column named inside a lambda is then worked out anew for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def price_band(messages: DataFrame, band: float = BAND) -> DataFrame:
     """Keep the ``updates`` between the best bid less and the best offer plus ``band``.
 
@@ -235,21 +247,27 @@ def price_band(messages: DataFrame, band: float = BAND) -> DataFrame:
     has no bound there and loses all its updates.
     """
 
-    def prices(side: str) -> Column:
-        own = F.filter("updates", lambda u: u["side"] == side)
+    def prices(updates: Column, side: str) -> Column:
+        own = F.filter(updates, lambda u: u["side"] == side)
         return F.transform(own, lambda u: u["price_level"])
 
-    bounded = messages.withColumns(
-        {
-            "lo_px": F.array_max(prices("bid")) - F.lit(band),
-            "hi_px": F.array_min(prices("offer")) + F.lit(band),
-        }
-    )
-    inside = F.filter(
-        "updates",
-        lambda u: u["side"].isin(*SIDES) & u["price_level"].between(F.col("lo_px"), F.col("hi_px")),
-    )
-    return bounded.withColumn("updates", inside)
+    def low(updates: Column) -> Column:
+        return F.array_max(prices(updates, "bid")) - F.lit(band)
+
+    def high(updates: Column) -> Column:
+        return F.array_min(prices(updates, "offer")) + F.lit(band)
+
+    def inside(updates: Column) -> Column:
+        bounds = F.struct(low(updates).alias("lo"), high(updates).alias("hi"))
+        return _bound(
+            bounds,
+            lambda b: F.filter(
+                updates, lambda u: u["side"].isin(*SIDES) & u["price_level"].between(b["lo"], b["hi"])
+            ),
+        )
+
+    bounded = messages.withColumns({"lo_px": low(F.col("updates")), "hi_px": high(F.col("updates"))})
+    return bounded.withColumn("updates", _bound("updates", inside))
 
 
 def _bin(update: Column, width: int) -> Column:
@@ -278,13 +296,19 @@ def level_bins(banded: DataFrame, width: int = 1) -> DataFrame:
         )
     )
 
-    def starts_bin(u: Column, i: Column) -> Column:
-        before = F.get(F.col("_sorted"), i - 1)
-        return ~(before["side"].eqNullSafe(u["side"]) & before["lvl"].eqNullSafe(u["lvl"]))
+    def starts(ordered: Column) -> Column:
+        def starts_bin(u: Column, i: Column) -> Column:
+            before = F.get(ordered, i - 1)
+            return ~(before["side"].eqNullSafe(u["side"]) & before["lvl"].eqNullSafe(u["lvl"]))
+
+        return F.array_compact(F.transform(ordered, lambda u, i: F.when(starts_bin(u, i), i)))
 
-    def run(start: Column, k: Column) -> Column:
-        end = F.coalesce(F.get(F.col("_starts"), k + 1), F.size("_sorted"))
-        return F.slice("_sorted", start + 1, end - start)
+    def runs(ordered: Column, cuts: Column) -> Column:
+        def run(start: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(cuts, k + 1), F.size(ordered))
+            return F.slice(ordered, start + 1, end - start)
+
+        return F.transform(cuts, run)
 
     def summed(u: Column) -> Column:
         return F.struct(
@@ -296,13 +320,8 @@ def level_bins(banded: DataFrame, width: int = 1) -> DataFrame:
             F.element_at(u, -1)["price"].alias("high_px"),
         )
 
-    starts = F.transform("_sorted", lambda u, i: F.when(starts_bin(u, i), i))
-    return (
-        banded.withColumn("_sorted", by_bin)
-        .withColumn("_starts", F.array_compact(starts))
-        .withColumn("bins", F.transform(F.transform("_starts", run), summed))
-        .drop("_sorted", "_starts", "updates", "lo_px", "hi_px")
-    )
+    parts = _bound(by_bin, lambda ordered: _bound(starts(ordered), lambda cuts: runs(ordered, cuts)))
+    return banded.withColumn("bins", F.transform(parts, summed)).drop("updates", "lo_px", "hi_px")
 
 
 def dense_levels(binned: DataFrame, width: int = 1) -> DataFrame:
@@ -312,14 +331,17 @@ def dense_levels(binned: DataFrame, width: int = 1) -> DataFrame:
     floor(min)-1 to ceil(max), offers from floor(min) to ceil(max)+1.
     """
 
-    def empty(side: str) -> Column:
-        own = F.filter("bins", lambda b: b["side"] == side)
+    def empty(bins: Column, side: str) -> Column:
         is_bid = side == "bid"
-        low = F.floor(F.array_min(own["low_px"]) / float(width)) - (1 if is_bid else 0)
-        high = F.ceil(F.array_max(own["high_px"]) / float(width)) + (0 if is_bid else 1)
-        missing = F.array_except(F.sequence(low, high), own["lvl"])
+
+        def missing(own: Column) -> Column:
+            low = F.floor(F.array_min(own["low_px"]) / float(width)) - (1 if is_bid else 0)
+            high = F.ceil(F.array_max(own["high_px"]) / float(width)) + (0 if is_bid else 1)
+            return F.array_except(F.sequence(low, high), own["lvl"])
+
+        gaps = _bound(F.filter(bins, lambda b: b["side"] == side), missing)
         return F.transform(
-            F.coalesce(missing, F.array().cast("array<bigint>")),
+            F.coalesce(gaps, F.array().cast("array<bigint>")),
             lambda lvl: F.struct(
                 F.lit(side).alias("side"),
                 lvl.alias("lvl"),
@@ -328,10 +350,12 @@ def dense_levels(binned: DataFrame, width: int = 1) -> DataFrame:
             ),
         )
 
-    own = F.transform(
-        "bins", lambda b: F.struct(*(b[name].alias(name) for name in ("side", "lvl", "qty", "event_time")))
-    )
-    return binned.withColumn("levels", F.concat(own, *map(empty, SIDES))).drop("bins")
+    def filled(bins: Column) -> Column:
+        names = ("side", "lvl", "qty", "event_time")
+        own = F.transform(bins, lambda b: F.struct(*(b[name].alias(name) for name in names)))
+        return F.concat(own, *(empty(bins, side) for side in SIDES))
+
+    return binned.withColumn("levels", _bound("bins", filled)).drop("bins")
 
 
 def written_levels(binned: DataFrame, width: int = 1) -> DataFrame:
