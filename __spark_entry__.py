@@ -443,7 +443,7 @@ def retention_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outer_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest level of the days before and after a day, the later one preferred."""
-    latest_bins = bins(spark, sf_dir).withColumnRenamed("sequence_num", "seq")
+    latest_bins = _bins(spark, sf_dir).withColumnRenamed("sequence_num", "seq")
     keys = ["product_id", "side", "lvl"]
     cut = F.unix_micros(F.lit(UPSERT_FROM).cast("timestamp"))
 
