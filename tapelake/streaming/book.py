@@ -15,16 +15,17 @@ empty book.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby, pairwise
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.storagelevel import StorageLevel
 
-from tapelake.operators.book import BAND, book_rejects, book_updates
+from tapelake.operators.book import BAND, SIDES, book_frames, book_rejects
 from tapelake.operators.fold import NEVER, Book, Level, Message, message_levels, replay
 from tapelake.plans.top_of_book import QUOTES, as_table
 from tapelake.sources.tables import Lake
@@ -35,37 +36,122 @@ STATE = (
     "last bigint, side array<int>, lvl array<bigint>, qty array<double>, event_time array<bigint>, "
     "timestamp array<bigint>, seq array<bigint>"
 )
+MESSAGE = ["sequence_num", "timestamp", "recv_us", "digest"]
+UPDATES = {"sides": "int8", "prices": "float64", "quantities": "float64", "times": "int64"}
+MESSAGES_AT_ONCE = 10_000
 QUOTE_COLUMNS = [field.split()[0] for field in QUOTES.split(", ")]
 
 
 def stream_quotes(frames: DataFrame, symmetric: bool = False, width: int = 1) -> DataFrame:
-    """Emitted quote rows of streaming level-2 frames."""
+    """Emitted quote rows of streaming level-2 frames.
+
+    A message comes as one row with its updates in arrays, and is kept in flat arrays of
+    numbers until its turn; quotes are handed on in pieces.
+    """
 
     def advance(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        updates = _frames_once(pd.concat(list(batches)))
         last, book = _load(state.get) if state.exists else (NEVER, Book())
-        rows = []
-        for run in _first_deliveries(updates, last) if named else _connections(updates):
-            if run["sequence_num"].iloc[0] <= last:
+        messages = Messages(batches, last if named else None)
+        for run in messages.first_deliveries() if named else messages.connections():
+            if messages.number(run[0]) <= last:
                 book = Book()
-            emitted, book = replay(book, _messages(run, width), symmetric, width)
-            rows += emitted
-            last = int(run["sequence_num"].iloc[-1])
+            for at in range(0, len(run), MESSAGES_AT_ONCE):
+                some = messages.read(run[at : at + MESSAGES_AT_ONCE], width)
+                emitted, book = replay(book, some, symmetric, width)
+                quotes = pd.DataFrame(emitted, columns=QUOTE_COLUMNS[1:])
+                quotes.insert(0, QUOTE_COLUMNS[0], key[0])
+                yield quotes
+            last = messages.number(run[-1])
         state.update(_store(last, book))
-        quotes = pd.DataFrame(rows, columns=QUOTE_COLUMNS[1:])
-        quotes.insert(0, QUOTE_COLUMNS[0], key[0])
-        yield quotes
 
-    updates = book_updates(frames)
-    named = "connection" in updates.columns
+    messages = book_frames(frames)
+    named = "connection" in messages.columns
+    keys = ["product_id", *(["connection"] if named else [])]
     return (
-        updates.groupBy("product_id", *(["connection"] if named else []))
+        messages.select(*keys, *MESSAGE, *_flat_updates())
+        .groupBy(*keys)
         .applyInPandasWithState(advance, QUOTES, STATE, "append", GroupStateTimeout.NoTimeout)
     )
 
 
+def _flat_updates() -> list[Column]:
+    """The updates of the book's sides, an array for each field."""
+    own = F.filter("updates", lambda u: u["side"].isin(*SIDES))
+    return [
+        F.transform(own, lambda u: (u["side"] == SIDES[1]).cast("tinyint")).alias("sides"),
+        F.transform(own, lambda u: u["price_level"]).alias("prices"),
+        F.transform(own, lambda u: u["new_quantity"]).alias("quantities"),
+        F.transform(own, lambda u: u["event_time"]).alias("times"),
+    ]
+
+
+class Messages:
+    """A micro-batch's messages of one book as arrays, a row each, and their updates one after another."""
+
+    def __init__(self, batches: Iterator[pd.DataFrame], above: int | None = None):
+        """``above``: leave out messages whose number is not above it."""
+        parts: dict[str, list[np.ndarray]] = {name: [] for name in [*MESSAGE, "sizes", *UPDATES]}
+        for batch in batches:
+            if above is not None:
+                batch = batch[batch["sequence_num"] > above]
+            if not len(batch):
+                continue
+            for name in MESSAGE:
+                parts[name].append(batch[name].to_numpy("int64"))
+            parts["sizes"].append(batch["sides"].map(len).to_numpy("int64"))
+            for name, kind in UPDATES.items():
+                parts[name].append(np.concatenate(batch[name].to_list()).astype(kind))
+        self.columns = {}
+        for name in list(parts):
+            found = parts.pop(name)
+            self.columns[name] = np.concatenate(found) if found else np.empty(0, UPDATES.get(name, "int64"))
+        self.starts = np.concatenate([[0], np.cumsum(self.columns.pop("sizes"))])
+
+    def number(self, at: int) -> int:
+        return int(self.columns["sequence_num"][at])
+
+    def _once(self, order: list[str], same: list[str]) -> np.ndarray:
+        """Places in an order, the first of those that are the same."""
+        places = np.lexsort([self.columns[name] for name in reversed(order)])
+        again = np.ones(max(len(places) - 1, 0), bool)
+        for name in same:
+            values = self.columns[name][places]
+            again &= values[1:] == values[:-1]
+        return places[np.concatenate([np.ones(min(len(places), 1), bool), ~again])]
+
+    def connections(self) -> Iterator[np.ndarray]:
+        """Runs of messages in which the number rises, in the order in which they came.
+
+        Of messages with one number, received in one microsecond, the one with the smallest
+        digest counts.
+        """
+        places = self._once(["recv_us", "sequence_num", "digest"], ["recv_us", "sequence_num"])
+        numbers = self.columns["sequence_num"][places]
+        cuts = [i + 1 for i in (numbers[1:] <= numbers[:-1]).nonzero()[0].tolist()]
+        for start, end in pairwise([0, *cuts, len(places)]):
+            if end > start:
+                yield places[start:end]
+
+    def first_deliveries(self) -> Iterator[np.ndarray]:
+        """Messages in the order of their numbers, each as it came first."""
+        run = self._once(["sequence_num", "recv_us", "digest"], ["sequence_num"])
+        if len(run):
+            yield run
+
+    def read(self, places: np.ndarray, width: int) -> Iterator[Message]:
+        """The messages at some places that write levels."""
+        fields = [self.columns[name][places].tolist() for name in ("sequence_num", "timestamp", "recv_us")]
+        bounds = self.starts[places].tolist(), self.starts[places + 1].tolist()
+        for seq, timestamp, recv_us, start, end in zip(*fields, *bounds, strict=True):
+            sides, *values = (self.columns[name][start:end].tolist() for name in UPDATES)
+            updates = zip([SIDES[side] for side in sides], *values, strict=True)
+            levels = message_levels(updates, timestamp, seq, BAND, width)
+            if levels:
+                yield Message(seq, recv_us, levels)
+
+
 def start_top_of_book(
     frames: DataFrame, lake: Lake, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
@@ -92,45 +178,6 @@ def start_top_of_book(
     return start(both, write, checkpoint, available_now, TOP_OF_BOOK)
 
 
-def _messages(updates: pd.DataFrame, width: int) -> Iterator[Message]:
-    columns = ["sequence_num", "timestamp", "recv_us", "side", "price_level", "new_quantity",
-               "event_time"]
-    rows = zip(*[updates[name].tolist() for name in columns], strict=True)
-    for seq, group in groupby(rows, key=lambda row: row[0]):
-        group = list(group)
-        timestamp = max(row[1] for row in group)
-        levels = message_levels((row[3:] for row in group), timestamp, seq, BAND, width)
-        if levels:
-            yield Message(seq, max(row[2] for row in group), levels)
-
-
-def _frames_once(updates: pd.DataFrame) -> pd.DataFrame:
-    """Of messages with one number, received in one microsecond, the one with the smallest digest."""
-    same = ["sequence_num", "recv_us"]
-    kept = updates["digest"] == updates.groupby(same)["digest"].transform("min")
-    return updates[kept].drop_duplicates([*same, "at"])
-
-
-def _connections(updates: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Runs of messages in which the number rises, in the order in which they came."""
-    updates = updates.sort_values(["recv_us", "sequence_num"], kind="stable")
-    numbers, received = updates["sequence_num"].to_numpy(), updates["recv_us"].to_numpy()
-    same_message = (numbers[1:] == numbers[:-1]) & (received[1:] == received[:-1])
-    cuts = [i + 1 for i in ((numbers[1:] <= numbers[:-1]) & ~same_message).nonzero()[0].tolist()]
-    for start, end in pairwise([0, *cuts, len(updates)]):
-        if end > start:
-            yield updates.iloc[start:end]
-
-
-def _first_deliveries(updates: pd.DataFrame, last: int) -> Iterator[pd.DataFrame]:
-    """Messages above the last number in the order of their numbers, each as it came first."""
-    fresh = updates[updates["sequence_num"] > last]
-    first = fresh.groupby("sequence_num")["recv_us"].transform("min")
-    run = fresh[fresh["recv_us"] == first].sort_values(["sequence_num", "recv_us"], kind="stable")
-    if len(run):
-        yield run
-
-
 def _load(state: tuple) -> tuple[int, Book]:
     last, sides, *columns = state
     levels = zip(sides, zip(*columns, strict=True), strict=True)

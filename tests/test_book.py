@@ -6,6 +6,8 @@ import json
 import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -26,6 +28,7 @@ from tapelake.operators.fold import (
     reset_steps,
 )
 from tapelake.plans import top_of_book
+from tapelake.streaming.book import Messages
 from tapelake.workspace import materialize
 
 BASE_S = 1704067200
@@ -450,3 +453,28 @@ def test_bins_and_dense_levels_are_worked_out_once(frames):
         # In the generator's filter and in its input, neither inside a lambda.
         assert plan.count("array_sort(") <= 2, plan.count("array_sort(")
         assert plan.count("array_max(transform(") <= 2
+
+
+def test_a_streamed_book_is_kept_in_flat_arrays():
+    """About 35 bytes an update, whatever the number of batches; repeats are passed over."""
+    n = 1000
+
+    def batches():
+        for at in range(0, 5 * n, n):
+            numbers = np.arange(at, at + n)
+            pairs = [np.array([1.0, 2.0])] * n
+            yield pd.DataFrame(
+                {"product_id": "P", "connection": "a", "sequence_num": numbers, "timestamp": numbers,
+                 "recv_us": numbers, "digest": numbers, "sides": [np.array([0, 1], "int8")] * n,
+                 "prices": pairs, "quantities": pairs, "times": [np.array([at, at])] * n}
+            )
+
+    messages = Messages(batches())
+    assert sum(column.nbytes for column in messages.columns.values()) <= 50 * 2 * 5 * n
+    assert [len(run) for run in messages.connections()] == [5 * n]
+    (first,) = messages.read(np.array([4 * n]), 1)
+    assert (first.seq, first.recv_us) == (4 * n, 4 * n) and len(first.levels) > 1
+
+    again = Messages((batch for _ in range(2) for batch in batches()), n - 1)
+    assert [len(run) for run in again.first_deliveries()] == [4 * n]
+    assert len(list(Messages(iter(())).connections())) == 0
