@@ -31,6 +31,8 @@ PARTITIONS_AT_ONCE = 500
 # Compaction cuts a table into files of about this size.
 FILE_BYTES = 256 * 1024 * 1024
 
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows without a date
+
 
 class Lake:
     """Tables under ``root``, each a folder ``root/<table>/load=.../date=.../*.parquet``."""
@@ -92,12 +94,12 @@ class Lake:
         return name
 
     def _write(
-        self, rows: DataFrame, table: str, name: str, files: int | None = None
+        self, rows: DataFrame, table: str, name: str, files: dict[str, int] | None = None
     ) -> tuple[str, list[str]]:
         """Write rows to a folder of their own, not yet part of the table: its name and days.
 
-        With a number of files, rows go to ranges of date and sort key instead of dates
-        alone; a hash of the row parts rows of equal keys.
+        With the number of files of each day, a task writes one file: a whole day, or a range
+        of the sort key of a day with several; a hash of the row parts rows of equal keys.
         """
         if table in TABLES:
             rows = rows.select(TABLES[table].schema.names)
@@ -107,7 +109,10 @@ class Lake:
         if files is None:
             placed = rows.hint("rebalance", F.col("date"))
         else:
-            placed = rows.repartitionByRange(files, "date", *sort_key, F.xxhash64(*rows.columns))
+            large = [day for day, number in files.items() if number > 1]
+            is_large = F.coalesce(F.col("date").cast("string"), F.lit(NO_DAY)).isin(large)
+            cuts = [F.when(is_large, c) for c in (*map(F.col, sort_key), F.xxhash64(*rows.columns))]
+            placed = rows.repartitionByRange(max(1, sum(files.values())), "date", *(cuts if large else []))
         (
             placed.sortWithinPartitions("date", *sort_key)
             .write.partitionBy("date")
@@ -123,8 +128,9 @@ class Lake:
         """Rewrite the present loads of a table as one, in one commit; the new load.
 
         The files of a date get ranges of the sort key that do not overlap, each of about
-        ``file_bytes``, so readers leave out whole files by their footers. Spark samples the
-        ranges, for which it reads the rows once more than it writes them.
+        ``file_bytes``, so readers leave out whole files by their footers. A task sorts the
+        rows of one file, however many days there are. Spark samples the ranges, for which
+        it reads the rows once more than it writes them.
         Rows and names stay the same. Readers and writers may run meanwhile: loads that
         arrive are left as they are, and the old files stay until ``vacuum``. If another
         compaction or retention took away what is being rewritten, it starts again.
@@ -132,8 +138,8 @@ class Lake:
         log = self.log(table)
         while True:
             old = log.state()
-            files = math.ceil(self._bytes(table, old) / file_bytes)
-            folder, days = self._write(self._rows(table, old), table, uuid.uuid4().hex, max(1, files))
+            files = {day: max(1, math.ceil(n / file_bytes)) for day, n in self._day_bytes(table, old).items()}
+            folder, days = self._write(self._rows(table, old), table, uuid.uuid4().hex, files)
 
             def change(state: State, old=old, folder=folder, days=days) -> dict:
                 if any(state.loads.get(load) != own for load, own in old.loads.items()):
@@ -147,8 +153,16 @@ class Lake:
                 remove_folder(self.spark, f"{self.path(table)}/load={folder}")
 
     def _bytes(self, table: str, state: State) -> int:
+        return sum(self._day_bytes(table, state).values())
+
+    def _day_bytes(self, table: str, state: State) -> dict[str, int]:
+        """Bytes on disk of each day of a version."""
         paths = [f"{self.path(table)}/{folder}" for folder in state.folders()]
-        return listed_files(self.spark, paths).agg(F.sum("length")).first()[0] or 0 if paths else 0
+        if not paths:
+            return {}
+        day = F.regexp_extract("path", "/date=([^/]*)/", 1).alias("day")
+        found = listed_files(self.spark, paths).groupBy(day).agg(F.sum("length").alias("bytes"))
+        return {row["day"]: row["bytes"] for row in found.collect()}  # a line for each day
 
     def truncate(self, table: str) -> None:
         """Remove all rows of a table and keep the table, its schema, and the names taken in."""
