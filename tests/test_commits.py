@@ -17,6 +17,7 @@ from tapelake.plans.feeds import table_rows
 from tapelake.sources import commits, landing, tables
 from tapelake.sources.commits import CommitLog, Names
 from tapelake.specs import TABLES, TOP_OF_BOOK
+from tapelake.streaming import ingest
 from tapelake.streaming.book import start_top_of_book
 from tapelake.workspace import new_folder
 from test_book import random_messages
@@ -286,3 +287,18 @@ def test_merged_sketches_keep_their_error_bound(spark):
             assert abs(sum(x <= at for x in own) / len(own) - rank) < 0.02
     missing = relay.hourly_latency(rows.withColumn("latency_ms", F.lit(None).cast("double")))
     assert missing.count() == 0
+
+
+def test_one_table_reads_its_frames_once_and_keeps_no_copy(spark, lake, frames, monkeypatch):
+    path = new_folder(spark, "test-landing")
+    landing.write_landing(frames("kraken", "ohlc", "[]", "[]"), path)
+    kept, persist = [], type(spark.range(1)).persist
+
+    def counted(self, *level):
+        kept.append(self.columns)
+        return persist(self, *level)
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", counted)
+    offsets = new_folder(spark, "test-offsets")
+    ingest.start_fanout(landing.stream_landing(spark, path), lake, offsets, ["kraken_ohlc_stream"]).awaitTermination()
+    assert len(kept) == 1 and "misfit" in kept[0]
