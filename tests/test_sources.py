@@ -177,3 +177,25 @@ def test_a_torn_micro_batch_is_completed(spark, frames, monkeypatch):
     assert lake.read(ingest.QUARANTINE).count() == 2
     lines = {r["table"]: r["rows_processed"] for r in lake.read(ingest.COUNTERS).collect()}
     assert lines == dict.fromkeys(fed, 1)
+
+
+def test_days_of_one_file_are_not_cut(spark):
+    """A task of a compaction sorts one file's rows, and small days stay whole."""
+    lake = Lake(spark, new_folder(spark, "test-lake"))
+    day = F.expr("date_add(DATE '2024-01-01', CAST(id % 9 AS INT))")
+    lake.append(spark.range(18_000).select(F.hash("id").alias("x"), day.alias("date")), "other")
+    lake.append(spark.range(5).select(F.hash("id").alias("x"), F.lit(None).cast("date").alias("date")), "other")
+    size = lake._bytes("other", lake.log("other").state())
+    lake.compact("other", file_bytes=size // 3)
+    found = lake.read("other").groupBy("date", F.col("_metadata.file_path")).count().collect()
+    assert sorted(row["count"] for row in found) == [5, *[2_000] * 9]
+
+
+def test_landing_files_are_compressed_and_cut(spark, frames, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FRAMES_PER_FILE", 10)
+    path = str(tmp_path / "landing")
+    values = [f"{i}\n" for i in range(25)]
+    landing.write_landing(frames("kraken", "ohlc", *values).coalesce(1), path)
+    files = list((tmp_path / "landing" / "exchange=kraken" / "feed=ohlc").glob("part-*"))
+    assert len(files) == 3 and all(file.name.endswith(".lz4") for file in files)
+    assert sorted(row["value"] for row in landing.read_landing(spark, path).collect()) == sorted(values)
