@@ -10,6 +10,7 @@ import os
 import sys
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -357,19 +358,23 @@ def table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.select("table", *_consistent_sizes())
 
 
+def coverage_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return coinbase_top_of_book(spark, sf_dir) if name == TOP_OF_BOOK else feed_rows(spark, sf_dir, name)
+
+
 def coverage_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        name: coinbase_top_of_book(spark, sf_dir)
-        if name == TOP_OF_BOOK
-        else feed_rows(spark, sf_dir, name)
-        for name in COVERAGE_TABLES
-    }
+    return {name: coverage_table(spark, sf_dir, name) for name in COVERAGE_TABLES}
 
 
 def coverage_with_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = new_lake(spark)
-    for name, rows in coverage_tables(spark, sf_dir).items():
-        lake.append(rows, name)
+
+    def write(name: str) -> None:
+        lake.append(coverage_table(spark, sf_dir, name), name)
+
+    # The book takes many short jobs; the other tables are written beside them.
+    names = sorted(COVERAGE_TABLES, key=lambda name: name != TOP_OF_BOOK)
+    ingest.side_by_side([partial(write, name) for name in names])
     return market_data_report(lake).select(
         "symbol", "date_count", "last_date", "table", *_consistent_sizes()[:1], *_consistent_sizes()[2:]
     )
