@@ -103,6 +103,9 @@ def book_rejects(landing: DataFrame) -> DataFrame:
     return _typed_updates(landing).where(bad).select("value", "reason", *audit_columns("recv_ts"))
 
 
+WHOLE_MESSAGE = "sequence_num IS NOT NULL AND timestamp IS NOT NULL AND size(updates) > 0"
+
+
 def book_frames(landing: DataFrame) -> DataFrame:
     """One row per level-2 message with a good update: its fields, and its good ``updates``.
 
@@ -110,6 +113,21 @@ def book_frames(landing: DataFrame) -> DataFrame:
     writes follow from the array alone, so nothing is shuffled for them.
     """
     decoded = coinbase_level2(frames_of(landing, TOP_OF_BOOK))
+    return decoded.select(*_message_fields(decoded)).where(WHOLE_MESSAGE)
+
+
+def book_frames_parsed_once(landing: DataFrame) -> DataFrame:
+    """``book_frames`` with its filter behind a generator.
+
+    Spark puts the filter below the parse and writes the parse out for each field that it
+    names; a generator's own columns it leaves where they are.
+    """
+    decoded = coinbase_level2(frames_of(landing, TOP_OF_BOOK))
+    fields = F.struct(*_message_fields(decoded))
+    return decoded.select(F.inline_outer(F.array(fields))).where(WHOLE_MESSAGE)
+
+
+def _message_fields(decoded: DataFrame) -> list[Column]:
     typed = F.expr(
         "transform(records, r -> named_struct('side', r.side, "
         "'price_level', try_cast(r.price_level AS DOUBLE), "
@@ -120,16 +138,15 @@ def book_frames(landing: DataFrame) -> DataFrame:
         typed,
         lambda u: u["price_level"].isNotNull() & u["new_quantity"].isNotNull() & u["event_time"].isNotNull(),
     )
-    messages = decoded.select(
+    return [
         F.col("msg.product_id").alias("product_id"),
-        *(["connection"] if "connection" in decoded.columns else []),
+        *([F.col("connection")] if "connection" in decoded.columns else []),
         F.col("msg.sequence_num").try_cast("bigint").alias("sequence_num"),
         F.expr(iso_nanos("msg.timestamp")).alias("timestamp"),
         F.unix_micros("recv_ts").alias("recv_us"),
         F.xxhash64("value").alias("digest"),
         good.alias("updates"),
-    )
-    return messages.where("sequence_num IS NOT NULL AND timestamp IS NOT NULL AND size(updates) > 0")
+    ]
 
 
 def in_chunks(messages: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ The functions here work on one bounded chunk, or on one short list of steps.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from heapq import heappop, heappush
 from itertools import groupby
 from math import ceil, floor
@@ -36,9 +36,12 @@ class Level(NamedTuple):
 
 
 class Message(NamedTuple):
+    """``cleared``: ranges (side, lowest, highest) that are emptied before ``levels`` are written."""
+
     seq: int
     recv_us: int
     levels: list[tuple[int, Level]]
+    cleared: Sequence[tuple[int, int, int]] = ()
 
 
 Best = tuple[Level | None, Level | None]
@@ -46,21 +49,30 @@ Steps = list[tuple[int, int | None]]
 
 
 class Book:
-    """Live levels of one product, bids first. Heaps give the best level."""
+    """Live levels of one product, bids first. Heaps give the best level and hold each level once."""
 
     def __init__(self, levels: Iterable[tuple[int, Level]] = ()):
         self.live: tuple[dict[int, Level], dict[int, Level]] = ({}, {})
         self.heaps: tuple[list[int], list[int]] = ([], [])
+        self.queued: tuple[set[int], set[int]] = (set(), set())
         self.write(levels)
 
+    def clear(self, side: int, low: int, high: int) -> None:
+        """Empty the levels from ``low`` to ``high``."""
+        live = self.live[side]
+        for lvl in range(low, high + 1):
+            if lvl in live:
+                del live[lvl]
+
     def write(self, levels: Iterable[tuple[int, Level]]) -> None:
         for side, level in levels:
             live = self.live[side]
             if level.qty == 0:
                 live.pop(level.lvl, None)
                 continue
-            if level.lvl not in live:
+            if level.lvl not in self.queued[side]:
                 heappush(self.heaps[side], level.lvl if side else -level.lvl)
+                self.queued[side].add(level.lvl)
             live[level.lvl] = level
 
     def best(self) -> Best:
@@ -73,6 +85,7 @@ class Book:
             if lvl in live:
                 return live[lvl]
             heappop(heap)
+            self.queued[side].remove(lvl)
         return None
 
 
@@ -129,6 +142,8 @@ def message_levels(
 
 def step(book: Book, old: Best, message: Message, symmetric: bool = False):
     """Apply one message: (book, rows, best before any reset, best after, reset?)."""
+    for cleared in message.cleared:
+        book.clear(*cleared)
     book.write(message.levels)
     seen = new = book.best()
     rows = quotes(old, new, symmetric)

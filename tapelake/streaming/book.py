@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.storagelevel import StorageLevel
 
-from tapelake.operators.book import BAND, SIDES, book_frames, book_rejects
+from tapelake.operators.book import BAND, SIDES, book_frames_parsed_once, book_rejects
 from tapelake.operators.fold import NEVER, Book, Level, Message, message_levels, replay
 from tapelake.plans.top_of_book import QUOTES, as_table
 from tapelake.sources.tables import Lake
@@ -39,6 +39,7 @@ STATE = (
 MESSAGE = ["sequence_num", "timestamp", "recv_us", "digest"]
 UPDATES = {"sides": "int8", "prices": "float64", "quantities": "float64", "times": "int64"}
 MESSAGES_AT_ONCE = 10_000
+LARGEST_BIN = 2.0**62  # whole numbers of this size have room in a bigint
 QUOTE_COLUMNS = [field.split()[0] for field in QUOTES.split(", ")]
 
 
@@ -66,7 +67,8 @@ def stream_quotes(frames: DataFrame, symmetric: bool = False, width: int = 1) ->
             last = messages.number(run[-1])
         state.update(_store(last, book))
 
-    messages = book_frames(frames)
+    messages = book_frames_parsed_once(frames)
+    messages = messages.withColumn("updates", F.filter("updates", lambda u: u["side"].isin(*SIDES)))
     named = "connection" in messages.columns
     keys = ["product_id", *(["connection"] if named else [])]
     return (
@@ -77,13 +79,12 @@ def stream_quotes(frames: DataFrame, symmetric: bool = False, width: int = 1) ->
 
 
 def _flat_updates() -> list[Column]:
-    """The updates of the book's sides, an array for each field."""
-    own = F.filter("updates", lambda u: u["side"].isin(*SIDES))
+    """The updates, an array for each field."""
     return [
-        F.transform(own, lambda u: (u["side"] == SIDES[1]).cast("tinyint")).alias("sides"),
-        F.transform(own, lambda u: u["price_level"]).alias("prices"),
-        F.transform(own, lambda u: u["new_quantity"]).alias("quantities"),
-        F.transform(own, lambda u: u["event_time"]).alias("times"),
+        F.transform("updates.side", lambda side: (side == SIDES[1]).cast("tinyint")).alias("sides"),
+        F.col("updates.price_level").alias("prices"),
+        F.col("updates.new_quantity").alias("quantities"),
+        F.col("updates.event_time").alias("times"),
     ]
 
 
@@ -92,21 +93,20 @@ class Messages:
 
     def __init__(self, batches: Iterator[pd.DataFrame], above: int | None = None):
         """``above``: leave out messages whose number is not above it."""
-        parts: dict[str, list[np.ndarray]] = {name: [] for name in [*MESSAGE, "sizes", *UPDATES]}
+        kinds = dict.fromkeys([*MESSAGE, "sizes"], "int64") | UPDATES
+        # They grow in place: arrays of each batch would be kept apart by what is freed between them.
+        grown = {name: bytearray() for name in kinds}
         for batch in batches:
             if above is not None:
                 batch = batch[batch["sequence_num"] > above]
             if not len(batch):
                 continue
             for name in MESSAGE:
-                parts[name].append(batch[name].to_numpy("int64"))
-            parts["sizes"].append(batch["sides"].map(len).to_numpy("int64"))
+                grown[name] += batch[name].to_numpy("int64").tobytes()
+            grown["sizes"] += batch["sides"].map(len).to_numpy("int64").tobytes()
             for name, kind in UPDATES.items():
-                parts[name].append(np.concatenate(batch[name].to_list()).astype(kind))
-        self.columns = {}
-        for name in list(parts):
-            found = parts.pop(name)
-            self.columns[name] = np.concatenate(found) if found else np.empty(0, UPDATES.get(name, "int64"))
+                grown[name] += np.concatenate(batch[name].to_list()).astype(kind, copy=False).tobytes()
+        self.columns = {name: np.frombuffer(grown[name], kind) for name, kind in kinds.items()}
         self.starts = np.concatenate([[0], np.cumsum(self.columns.pop("sizes"))])
 
     def number(self, at: int) -> int:
@@ -141,15 +141,71 @@ class Messages:
             yield run
 
     def read(self, places: np.ndarray, width: int) -> Iterator[Message]:
-        """The messages at some places that write levels."""
-        fields = [self.columns[name][places].tolist() for name in ("sequence_num", "timestamp", "recv_us")]
-        bounds = self.starts[places].tolist(), self.starts[places + 1].tolist()
-        for seq, timestamp, recv_us, start, end in zip(*fields, *bounds, strict=True):
-            sides, *values = (self.columns[name][start:end].tolist() for name in UPDATES)
-            updates = zip([SIDES[side] for side in sides], *values, strict=True)
-            levels = message_levels(updates, timestamp, seq, BAND, width)
-            if levels:
-                yield Message(seq, recv_us, levels)
+        """The messages at some places that write levels.
+
+        Bands and bins of all of them are worked out at once; the empty bins around are left
+        to the book as ranges. A message with a price that no bin can hold goes through
+        ``message_levels``.
+        """
+        seqs, timestamps, received = (
+            self.columns[name][places] for name in ("sequence_num", "timestamp", "recv_us")
+        )
+        sizes = self.starts[places + 1] - self.starts[places]
+        message = np.repeat(np.arange(len(places)), sizes)
+        first = np.cumsum(sizes) - sizes
+        at = np.arange(len(message)) + np.repeat(self.starts[places] - first, sizes)
+        side, price, quantity, event_time = (self.columns[name][at] for name in UPDATES)
+        odd = np.zeros(len(places), bool)
+        odd[message[~(np.abs(price / width) < LARGEST_BIN)]] = True
+
+        best_bid, best_offer = np.full(len(places), -np.inf), np.full(len(places), np.inf)
+        is_bid, is_offer = (side == 0) & ~odd[message], (side == 1) & ~odd[message]
+        np.maximum.at(best_bid, message[is_bid], price[is_bid])
+        np.minimum.at(best_offer, message[is_offer], price[is_offer])
+        both = np.isfinite(best_bid) & np.isfinite(best_offer)
+        low, high = best_bid - BAND, best_offer + BAND
+        inside = both[message] & (low[message] <= price) & (price <= high[message])
+        message, side, quantity, event_time = (x[inside] for x in (message, side, quantity, event_time))
+        scaled = price[inside] / width
+        down, up = np.floor(scaled).astype("int64"), np.ceil(scaled).astype("int64")
+
+        sides = message * 2 + side
+        lvl = np.where(side == 0, down, up)
+        order = np.lexsort([lvl, sides])
+        starts_side = np.diff(sides[order], prepend=-1) != 0
+        starts_bin = starts_side | (np.diff(lvl[order], prepend=0) != 0)
+        bin_of, side_of = np.empty_like(order), np.empty_like(order)
+        bin_of[order], side_of[order] = np.cumsum(starts_bin) - 1, np.cumsum(starts_side) - 1
+        heads, ranges = order[starts_bin], order[starts_side]
+        latest = np.zeros(len(heads), "int64")
+        np.maximum.at(latest, bin_of, event_time)
+        lowest, highest = down[ranges], up[ranges]
+        np.minimum.at(lowest, side_of, down)
+        np.maximum.at(highest, side_of, up)
+
+        of_bin, of_range = message[heads], message[ranges]
+        total = np.bincount(bin_of, quantity, len(heads))  # adds in the order of the updates
+        values = (lvl[heads], total, latest, timestamps[of_bin], seqs[of_bin])
+        levels = list(zip(side[heads].tolist(), map(Level._make, zip(*(v.tolist() for v in values)))))
+        range_side = side[ranges].astype("int64")
+        cleared = (range_side, lowest - (range_side == 0), highest + range_side)
+        cleared = list(zip(*(v.tolist() for v in cleared)))
+        number = np.arange(len(places) + 1)
+        bounds = np.searchsorted(of_bin, number).tolist(), np.searchsorted(of_range, number).tolist()
+        for i, (seq, recv_us, is_odd) in enumerate(zip(seqs.tolist(), received.tolist(), odd.tolist(), strict=True)):
+            (bins, bins_end), (own, own_end) = (b[i : i + 2] for b in bounds)
+            if is_odd:
+                written = message_levels(self._updates(int(places[i])), int(timestamps[i]), seq, BAND, width)
+                if written:
+                    yield Message(seq, recv_us, written)
+            elif own < own_end:
+                yield Message(seq, recv_us, levels[bins:bins_end], cleared[own:own_end])
+
+    def _updates(self, place: int) -> Iterator[tuple]:
+        """Updates of one message as (side, price, quantity, event time)."""
+        own = slice(int(self.starts[place]), int(self.starts[place + 1]))
+        sides, *values = (self.columns[name][own].tolist() for name in UPDATES)
+        return zip([SIDES[side] for side in sides], *values, strict=True)
 
 
 def start_top_of_book(

@@ -28,6 +28,7 @@ from tapelake.operators.fold import (
     reset_steps,
 )
 from tapelake.plans import top_of_book
+from tapelake.sources import landing
 from tapelake.streaming.book import Messages
 from tapelake.workspace import materialize
 
@@ -478,3 +479,54 @@ def test_a_streamed_book_is_kept_in_flat_arrays():
     again = Messages((batch for _ in range(2) for batch in batches()), n - 1)
     assert [len(run) for run in again.first_deliveries()] == [4 * n]
     assert len(list(Messages(iter(())).connections())) == 0
+
+
+def test_a_streamed_frame_is_parsed_once(spark, frames, tmp_path):
+    """Neither the landed line's parts nor the parse are written out for each field that a filter names."""
+    odd = [l2(3, ("bid", 99.5, 1, 1)), "{", '{"events":[]}']
+    landed = frames("coinbase", "level2", *random_messages(7, 20, 0.0), *odd).withColumn("connection", F.lit("a"))
+    landing.write_landing(landed, f"{tmp_path}/landing")
+    back = landing.read_landing(spark, f"{tmp_path}/landing", connections=True)
+    once = book.book_frames_parsed_once(back)
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("RLIKE(") == 2
+    assert sorted(map(str, once.collect())) == sorted(map(str, book.book_frames(landed).collect()))
+    assert once.count() == 21
+
+
+@pytest.mark.parametrize("width", [1, 5])
+def test_messages_read_at_once_equal_the_plain_fold(width):
+    """Also with prices that no bin holds, quantities that add up to nothing, and times before 1970."""
+    rng = random.Random(width)
+    sent = []
+    for seq in range(300):
+        crossed = rng.random() < 0.02
+        sent.append([
+            (side, (140 if crossed else 100) - 60 * rng.random() if side == "bid" else 101 + 60 * rng.random(),
+             rng.choice([0, 1, 2.5, 0.1, -0.1]), rng.choice([-5, 0, 1, 10**18]))
+            for side in rng.choices(book.SIDES, k=rng.choice([0, 1, 2, 9, 40]))
+        ])
+        if sent[-1] and rng.random() < 0.02:
+            sent[-1].append((rng.choice(book.SIDES), float("nan"), 1.0, 1))
+    fields = [[np.array([u[i] for u in updates], float) for updates in sent] for i in (1, 2)]
+    columns = {
+        "sequence_num": range(300), "timestamp": range(300), "recv_us": range(300), "digest": 0,
+        "sides": [np.array([u[0] == "offer" for u in updates], "int8") for updates in sent],
+        "prices": fields[0], "quantities": fields[1],
+        "times": [np.array([u[3] for u in updates], "int64") for updates in sent],
+    }
+    messages = Messages(iter([pd.DataFrame(columns).sample(frac=1, random_state=1)]))
+    (run,) = messages.first_deliveries()
+    plain = [
+        Message(seq, seq, levels)
+        for seq, updates in enumerate(sent)
+        if (levels := message_levels(updates, seq, seq, book.BAND, width))
+    ]
+    expected, old = replay(Book(), plain, width=width)
+    for pieces in (7, 300):
+        read = [m for at in range(0, 300, pieces) for m in messages.read(run[at : at + pieces], width)]
+        got, new = replay(Book(), read, width=width)
+        assert [m.seq for m in read] == [m.seq for m in plain]
+        assert str(got) == str(expected) and any(row[2] for row in got)
+        assert new.live == old.live
+        assert all(len(heap) == len(set(heap)) for heap in new.heaps)
