@@ -302,3 +302,23 @@ def test_one_table_reads_its_frames_once_and_keeps_no_copy(spark, lake, frames,
     offsets = new_folder(spark, "test-offsets")
     ingest.start_fanout(landing.stream_landing(spark, path), lake, offsets, ["kraken_ohlc_stream"]).awaitTermination()
     assert len(kept) == 1 and "misfit" in kept[0]
+
+
+def test_several_tables_keep_frames_but_no_decoded_rows(spark, lake, frames, monkeypatch):
+    """A decoded row holds its frame's text again, for each record of the frame."""
+    path = new_folder(spark, "test-landing")
+    landing.write_landing(frames("kraken", "ohlc", "[]").unionByName(frames("gemini", "trades", "{")), path)
+    kept, persist = [], type(spark.range(1)).persist
+
+    def counted(self, *level):
+        kept.append(self.columns)
+        return persist(self, *level)
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", counted)
+    offsets = new_folder(spark, "test-offsets")
+    tables = ["kraken_ohlc_stream", "gemini_multimarketdata_trades"]
+    query = ingest.start_fanout(landing.stream_landing(spark, path), lake, offsets, tables)
+    query.awaitTermination()
+    assert kept == [landing.LANDING_COLUMNS]
+    assert ingest.counters(lake, query) == {"rows_processed": 0, "rows_rejected": 0, "inserts": 0}
+    assert lake.read(ingest.QUARANTINE).count() == 2
