@@ -338,7 +338,8 @@ def level_bins(banded: DataFrame, width: int = 1) -> DataFrame:
         )
 
     parts = _bound(by_bin, lambda ordered: _bound(starts(ordered), lambda cuts: runs(ordered, cuts)))
-    return banded.withColumn("bins", F.transform(parts, summed)).drop("updates", "lo_px", "hi_px")
+    bins = F.coalesce(F.transform(parts, summed), F.array())  # never NULL, so no filter asks and works it out
+    return banded.withColumn("bins", bins).drop("updates", "lo_px", "hi_px")
 
 
 def dense_levels(binned: DataFrame, width: int = 1) -> DataFrame:
@@ -372,7 +373,7 @@ def dense_levels(binned: DataFrame, width: int = 1) -> DataFrame:
         own = F.transform(bins, lambda b: F.struct(*(b[name].alias(name) for name in names)))
         return F.concat(own, *(empty(bins, side) for side in SIDES))
 
-    return binned.withColumn("levels", _bound("bins", filled)).drop("bins")
+    return binned.withColumn("levels", F.coalesce(_bound("bins", filled), F.array())).drop("bins")
 
 
 def written_levels(binned: DataFrame, width: int = 1) -> DataFrame:
